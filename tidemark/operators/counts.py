@@ -20,9 +20,14 @@ def count_by_label(frames: Mapping[tuple[str, ...], DataFrame], labels: Sequence
     """
     spark = next(iter(frames.values())).sparkSession
     keys = list(frames)
-    seed = spark.createDataFrame(
-        [(*key, 0) for key in keys], ", ".join(f"{c} string" for c in labels) + ", n bigint"
-    )
+    zeros = [
+        F.struct(
+            *(F.lit(value).alias(name) for name, value in zip(labels, key)),
+            F.lit(0).cast("bigint").alias("n"),
+        )
+        for key in keys
+    ]
+    seed = spark.range(0, 1, 1, 1).select(F.inline(F.array(*zeros)))
     tagged = [
         frame.select(
             *(F.lit(value).alias(name) for name, value in zip(labels, key)),

@@ -14,14 +14,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidemark import schemas
 from tidemark.operators.backlog import TARGET_PATTERN
 
-# JSON types as the variant reader names them.
-TYPE_PATTERN = {
-    "string": "^STRING$",
-    "integer": "^BIGINT$",
-    "boolean": "^BOOLEAN$",
-    "array": "^ARRAY",
-    "object": "^OBJECT",
-}
+def _is_kind(kind: Column, wanted: str) -> Column:
+    """Whether a type name of the variant reader is the wanted JSON type."""
+    if wanted == "array":
+        return kind.startswith("ARRAY")
+    if wanted == "object":
+        return kind.startswith("OBJECT")
+    return kind == {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN"}[wanted]
 
 
 @dataclass(frozen=True)
@@ -68,45 +67,48 @@ def _value_rules(f: Field, value: Column, label: str) -> list[Column]:
     return rules
 
 
+def _map_of(node: Column) -> Column:
+    """Members of a JSON object; NULL for any other value."""
+    return F.try_variant_get(node, "$", "map<string,variant>")
+
+
 def _object_rules(
-    fields: Sequence[Field], parsed: Column, raw: Column, closed: bool, prefix: str = ""
+    fields: Sequence[Field], parsed: Column, path: str, closed: bool, prefix: str = ""
 ) -> list[Column]:
-    """Rules of an object: ``parsed`` is its typed struct, ``raw`` the variant it came from."""
-    keys = F.map_keys(F.from_json(raw.cast("string"), "map<string,string>"))
+    """Rules of the object whose members and member types lie in the columns under ``path``."""
+    members = F.col(path.join("``"))
     rules: list[Column] = []
     for f in fields:
         label = f"{prefix}{f.name}"
         value = parsed[f.name]
-        here = F.array_contains(keys, f.name)
-        node = F.variant_get(raw, f"$.{f.name}", "variant")
-        kind = F.schema_of_variant(node)
-        wrong = ~kind.rlike(TYPE_PATTERN[f.kind])
+        kind = F.col(f"{path}.{f.name}:kind".join("``"))
+        wrong = ~_is_kind(kind, f.kind)
         if f.nullable:
             wrong = wrong & (kind != "VOID")
         if f.required:
-            rules.append(_flag(~here, f"{label}: missing"))
-        rules.append(_flag(here & wrong, f"{label}: type"))
+            # A JSON null is present and has type VOID; only an absent member has no type.
+            rules.append(_flag(kind.isNull(), f"{label}: missing"))
+        rules.append(_flag(wrong, f"{label}: type"))
         rules += _value_rules(f, value, label)
         if f.min_items is not None:
             rules.append(_flag(F.size(value) < f.min_items, f"{label}: too few items"))
         if f.item_kind:
-            parts = F.variant_get(raw, f"$.{f.name}", "array<variant>")
+            parts = F.try_variant_get(members[f.name], "$", "array<variant>")
             rules.append(
                 _flag(
-                    (kind.rlike(TYPE_PATTERN["array"]))
-                    & F.exists(
-                        parts, lambda v: ~F.schema_of_variant(v).rlike(TYPE_PATTERN[f.item_kind])
+                    F.exists(
+                        parts, lambda v: ~_is_kind(F.schema_of_variant(v), f.item_kind)
                     ),
                     f"{label}[]: type",
                 )
             )
         if f.items:
-            rules += _item_rules(f, value, raw, kind, label)
+            rules += _item_rules(f, value, members[f.name], label)
         if f.properties:
-            inner = _object_rules(f.properties, value, node, f.closed, f"{label}.")
-            rules += [F.when(kind.rlike(TYPE_PATTERN["object"]), r) for r in inner]
+            inner = _object_rules(f.properties, value, f"{path}.{f.name}", f.closed, f"{label}.")
+            rules += [F.when(_is_kind(kind, "object"), r) for r in inner]
     if closed:
-        extra = F.array_except(keys, F.array(*(F.lit(f.name) for f in fields)))
+        extra = F.array_except(F.map_keys(members), F.array(*(F.lit(f.name) for f in fields)))
         rules.append(
             F.when(
                 F.size(extra) > 0,
@@ -116,12 +118,9 @@ def _object_rules(
     return rules
 
 
-def _item_rules(f: Field, value: Column, raw: Column, kind: Column, label: str) -> list[Column]:
+def _item_rules(f: Field, value: Column, node: Column, label: str) -> list[Column]:
     """Rules over the elements of an array of objects, one violation per rule and record."""
-    objects = F.when(
-        kind.rlike(TYPE_PATTERN["array"]),
-        F.variant_get(raw, f"$.{f.name}", "array<map<string,string>>"),
-    )
+    objects = F.try_variant_get(node, "$", "array<map<string,variant>>")
     rules = [
         _flag(
             F.exists(
@@ -152,22 +151,48 @@ def _item_rules(f: Field, value: Column, raw: Column, kind: Column, label: str)
     return rules
 
 
+def _unpack(df: DataFrame, fields: Sequence[Field], path: str) -> DataFrame:
+    """Type of every member, then the members of nested objects, each as a column of its own.
+
+    Separate projections keep the parsed values: inlined into some thirty rules they would be parsed
+    again for each.
+    """
+    members = F.col(path.join("``"))
+    df = df.withColumns({f"{path}.{f.name}:kind": F.schema_of_variant(members[f.name]) for f in fields})
+    for f in fields:
+        if f.properties:
+            df = df.withColumn(f"{path}.{f.name}", _map_of(members[f.name]))
+            df = _unpack(df, f.properties, f"{path}.{f.name}")
+    return df
+
+
 def validate_records(df: DataFrame, contract: Contract, column: str = "record") -> DataFrame:
-    """Add ``parsed`` (typed struct) and ``violations`` (empty for a good record)."""
-    variant = F.try_parse_json(F.col(column))
+    """Add ``parsed`` (typed struct) and ``violations`` (empty for a good record).
+
+    ``violations`` passes through a one-element explode. A filter on it then stays above that step;
+    pushed into the projections it would bring a copy of every rule, and each copy would parse again.
+    """
     typed = df.withColumns(
         {
-            "_raw": variant,
+            "_json": _map_of(F.try_parse_json(F.col(column))),
             "parsed": F.from_json(F.col(column), contract.schema),
         }
     )
-    raw, parsed = F.col("_raw"), F.col("parsed")
-    readable = raw.isNotNull() & F.schema_of_variant(raw).rlike(TYPE_PATTERN["object"])
-    rules = _object_rules(contract.fields, parsed, raw, closed=True)
-    violations = F.when(readable, F.array_compact(F.array(*rules))).otherwise(
-        F.array(F.lit("not a JSON object"))
+    rules = _object_rules(contract.fields, F.col("parsed"), "_json", closed=True)
+    violations = F.when(F.col("_json").isNull(), F.array(F.lit("not a JSON object"))).otherwise(
+        F.array_except(F.array(*rules), F.array(F.lit(None).cast("string")))
+    )
+    checked = _unpack(typed, contract.fields, "_json").withColumn("_violations", violations)
+    return checked.select(
+        *df.columns, "parsed", F.explode_outer(F.array("_violations")).alias("violations")
+    )
+
+
+def violation_rows(checked: DataFrame, *keys: str) -> DataFrame:
+    """One row per violation of a record."""
+    return checked.select(*keys, F.explode_outer("violations").alias("violation")).filter(
+        "violation IS NOT NULL"
     )
-    return typed.withColumn("violations", violations).drop("_raw")
 
 
 def split_records(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -527,7 +527,7 @@ def unwired_targets(v: Views) -> DataFrame:
 @query
 def record_violations(v: Views) -> DataFrame:
     checked = records.validate_records(v.record_texts, records.CONVERT_RESULT)
-    return checked.select("record_id", F.explode("violations").alias("violation"))
+    return records.violation_rows(checked, "record_id")
 
 
 @query

@@ -6,7 +6,7 @@ parsed once and gets the array of its violations; nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -118,6 +118,14 @@ def _object_rules(
     return rules
 
 
+def _lacks(name: str) -> Callable[[Column], Column]:
+    return lambda members: ~F.map_contains_key(members, name)
+
+
+def _outside(name: str, allowed: Sequence[str]) -> Callable[[Column], Column]:
+    return lambda element: ~element[name].isin(*allowed)
+
+
 def _item_rules(f: Field, value: Column, node: Column, label: str) -> list[Column]:
     """Rules over the elements of an array of objects, one violation per rule and record."""
     objects = F.try_variant_get(node, "$", "array<map<string,variant>>")
@@ -136,16 +144,12 @@ def _item_rules(f: Field, value: Column, node: Column, label: str) -> list[Colum
     for i in f.items:
         if i.required:
             rules.append(
-                _flag(
-                    F.exists(objects, lambda m, n=i.name: ~F.map_contains_key(m, n)),
-                    f"{label}[].{i.name}: missing",
-                )
+                _flag(F.exists(objects, _lacks(i.name)), f"{label}[].{i.name}: missing")
             )
         if i.enum:
             rules.append(
                 _flag(
-                    F.exists(value, lambda e, i=i: ~e[i.name].isin(*i.enum)),
-                    f"{label}[].{i.name}: not allowed",
+                    F.exists(value, _outside(i.name, i.enum)), f"{label}[].{i.name}: not allowed"
                 )
             )
     return rules

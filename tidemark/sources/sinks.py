@@ -11,7 +11,7 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 def create_layers(spark: SparkSession, root: str, layers: tuple[str, ...], prefix: str = "") -> None:
     for layer in layers:
@@ -40,6 +40,48 @@ def refresh(df: DataFrame, table: str, root: str) -> DataFrame:
     return spark.table(table)
 
 
+def refresh_partitions(
+    df: DataFrame, table: str, root: str, partition: str, touched: list[str]
+) -> DataFrame:
+    """Replace the ``touched`` partitions of a table with the rows of ``df``; others keep their files.
+
+    All rows go to one new version folder in one job, then each partition is pointed at its part of
+    it. A touched partition without rows is dropped. The loop over partitions only edits the
+    catalog. The rebalance packs a partition into few files and splits one that holds most rows.
+    """
+    spark = df.sparkSession
+    folder = f"{root}/{table.replace('.', '/')}/v={time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    columns = [f"`{c}`" for c in df.columns if c != partition]
+    packed = df.hint("rebalance", F.col(f"`{partition}`"))
+    packed.write.partitionBy(partition).mode("errorifexists").parquet(folder)
+    if not table_exists(spark, table):
+        declared = ", ".join(
+            f"`{f.name}` {f.dataType.simpleString()}"
+            for f in [*(df.schema[c.strip("`")] for c in columns), df.schema[partition]]
+        )
+        spark.sql(
+            f"CREATE TABLE {table} ({declared}) USING parquet PARTITIONED BY (`{partition}`) "
+            f"LOCATION '{root}/{table.replace('.', '/')}/base'"
+        )
+    written = {
+        row[0]
+        for row in spark.read.parquet(folder).select(F.col(f"`{partition}`").cast("string")).distinct().collect()
+    }
+    known = {row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    for value in sorted(set(touched) | written):
+        spec = f"PARTITION (`{partition}` = '{value}')"
+        if value not in written:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
+            continue
+        target = f"{folder}/{partition}={value}"
+        if value in known:
+            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{target}'")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD {spec} LOCATION '{target}'")
+    spark.catalog.refreshTable(table)
+    return spark.table(table)
+
+
 def _same_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
     old = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
     return old == [(f.name, f.dataType) for f in df.schema.fields]

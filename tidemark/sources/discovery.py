@@ -96,7 +96,9 @@ def discover_routines(spark: SparkSession, src: Source) -> tuple[DataFrame, str
     except Exception as problem:
         first_line = (str(problem).splitlines() or ["unknown error"])[0]
         return nothing, f"routine list failed; routines skipped ({first_line})"
-    return found.toDF("object_type", "source_schema", "source_name", "definition"), None
+    named = found.toDF("object_type", "source_schema", "source_name", "definition")
+    # Some sources pad the CASE literals to one length.
+    return named.withColumn("object_type", F.trim("object_type")), None
 
 
 def inventory(

@@ -5,7 +5,13 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.sources import discovery
-from tidemark.sources.external import Source, read_source, register_source_views
+from tidemark.sources.external import (
+    Source,
+    count_in_source,
+    extract_changes,
+    read_source,
+    register_source_views,
+)
 
 URL = "jdbc:derby:memory:warehouse;create=true"
 PROPERTIES = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
@@ -98,3 +104,29 @@ def test_source_smoke(spark, derby):
     assert row["foreign_base_tables"] == 2 and row["managed_schemas_ok"]
     fewer = schemas.filter("schema_name <> 'gold'")
     assert not discovery.source_smoke(catalog, fewer).first()["managed_schemas_ok"]
+
+
+def test_counts_run_in_the_source(spark, derby, folder):
+    tables = [
+        ("Dimension", "Stock Item", "dim_stock_item"),
+        ("INFORMATION_SCHEMA", "ROUTINES", "information_schema_routines"),
+    ]
+    counted = count_in_source(spark, derby, tables)
+    assert rows(counted) == [("dim_stock_item", 4), ("information_schema_routines", 3)]
+    spark.range(6).write.parquet(f"{folder}/a/b")
+    files = count_in_source(spark, Source("parquet", folder), [("a", "b", "a_b")])
+    assert rows(files) == [("a_b", 6)]
+
+
+def test_register_filters_are_pushed_to_the_database(spark, derby):
+    for sql in (
+        'CREATE TABLE "Dimension"."Log" (n INT, at TIMESTAMP)',
+        "INSERT INTO \"Dimension\".\"Log\" VALUES (1, TIMESTAMP('2020-01-01 00:00:00')), "
+        "(2, TIMESTAMP('2020-01-02 00:00:00')), (3, TIMESTAMP('2020-01-03 00:00:00'))",
+    ):
+        statement(spark, sql)
+    log = read_source(spark, derby, "Dimension", "Log")
+    df = extract_changes(log, "AT", "2020-01-01", "2020-01-02")
+    assert rows(df, "N") == [(2,)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [*IsNotNull" in plan and "*GreaterThan" in plan

@@ -40,9 +40,8 @@ def gate_blockers(
     backlog yields none.
     """
     landed = bronze.select(F.col("table_name").alias("landing_name"))
-    absent = (
-        inventory.filter("object_type = 'table' AND skip = false")
-        .join(landed, "landing_name", "left_anti")
+    absent = inventory.filter("object_type = 'table' AND skip = false").join(
+        landed, "landing_name", "left_anti"
     )
     failed = reconcile.filter((F.col("run_id") == run_id) & (F.col("result") == "fail"))
     heard = events.filter(F.col("run_id") == run_id).select("agent")
@@ -82,10 +81,14 @@ def gate_blockers(
         )
         mapped = conversion_map.filter(F.col("status").isin(*CONVERTED)).select("legacy_proc")
         on_disk = targets.select("target_path")
-        delivered = owed.join(mapped, "legacy_proc", "left_semi").join(
-            on_disk, "target_path", "left_semi"
+        # Both joins on the map share one shuffle of the backlog.
+        unmapped = owed.join(mapped, "legacy_proc", "left_anti").select("item_id")
+        fileless = (
+            owed.join(mapped, "legacy_proc", "left_semi")
+            .join(on_disk, "target_path", "left_anti")
+            .select("item_id")
         )
-        missing = owed.select("item_id").join(delivered.select("item_id"), "item_id", "left_anti")
+        missing = unmapped.unionByName(fileless)
         parts.append(
             _blockers(
                 missing,

@@ -166,6 +166,13 @@ def history_depth(dim: DataFrame, v: Versions) -> DataFrame:
     )
 
 
+def slice_for(depth: int) -> str | None:
+    """Slice that keeps the versions of one key and slice few, given ``history_depth``."""
+    if depth <= 512:
+        return None
+    return "month" if depth <= 50_000 else "day"
+
+
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """First row per key in the given order.
 

@@ -81,7 +81,11 @@ def reconcile_counts(
     for landing, (source, bronze) in pairs.items():
         frames[(landing, "source")] = source
         frames[(landing, "bronze")] = bronze
-    sides = count_by_label(frames, ["landing", "side"])
+    return reconcile_sides(count_by_label(frames, ["landing", "side"]), run_id, now)
+
+
+def reconcile_sides(sides: DataFrame, run_id: str, now: Instant) -> DataFrame:
+    """The same over counts already made: ``(landing, side, rows)``, side "source" or "bronze"."""
     counted = sides.groupBy("landing").agg(
         F.sum(F.when(F.col("side") == "source", F.col("rows"))).alias("expected"),
         F.sum(F.when(F.col("side") == "bronze", F.col("rows"))).alias("actual"),

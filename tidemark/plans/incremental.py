@@ -15,7 +15,6 @@ from tidemark import schemas
 from tidemark.functions.temporal import Instant
 from tidemark.operators import loads, lookups, scd, tableops
 from tidemark.operators.lookups import Versions
-from tidemark.session import cut_lineage
 from tidemark.sources import sinks
 
 LAYERS = ("dimension", "fact", "integration")
@@ -51,8 +50,6 @@ SALE_LOOKUPS = (
     ("WWI Salesperson ID", "Salesperson Key", EMPLOYEE),
 )
 MODIFIED = "Last Modified When"
-# Beyond this many versions of one business key the lookup is sliced by month.
-LONG_HISTORY = 512
 
 
 def _top(df: DataFrame, key: str) -> int:
@@ -101,7 +98,8 @@ class Incremental:
         dim = self.read(d.table)
         if not scd.already_applied(dim, key).collect():
             rows = scd.staged_rows(dim, stage, key).drop(d.key)
-            order = [d.business_key, "Valid From", *(c for c in rows.columns if c not in (d.business_key, "Valid From"))]
+            first = [d.business_key, "Valid From"]
+            order = first + [c for c in rows.columns if c not in first]
             numbered = scd.assign_keys(rows, d.key, order, _top(dim, d.key) + 1)
             kept = scd.close_off(dim, stage, d.business_key)
             typed = numbered.withColumn(d.key, F.col(f"`{d.key}`").cast(dim.schema[d.key].dataType))
@@ -112,7 +110,7 @@ class Incremental:
         out = stage
         for business_key, key, d in SALE_LOOKUPS:
             dim = self.read(d.table)
-            depth = lookups.history_depth(dim, d.versions).first()["depth"]
+            unit = lookups.slice_for(lookups.history_depth(dim, d.versions).first()["depth"])
             out = lookups.lookup_key_asof(
                 out,
                 dim,
@@ -120,8 +118,8 @@ class Incremental:
                 business_key,
                 MODIFIED,
                 key,
-                window=window if depth > LONG_HISTORY else None,
-                slice_unit="month" if depth > LONG_HISTORY else None,
+                window=window if unit else None,
+                slice_unit=unit,
             )
         return out
 
@@ -138,10 +136,8 @@ class Incremental:
         )
         order = [INVOICE, *(c for c in columns if c != INVOICE)]
         numbered = scd.assign_keys(rows, SALE_KEY, order, _top(fact, SALE_KEY) + 1)
-        numbered = cut_lineage(
-            numbered.withColumn(
-                SALE_KEY, F.col(f"`{SALE_KEY}`").cast(fact.schema[SALE_KEY].dataType)
-            )
+        numbered = numbered.withColumn(
+            SALE_KEY, F.col(f"`{SALE_KEY}`").cast(fact.schema[SALE_KEY].dataType)
         )
         dates = tableops.touched_partitions(fact, numbered, INVOICE, SALE_PARTITION)
         # Catalog metadata: one value per touched partition.

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,9 +13,9 @@ from tidemark import schemas
 from tidemark.functions.naming import batch_id
 from tidemark.functions.temporal import Instant, instant
 from tidemark.operators import conform, gate, landing, marts, metrics, quality, tableops
-from tidemark.operators.counts import union_all
+from tidemark.operators.counts import count_by_label, union_all
 from tidemark.sources import discovery, fixtures, sinks
-from tidemark.sources.external import Source, read_source
+from tidemark.sources.external import Source, count_in_source, read_source
 
 LAYERS = ("source_fed", "bronze", "silver", "gold", "ops")
 
@@ -51,6 +52,8 @@ class Medallion:
     as_of: Instant
     prefix: str = ""
     workers: int = 4
+    # Column to split the scan of a large source table by: {(schema, table): column}.
+    split_by: dict[tuple[str, str], str] = field(default_factory=dict)
 
     def name(self, table: str) -> str:
         return self.prefix + table
@@ -101,28 +104,25 @@ class Medallion:
             raise RuntimeError(f"landing names collide: {[r['landing_name'] for r in clash]}")
         return mine
 
-    def land(self, inventory: DataFrame) -> dict[str, DataFrame]:
-        """Full refresh of every live table; returns the source frames by landing name."""
+    def land(self, inventory: DataFrame) -> list[tuple[str, str, str]]:
+        """Full refresh of every live table; returns ``(schema, table, landing)`` of each."""
         # Catalog metadata: one row per source table.
         live = inventory.filter("object_type = 'table' AND skip = false").collect()
-        sources = {
-            r["landing_name"]: read_source(
-                self.spark, self.source, r["source_schema"], r["source_name"]
-            )
-            for r in live
-        }
+        tables = [(r["source_schema"], r["source_name"], r["landing_name"]) for r in live]
         system = landing.SOURCE_SYSTEM.get(self.source.kind, self.source.kind)
         batch = batch_id(self.as_of)
 
-        def one(name: str, df: DataFrame) -> None:
+        def one(schema: str, table: str, name: str) -> None:
+            split = self.split_by.get((schema, table))
+            df = read_source(self.spark, self.source, schema, table, split)
             df.createOrReplaceTempView(f"{self.prefix}source_fed_{name}")
             self.publish(f"bronze.{name}", landing.land(df, system, batch, self.as_of))
 
-        self.together([lambda n=n, d=d: one(n, d) for n, d in sources.items()])
-        landed = {name: self.read(f"bronze.{name}") for name in sources}
+        self.together([partial(one, *t) for t in tables])
+        landed = {name: self.read(f"bronze.{name}") for _, _, name in tables}
         rows = landing.load_control_rows(landed, batch, self.as_of, self.as_of)
         sinks.append(rows, self.name("ops.load_control"), self.root)
-        return sources
+        return tables
 
     def conform(self) -> None:
         bronze = lambda t: self.read(f"bronze.{t}")
@@ -216,9 +216,17 @@ class Medallion:
         ]
         return self.publish("ops.constraint_checks", union_all(checks))
 
-    def reconcile(self, sources: dict[str, DataFrame], expectations: DataFrame | None) -> DataFrame:
-        pairs = {name: (df, self.read(f"bronze.{name}")) for name, df in sources.items()}
-        new = quality.reconcile_counts(pairs, self.run_id, self.as_of)
+    def reconcile(
+        self, tables: list[tuple[str, str, str]], expectations: DataFrame | None
+    ) -> DataFrame:
+        source = count_in_source(self.spark, self.source, tables)
+        bronze = count_by_label(
+            {(name,): self.read(f"bronze.{name}") for _, _, name in tables}, ["landing"]
+        )
+        sides = source.withColumn("side", F.lit("source")).unionByName(
+            bronze.withColumn("side", F.lit("bronze"))
+        )
+        new = quality.reconcile_sides(sides, self.run_id, self.as_of)
         if expectations is not None:
             targets = [target for _, target, _ in fixtures.FIXTURES]
             actual = quality.table_row_counts({self.name(t): self.read(t) for t in targets})
@@ -265,7 +273,6 @@ class Medallion:
     def verdict(
         self,
         inventory: DataFrame,
-        sources: dict[str, DataFrame],
         reconcile: DataFrame,
         procs_total: int,
         skip_reason: str | None,
@@ -311,9 +318,10 @@ def run_medallion(
     skip: dict[tuple[str, str], str] | None = None,
     tie_breakers: tuple[str, ...] = ("Bin Location",),
     prefix: str = "",
+    split_by: dict[tuple[str, str], str] | None = None,
 ) -> DataFrame:
     """Run everything in dependency order; returns the one-row manifest."""
-    run = Medallion(spark, source, root, run_id, as_of, prefix)
+    run = Medallion(spark, source, root, run_id, as_of, prefix, split_by=split_by or {})
     catalog = discovery.catalog_tables(spark, source) if catalog is None else catalog
     run.smoke(catalog)
     expectations = None
@@ -325,11 +333,11 @@ def run_medallion(
     routines, skip_reason = discovery.discover_routines(spark, source)
     inventory = run.inventory(catalog, routines, skip or {})
     procs_total = inventory.filter("object_type <> 'table'").count()
-    sources = run.land(inventory)
+    tables = run.land(inventory)
     run.conform()
     run.marts(tie_breakers)
     run.constraints()
-    reconcile = run.reconcile(sources, expectations)
+    reconcile = run.reconcile(tables, expectations)
     run.lineage()
     run.events(procs_total, skip_reason)
-    return run.verdict(inventory, sources, reconcile, procs_total, skip_reason)
+    return run.verdict(inventory, reconcile, procs_total, skip_reason)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from tidemark.functions.temporal import Instant, instant_like
+from tidemark.operators.counts import count_by_label
 
 # Identifier quotes of each dialect; "jdbc" is the SQL standard.
 QUOTES = {"sqlserver": ("[", "]"), "mysql": ("`", "`"), "jdbc": ('"', '"')}
@@ -78,6 +79,25 @@ def read_source(
     return reader.load()
 
 
+def count_in_source(
+    spark: SparkSession, src: Source, tables: list[tuple[str, str, str]]
+) -> DataFrame:
+    """``(landing, rows)`` of ``(schema, table, landing)``.
+
+    A database counts its own tables and sends one number each; files are counted by Spark.
+    """
+    if src.kind == "parquet":
+        frames = {(landing,): read_source(spark, src, s, t) for s, t, landing in tables}
+        return count_by_label(frames, ["landing"])
+    parts = [
+        f"SELECT '{landing}' AS landing, COUNT(*) AS n FROM {src.quoted(s, t)}"
+        for s, t, landing in tables
+    ]
+    return read_query(spark, src, " UNION ALL ".join(parts)).select(
+        F.trim(F.col("landing")).alias("landing"), F.col("n").cast("bigint").alias("rows")
+    )
+
+
 def register_source_views(
     spark: SparkSession, src: Source, tables: list[tuple[str, str, str]]
 ) -> dict[str, DataFrame]:

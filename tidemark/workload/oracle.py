@@ -352,14 +352,14 @@ STATEMENTS = {
            CASE WHEN fix THEN 'pass' ELSE result END AS result, run_id, ts
     FROM (SELECT *, run_id = 'run-1' AND check_id LIKE 'fixture_%' AS fix FROM v_reconcile)""",
     "upsert": """
-    , source AS (SELECT 'Load.Part' || l_partkey AS legacy_proc, 'jobs/gold/' || l_suppkey || '.sql' AS target_path,
+    , source AS (SELECT 'Load.Order' || l_orderkey AS legacy_proc, 'jobs/gold/' || l_suppkey || '.sql' AS target_path,
                         CASE WHEN l_linestatus = 'O' THEN 'final' ELSE 'review' END AS status, l_shipdate AS updated_at,
-                        row_number() OVER (PARTITION BY l_partkey
-                          ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC, l_suppkey DESC) AS rn
-                 FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 49)
+                        row_number() OVER (PARTITION BY l_orderkey
+                          ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn
+                 FROM lineitem)
     SELECT legacy_proc, target_path, status, updated_at FROM source WHERE rn = 1
-    UNION ALL SELECT 'Load.Part' || p_partkey, p_brand, 'draft', TIMESTAMP '1990-01-01' FROM part
-    WHERE 'Load.Part' || p_partkey NOT IN (SELECT legacy_proc FROM source)""",
+    UNION ALL SELECT 'Load.Order' || o_orderkey, o_orderpriority, 'draft', o_orderdate FROM orders
+    WHERE 'Load.Order' || o_orderkey NOT IN (SELECT legacy_proc FROM source)""",
     "perturbed_expectations": """
     SELECT fixture_name, target_table, metric,
            CASE WHEN hit THEN coalesce(expected, 0) + 1000000 ELSE expected END AS expected,

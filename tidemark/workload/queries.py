@@ -382,22 +382,22 @@ def replace_run(v: Views) -> DataFrame:
 
 @query
 def upsert(v: Views) -> DataFrame:
-    target = v.table("part").select(
-        F.concat(F.lit("Load.Part"), "p_partkey").alias("legacy_proc"),
-        F.col("p_brand").alias("target_path"),
+    target = v.table("orders").select(
+        F.concat(F.lit("Load.Order"), "o_orderkey").alias("legacy_proc"),
+        F.col("o_orderpriority").alias("target_path"),
         F.lit("draft").alias("status"),
-        ts("1990-01-01").alias("updated_at"),
+        F.col("o_orderdate").alias("updated_at"),
     )
-    source = v.table("lineitem").filter("l_returnflag = 'R' AND l_quantity >= 49").select(
-        F.concat(F.lit("Load.Part"), "l_partkey").alias("legacy_proc"),
+    source = v.table("lineitem").select(
+        F.concat(F.lit("Load.Order"), "l_orderkey").alias("legacy_proc"),
         F.concat(F.lit("jobs/gold/"), "l_suppkey", F.lit(".sql")).alias("target_path"),
         F.when(F.col("l_linestatus") == "O", "final").otherwise("review").alias("status"),
         F.col("l_shipdate").alias("updated_at"),
-        "l_orderkey",
         "l_linenumber",
+        "l_partkey",
         "l_suppkey",
     )
-    order = [F.col(c) for c in ("updated_at", "l_orderkey", "l_linenumber", "l_suppkey")]
+    order = [F.col(c) for c in ("updated_at", "l_linenumber", "l_partkey", "l_suppkey")]
     return tableops.upsert(target, source, ["legacy_proc"], order)
 
 

@@ -120,13 +120,13 @@ def test_counts_run_in_the_source(spark, derby, folder):
 
 def test_register_filters_are_pushed_to_the_database(spark, derby):
     for sql in (
-        'CREATE TABLE "Dimension"."Log" (n INT, at TIMESTAMP)',
+        'CREATE TABLE "Dimension"."Log" (n INT, changed TIMESTAMP)',
         "INSERT INTO \"Dimension\".\"Log\" VALUES (1, TIMESTAMP('2020-01-01 00:00:00')), "
         "(2, TIMESTAMP('2020-01-02 00:00:00')), (3, TIMESTAMP('2020-01-03 00:00:00'))",
     ):
         statement(spark, sql)
     log = read_source(spark, derby, "Dimension", "Log")
-    df = extract_changes(log, "AT", "2020-01-01", "2020-01-02")
+    df = extract_changes(log, "CHANGED", "2020-01-01", "2020-01-02")
     assert rows(df, "N") == [(2,)]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [*IsNotNull" in plan and "*GreaterThan" in plan

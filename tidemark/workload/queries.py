@@ -266,6 +266,11 @@ def asof_keys(v: Views) -> DataFrame:
 @query
 def asof_keys_sliced(v: Views) -> DataFrame:
     """The customer lookup by calendar slices, as used for long histories."""
+    shipped = v.table("lineitem")
+    span = (
+        shipped.agg(F.min("l_shipdate")).scalar(),
+        shipped.agg(F.max("l_shipdate")).scalar(),
+    )
     return lookups.lookup_key_asof(
         v.sale_stage,
         v.customer_versions,
@@ -273,6 +278,7 @@ def asof_keys_sliced(v: Views) -> DataFrame:
         "WWI Customer ID",
         "Last Modified When",
         "Customer Key",
+        window=span,
         slice_unit="month",
     ).select(F.col("Sale Key").alias("sale_key"), F.col("Customer Key").alias("customer_key"))
 

@@ -3,6 +3,9 @@
 from datetime import date, datetime as D
 
 import pytest
+from pyspark.sql import functions as F
+
+from tidemark.functions.temporal import minute_of
 
 CASES = [
     ("ISNULL / IFNULL", "coalesce(NULL, 3)", 3),
@@ -61,3 +64,16 @@ def test_cursor_becomes_a_set_operation(spark, items):
 def test_session_time(spark):
     row = spark.sql("SELECT current_timestamp() = now(), current_timestamp() IS NOT NULL").first()
     assert row[0] and row[1]
+
+
+def test_minute_ignores_the_session_zone(spark):
+    """02:30 does not exist in this zone on the night the clocks change."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.sql("SELECT TIMESTAMP_NTZ'2024-03-10 02:30:59.123456' AS ts")
+        out = df.select(minute_of(F.col("ts")).alias("m"))
+        assert out.schema["m"].dataType.simpleString() == "timestamp_ntz"
+        assert out.first()["m"] == D(2024, 3, 10, 2, 30)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)

@@ -51,10 +51,12 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("unit", [None, "year", "month", "day"])
-def test_asof_boundaries(spark, dim, unit):
+@pytest.mark.parametrize("unit,long", [(None, 0), ("year", 0), ("month", 2), ("day", 0), ("month", 99)])
+def test_asof_boundaries(spark, dim, unit, long):
     stage = spark.createDataFrame([c[:3] for c in CASES], STAGE)
-    out = lookups.lookup_key_asof(stage, dim, V, "id", "at", "found", slice_unit=unit)
+    out = lookups.lookup_key_asof(
+        stage, dim, V, "id", "at", "found", slice_unit=unit, long_history=long
+    )
     assert rows(out, "n", "found") == sorted([(c[0], c[3]) for c in CASES], key=repr)
     assert out.columns == ["n", "id", "at", "found"]
 
@@ -62,7 +64,8 @@ def test_asof_boundaries(spark, dim, unit):
 def test_asof_explicit_window(spark, dim):
     stage = spark.createDataFrame([c[:3] for c in CASES if c[2]], STAGE)
     out = lookups.lookup_key_asof(
-        stage, dim, V, "id", "at", "found", window=("2018-01-01", "2022-01-01"), slice_unit="month"
+        stage, dim, V, "id", "at", "found", window=("2018-01-01", "2022-01-01"), slice_unit="month",
+        long_history=1, few_long_keys=True,
     )
     assert rows(out, "n", "found") == sorted([(c[0], c[3]) for c in CASES if c[2]], key=repr)
 
@@ -91,7 +94,9 @@ def test_asof_against_brute_force(spark):
     want = sorted([(n, expected(i, at)) for n, i, at in staged], key=repr)
     dim, stage = spark.createDataFrame(versions, DIM), spark.createDataFrame(staged, STAGE)
     for unit in (None, "month"):
-        got = lookups.lookup_key_asof(stage, dim, V, "id", "at", "k", slice_unit=unit)
+        got = lookups.lookup_key_asof(
+            stage, dim, V, "id", "at", "k", slice_unit=unit, long_history=3
+        )
         assert rows(got, "n", "k") == want
 
 
@@ -101,8 +106,10 @@ def test_latest_lookup(spark, dim):
     assert rows(out, "n", "k") == [(1, 11), (2, 21), (3, 50), (4, 0), (5, 0)]
 
 
-def test_history_depth(spark, dim):
-    assert lookups.history_depth(dim, V).first()["depth"] == 3
+def test_history_profile(spark, dim):
+    profile = lookups.history_profile(dim, V).first().asDict()
+    assert profile == {"depth": 3, "year": 0, "month": 0, "day": 0}
+    assert [lookups.slice_for(n) for n in (3, 513, 60_000)] == [None, "month", "day"]
 
 
 def test_latest_per_key_prunes_before_the_shuffle(spark):

@@ -258,6 +258,21 @@ def test_refresh_may_read_the_table_it_replaces(spark, folder):
     assert spark.table("p_y.t").count() == 6
 
 
+def test_bucketed_fact_is_not_shuffled_by_the_upsert(spark):
+    fact = spark.range(100).select(F.col("id").alias("invoice"), F.lit(1).alias("qty"))
+    sinks.bucketed_copy(fact, "default.bucketed_fact", "invoice", 8)
+    stage = spark.range(5).select(F.col("id").alias("invoice"), F.lit(2).alias("qty"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = tableops.replace_by_key(spark.table("default.bucketed_fact"), stage, "invoice")
+        assert out.agg(F.sum("qty")).first()[0] == 95 + 10
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1  # the staged keys only
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_event_log_layout(spark, folder):
     df = spark.range(1000).select(
         F.lit("r").alias("run_id"), F.col("id").cast("timestamp").cast("timestamp_ntz").alias("ts")

@@ -39,4 +39,5 @@ def is_open(valid_to: Column) -> Column:
 
 
 def minute_of(ts: Column) -> Column:
-    return F.date_trunc("MINUTE", ts).cast("timestamp_ntz")
+    """Start of the minute. ``date_trunc`` would pass zone-less times through the session zone."""
+    return ts - F.make_dt_interval(secs=F.extract(F.lit("SECOND"), ts))

@@ -10,6 +10,12 @@ from tidemark.functions.temporal import Instant, instant_like
 from tidemark.operators.keysets import own_exchange
 
 UNKNOWN_KEY = 0
+# From how many versions a key is sliced: more than the slices of some ten years.
+LONG_HISTORY = {"year": 64, "month": 512, "day": 4096}
+# The one slice of a key with a short history.
+WHOLE = -1
+# This many long keys may be broadcast to every task.
+FEW_KEYS = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -38,19 +44,31 @@ def _slice(ts: Column, unit: str) -> Column:
     raise ValueError(f"unknown slice unit {unit!r}")
 
 
+def long_keys(dim: DataFrame, v: Versions, above: int) -> DataFrame:
+    """Business keys with more than ``above`` versions; at most one per ``above`` rows."""
+    counted = dim.groupBy(_q(v.business_key).alias("bk")).agg(F.count("*").alias("n"))
+    return counted.filter((F.col("n") > above) & F.col("bk").isNotNull()).select(
+        "bk", F.lit(True).alias("is_long")
+    )
+
+
 def effective_versions(
     dim: DataFrame,
     v: Versions,
     window: tuple[Column, Column] | None = None,
     slice_unit: str | None = None,
+    long: DataFrame | None = None,
 ) -> DataFrame:
     """Disjoint intervals ``(vf, vt]`` of each business key, earliest version first.
 
     Where versions overlap, the one that starts first owns the overlap, so every instant belongs to
-    at most one interval: a version is cut back to what follows the latest end before it. With
-    ``window`` and ``slice_unit`` the versions are limited to the window and repeated once per
-    calendar slice they touch. The cut is then made within a slice, which is enough, since all
-    versions covering an instant are present in its slice.
+    at most one interval: a version is cut back to what follows the latest end before it.
+
+    With ``slice_unit`` the versions of the ``long`` keys that touch the ``window`` are repeated once
+    per calendar slice they touch; the other keys have one slice. Consecutive versions of a key
+    repeat at most as often as there are slices, and a long key has more versions than that, so the
+    result stays near the size of the dimension. The cut is made within a slice, which is enough,
+    since all versions covering an instant are present in its slice.
     """
     rows = dim.select(
         _q(v.business_key).alias("bk"),
@@ -59,16 +77,18 @@ def effective_versions(
         _q(v.valid_to).alias("vt"),
     ).filter("bk IS NOT NULL AND vf < vt")
     group = ["bk"]
-    if slice_unit and window:
+    if slice_unit:
         low, high = window
-        rows = rows.filter((F.col("vf") < high) & (F.col("vt") >= low)).withColumn(
-            "slice",
-            F.explode(
-                F.sequence(
-                    _slice(F.greatest(F.col("vf"), low), slice_unit),
-                    _slice(F.least(F.col("vt"), high), slice_unit),
-                )
-            ),
+        touched = F.sequence(
+            _slice(F.greatest(F.col("vf"), low), slice_unit),
+            _slice(F.least(F.col("vt"), high), slice_unit),
+        )
+        rows = (
+            rows.filter((F.col("vf") < high) & (F.col("vt") >= low))
+            .join(long, "bk", "left")
+            .withColumn(
+                "slice", F.explode(F.when(F.col("is_long"), touched).otherwise(F.array(F.lit(WHOLE).cast("bigint"))))
+            )
         )
         group = ["bk", "slice"]
     earlier = (
@@ -91,6 +111,8 @@ def lookup_key_asof(
     default: int = UNKNOWN_KEY,
     window: tuple[Instant, Instant] | None = None,
     slice_unit: str | None = None,
+    long_history: int | None = None,
+    few_long_keys: bool = False,
 ) -> DataFrame:
     """Add ``out``: the key of the version with ``valid_from < ts <= valid_to``, else ``default``.
 
@@ -99,33 +121,41 @@ def lookup_key_asof(
     or merge join with the range as residual condition. A small dimension is broadcast by its
     statistics and the stage is not shuffled; otherwise AQE may split a hot business key.
 
-    ``slice_unit`` ("year", "month" or "day") is for long histories: both sides also meet on the
-    calendar slice, so a staged row is compared only with the versions of its slice. ``window`` is the
-    span of staged times, such as the cutoffs of the batch, and bounds how often a version repeats;
-    without it the span is read from the stage.
+    ``slice_unit`` ("year", "month" or "day") is for long histories: for keys with more than
+    ``long_history`` versions both sides also meet on the calendar slice, so a staged row is compared
+    only with the versions of its slice. ``window`` is the span of staged times, such as the cutoffs
+    of the batch; without it the span is read from the stage. ``few_long_keys`` says that the caller
+    has counted the long keys (``history_profile``) and they may be broadcast.
     """
     columns = stage.columns
-    at = _q(ts)
-    span = None
+    at = F.col(f"stg.`{ts}`")
+    staged = stage.alias("stg")
+    match = (
+        (F.col(f"stg.`{business_key}`") == F.col("ver.bk"))
+        & (at > F.col("ver.vf"))
+        & (at <= F.col("ver.vt"))
+    )
     if slice_unit:
         if window:
             span = tuple(instant_like(stage, ts, bound) for bound in window)
         else:
             span = (
-                stage.select(F.min(at)).scalar(),
-                stage.select(F.max(at)).scalar(),
+                stage.select(F.min(_q(ts))).scalar(),
+                stage.select(F.max(_q(ts))).scalar(),
             )
-    versions = own_exchange(effective_versions(dim, v, span, slice_unit)).alias("ver")
-    staged = stage.alias("stg")
-    match = (
-        (F.col(f"stg.`{business_key}`") == F.col("ver.bk"))
-        & (F.col(f"stg.`{ts}`") > F.col("ver.vf"))
-        & (F.col(f"stg.`{ts}`") <= F.col("ver.vt"))
-    )
-    if slice_unit:
-        match = match & (_slice(F.col(f"stg.`{ts}`"), slice_unit) == F.col("ver.slice"))
+        above = LONG_HISTORY[slice_unit] if long_history is None else long_history
+        long = own_exchange(long_keys(dim, v, above))
+        long = F.broadcast(long) if few_long_keys else long
+        versions = effective_versions(dim, v, span, slice_unit, long)
+        staged = staged.join(
+            long.alias("lng"), F.col(f"stg.`{business_key}`") == F.col("lng.bk"), "left"
+        )
+        own_slice = F.when(F.col("lng.is_long"), _slice(at, slice_unit)).otherwise(F.lit(WHOLE).cast("bigint"))
+        match = match & (own_slice == F.col("ver.slice"))
+    else:
+        versions = effective_versions(dim, v)
     key_type = dim.schema[v.key].dataType
-    return staged.join(versions, match, "left").select(
+    return staged.join(own_exchange(versions).alias("ver"), match, "left").select(
         *(F.col(f"stg.`{c}`") for c in columns if c != out),
         F.coalesce(F.col("ver.key"), F.lit(default).cast(key_type)).alias(out),
     )
@@ -159,16 +189,18 @@ def lookup_key_latest(
     )
 
 
-def history_depth(dim: DataFrame, v: Versions) -> DataFrame:
-    """Greatest number of versions of one business key, to decide on slicing."""
-    return dim.groupBy(_q(v.business_key)).agg(F.count("*").alias("n")).agg(
-        F.coalesce(F.max("n"), F.lit(0)).alias("depth")
+def history_profile(dim: DataFrame, v: Versions) -> DataFrame:
+    """One row: versions of the longest history, and how many keys each slice unit would slice."""
+    counted = dim.groupBy(_q(v.business_key).alias("bk")).agg(F.count("*").alias("n"))
+    return counted.agg(
+        F.coalesce(F.max("n"), F.lit(0)).alias("depth"),
+        *(F.count_if(F.col("n") > above).alias(unit) for unit, above in LONG_HISTORY.items()),
     )
 
 
 def slice_for(depth: int) -> str | None:
-    """Slice that keeps the versions of one key and slice few, given ``history_depth``."""
-    if depth <= 512:
+    """Slice that keeps the versions of one key and slice few, given the longest history."""
+    if depth <= LONG_HISTORY["month"]:
         return None
     return "month" if depth <= 50_000 else "day"
 

@@ -110,7 +110,8 @@ class Incremental:
         out = stage
         for business_key, key, d in SALE_LOOKUPS:
             dim = self.read(d.table)
-            unit = lookups.slice_for(lookups.history_depth(dim, d.versions).first()["depth"])
+            profile = lookups.history_profile(dim, d.versions).first()
+            unit = lookups.slice_for(profile["depth"])
             out = lookups.lookup_key_asof(
                 out,
                 dim,
@@ -120,6 +121,7 @@ class Incremental:
                 key,
                 window=window if unit else None,
                 slice_unit=unit,
+                few_long_keys=bool(unit) and profile[unit] <= lookups.FEW_KEYS,
             )
         return out
 
@@ -144,6 +146,8 @@ class Incremental:
         touched = [
             row[0] for row in dates.select(F.col(f"`{SALE_PARTITION}`").cast("string")).collect()
         ]
+        if None in touched:
+            raise ValueError(f"a staged sale has no {SALE_PARTITION!r}")
         in_reach = F.col(f"`{SALE_PARTITION}`").isin(
             *(F.lit(d).cast(fact.schema[SALE_PARTITION].dataType) for d in touched)
         )

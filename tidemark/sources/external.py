@@ -71,7 +71,7 @@ def read_source(
         ).first()
         if low is not None:
             reader = reader.options(
-                partitionColumn=column if src.kind != "jdbc" else partition_col,
+                partitionColumn=partition_col,
                 lowerBound=str(low),
                 upperBound=str(high),
                 numPartitions=str(num_partitions),

@@ -280,6 +280,7 @@ def asof_keys_sliced(v: Views) -> DataFrame:
         "Customer Key",
         window=span,
         slice_unit="month",
+        long_history=8,
     ).select(F.col("Sale Key").alias("sale_key"), F.col("Customer Key").alias("customer_key"))
 
 

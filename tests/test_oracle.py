@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_point
+from tidemark.workload.oracle import ORACLE
+from tidemark.workload.queries import QUERIES
 
 TYPES = {
     "BIGINT": "bigint",
@@ -32,14 +34,14 @@ def canonical(value):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
 
 
 def test_entry_has_rows(spark):
     assert entry_point.entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, duck, small, name):
     result = entry_point.queries()[name](spark, small)
     cursor = duck.execute(entry_point.oracle_sql()[name])

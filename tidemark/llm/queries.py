@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import counts, mixing, topk, urls
+from tidemark.llm import counts, mixing, simhash, topk, toxicity, urls
 from tidemark.llm.frames import WORD
 
 
@@ -16,6 +16,16 @@ def op1_top_k(spark: SparkSession, folder: str) -> DataFrame:
     return topk.top_k(table(spark, folder, "embeddings"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, folder, "documents"))
+    hexed = F.lower(F.lpad(F.hex("p"), 16, "0"))
+    return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(table(spark, folder, "pages"))
 
@@ -31,6 +41,8 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_top_k": op1_top_k,
+    "op2_toxicity": op2_toxicity,
+    "op4_simhash": op4_simhash,
     "op6_url_filter": op6_url_filter,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,

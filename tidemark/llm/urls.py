@@ -20,8 +20,11 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.frames import empty_like
+
 # Verdict, host, path.
 HOST_RULES = (
     ("allow", "org", "/"),
@@ -116,7 +119,8 @@ def rarest_tokens(urls: DataFrame, compiled: Sequence[tuple[str, str, list[str]]
     literals = sorted({t for _, _, tokens in compiled for t in tokens})
     if not literals:
         return {}
-    wanted = urls.sparkSession.createDataFrame([(t,) for t in literals], "token string")
+    # An Arrow table becomes a local relation, whose size Spark knows and weighs before broadcasting.
+    wanted = urls.sparkSession.createDataFrame(pa.table({"token": literals}))
     counted = (
         urls.select(F.explode(tokens_of(F.col("url"))).alias("token"))
         .join(wanted, "token")
@@ -129,12 +133,15 @@ def rarest_tokens(urls: DataFrame, compiled: Sequence[tuple[str, str, list[str]]
 def pattern_hits(urls: DataFrame, patterns: Sequence[str]) -> DataFrame:
     """Per lower-cased url that any pattern matches: ``blocked`` and ``excepted``."""
     compiled = [compile_rule(p) for p in patterns]
+    if not compiled:
+        return empty_like(urls, "url string, blocked boolean, excepted boolean")
     counts = rarest_tokens(urls, compiled)
     index = [
         (min(tokens, key=lambda t: (counts[t], t)) if tokens else "", verdict, regex)
         for verdict, regex, tokens in compiled
     ]
-    indexed = urls.sparkSession.createDataFrame(index, "token string, kind string, regex string")
+    columns = zip(("token", "kind", "regex"), zip(*index, strict=True), strict=True)
+    indexed = urls.sparkSession.createDataFrame(pa.table({n: pa.array(v, pa.string()) for n, v in columns}))
     return (
         urls.select("url", F.explode(tokens_of(F.col("url"))).alias("token"))
         .join(indexed, "token")

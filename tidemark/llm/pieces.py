@@ -36,6 +36,7 @@ from tidemark.llm.frames import arrow_column
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 KNOWN_UNITS = 500_000
+KNOWN_PAIRS = 400_000
 NEVER = float("inf")
 
 
@@ -72,10 +73,13 @@ class Transducer:
             else:
                 raw = " ⁇ ".encode()
             self.written.append(raw.replace(MARK.encode(), b" ") if piece.type != 6 else raw)
-        self.longest = max(map(len, self.ids), default=1)
         cut = any(MARK in p.lstrip(MARK) for p in self.ids)
         self.units = re.compile(".+" if cut else f"{MARK}*[^{MARK}]+|{MARK}+", re.DOTALL)
         self.known: dict[str, bytes] = {}
+        # Arcs of the piece machine as a trie by prefix: what is written, or nothing for an inner node.
+        self.arcs = {p[:n]: b"" for p in self.ids for n in range(1, len(p))}
+        self.arcs |= {p: np.int32(i).tobytes() for p, i in self.ids.items()}
+        self.pairs: dict[tuple[str, str], bool] = {}
         self.trees: dict[str, tuple | None] = {}
 
     def merged(self, text: str) -> list[str]:
@@ -148,31 +152,43 @@ class Transducer:
             else:
                 j += 1
 
+    def weigh(self, left: str, right: str) -> bool:
+        """``agree``, remembered."""
+        if len(self.pairs) > KNOWN_PAIRS:
+            self.pairs.clear()
+        found = self.pairs[left, right] = self.agree(left, right)
+        return found
+
     def shortest_path(self, text: str) -> bytes:
-        """Ids, as little-endian int32, on the path of finite weight."""
-        end, ids, agree = len(text), self.ids, self.agree
-        begin = [0] * (end + 1)
-        for j in range(1, end + 1):
-            for i in range(max(0, j - self.longest), j):
+        """Ids, as little-endian int32, on the path of finite weight.
+
+        ``last[j]`` is the one finite state at position j: the piece that ends there.
+        """
+        end, arcs, pairs, weigh = len(text), self.arcs, self.pairs, self.weigh
+        last: list[str | None] = [None] * (end + 1)
+        last[0] = ""
+        for i in range(end):
+            left = last[i]
+            for j in range(i + 1, end + 1):
                 piece = text[i:j]
-                if piece in ids or j == i + 1:
-                    if agree(text[begin[i] : i], piece):
-                        break
-            else:
-                raise ValueError("no path of finite weight")
-            begin[j] = i
+                written = arcs.get(piece)
+                if last[j] is None and (written or j == i + 1):
+                    good = pairs.get((left, piece))
+                    if weigh(left, piece) if good is None else good:
+                        last[j] = piece
+                if written is None:
+                    break
         path = []
         while end:
-            path.append(text[begin[end] : end])
-            end = begin[end]
-        out: list[int] = []
-        for piece in reversed(path):
-            if piece in ids:
-                out.append(ids[piece])
-            else:
-                raw = [self.bytes[b] for b in piece.encode()]
-                out.extend(raw if min(raw) >= 0 else [self.unknown])
-        return np.array(out, "<i4").tobytes()
+            piece = last[end]
+            path.append(arcs.get(piece) or self.fallback(piece))
+            end -= len(piece)
+        return b"".join(reversed(path))
+
+    def fallback(self, char: str) -> bytes:
+        """What the fallback arc of a character writes."""
+        raw = [self.bytes[b] for b in char.encode()]
+        return np.array(raw if min(raw) >= 0 else [self.unknown], "<i4").tobytes()
 
     def normalise(self, text: str) -> str:
         text = text.replace(" ", MARK)

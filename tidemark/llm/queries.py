@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import counts, mixing, simhash, topk, toxicity, urls
+from tidemark.llm import counts, mixing, pieces, quality, simhash, topk, toxicity, urls
 from tidemark.llm.frames import WORD
 
 
@@ -26,10 +26,19 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", hexed.alias("fingerprint"), "component_id")
 
 
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode_documents(table(spark, folder, "documents"))
+
+
 def op6_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return urls.filter_urls(table(spark, folder, "pages"))
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    judged = quality.judge(table(spark, folder, "documents"))
+    return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance")
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -43,7 +52,9 @@ QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_toxicity": op2_toxicity,
     "op4_simhash": op4_simhash,
+    "op5_pieces": op5_pieces,
     "op6_url_filter": op6_url_filter,
+    "op7_quality": op7_quality,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
 }

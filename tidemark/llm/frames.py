@@ -6,7 +6,7 @@ import re
 from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -41,3 +41,8 @@ def arrow_column(function: Callable, returns: str | T.DataType, *columns: str |
 
 def empty_like(df: DataFrame, schema: str) -> DataFrame:
     return df.sparkSession.createDataFrame([], schema)
+
+
+def local_table(spark: SparkSession, columns: dict[str, tuple[list, pa.DataType]]) -> DataFrame:
+    """A bounded list as a local relation: Spark knows its bytes and weighs them before broadcasting."""
+    return spark.createDataFrame(pa.table({n: pa.array(v, kind) for n, (v, kind) in columns.items()}))

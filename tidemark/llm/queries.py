@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import counts, mixing, pieces, quality, simhash, topk, toxicity, urls
+from tidemark.llm import counts, language, mixing, pieces, quality, simhash, topk, toxicity, urls
 from tidemark.llm.frames import WORD
 
 
@@ -20,6 +20,10 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op3_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify_languages(table(spark, folder, "documents"))
+
+
 def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     hexed = F.lower(F.lpad(F.hex("p"), 16, "0"))
@@ -51,6 +55,7 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_toxicity": op2_toxicity,
+    "op3_language": op3_language,
     "op4_simhash": op4_simhash,
     "op5_pieces": op5_pieces,
     "op6_url_filter": op6_url_filter,

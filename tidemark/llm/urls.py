@@ -23,7 +23,7 @@ from collections.abc import Sequence
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.frames import empty_like
+from tidemark.llm.frames import empty_like, local_table
 
 # Verdict, host, path.
 HOST_RULES = (
@@ -119,8 +119,7 @@ def rarest_tokens(urls: DataFrame, compiled: Sequence[tuple[str, str, list[str]]
     literals = sorted({t for _, _, tokens in compiled for t in tokens})
     if not literals:
         return {}
-    # An Arrow table becomes a local relation, whose size Spark knows and weighs before broadcasting.
-    wanted = urls.sparkSession.createDataFrame(pa.table({"token": literals}))
+    wanted = local_table(urls.sparkSession, {"token": (literals, pa.string())})
     counted = (
         urls.select(F.explode(tokens_of(F.col("url"))).alias("token"))
         .join(wanted, "token")
@@ -141,7 +140,7 @@ def pattern_hits(urls: DataFrame, patterns: Sequence[str]) -> DataFrame:
         for verdict, regex, tokens in compiled
     ]
     columns = zip(("token", "kind", "regex"), zip(*index, strict=True), strict=True)
-    indexed = urls.sparkSession.createDataFrame(pa.table({n: pa.array(v, pa.string()) for n, v in columns}))
+    indexed = local_table(urls.sparkSession, {n: (list(v), pa.string()) for n, v in columns})
     return (
         urls.select("url", F.explode(tokens_of(F.col("url"))).alias("token"))
         .join(indexed, "token")

@@ -29,7 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.frames import arrow_column
+from tidemark.llm.frames import arrow_column, local_table
 
 SAMPLE_DOCS = 2000
 SAMPLE_CHARS = 16_000_000
@@ -282,7 +282,7 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
     if not chosen:
         return [], []
     # At most 2 * SAMPLE_DOCS ids, a few dozen KB.
-    ids = docs.sparkSession.createDataFrame([(i,) for i in sorted(chosen)], "_id long")
+    ids = local_table(docs.sparkSession, {"_id": (sorted(chosen), pa.int64())})
     texts = (
         docs.select("doc_id", "text")
         .join(ids, F.col("doc_id") == F.col("_id"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import counts, language, mixing, pieces, quality, simhash, topk, toxicity, urls
+from tidemark.llm import counts, idfiles, language, mixing, pieces, quality, simhash, topk, toxicity, urls
 from tidemark.llm.frames import WORD
 
 
@@ -43,6 +43,10 @@ def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     return judged.select("doc_id", *quality.COUNTS, "base_failed", "kept", "distance")
 
 
+def op8_id_files(spark: SparkSession, folder: str) -> DataFrame:
+    return idfiles.id_files(table(spark, folder, "documents"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     mixed = mixing.mix_sources(table(spark, folder, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -60,6 +64,7 @@ QUERIES = {
     "op5_pieces": op5_pieces,
     "op6_url_filter": op6_url_filter,
     "op7_quality": op7_quality,
+    "op8_id_files": op8_id_files,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
 }

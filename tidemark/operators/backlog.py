@@ -26,6 +26,20 @@ def settled(backlog: DataFrame) -> DataFrame:
     return backlog.filter(_low("status").isin(*SETTLED) | (_low("target_layer") == "n/a"))
 
 
+# In what order map rows of one routine are applied.
+MAP_ORDER = ("position", "item_id")
+
+
+def backlog_position(backlog: DataFrame) -> Column:
+    """Place of an item in its backlog: a ``position`` column if there is one, else the item's number.
+
+    Numbered ids are compared as numbers, so ``item-10`` comes after ``item-9``.
+    """
+    if "position" in backlog.columns:
+        return F.col("position").cast("bigint")
+    return F.expr("try_cast(regexp_extract(item_id, '([0-9]+)$', 1) AS BIGINT)")
+
+
 def merge_results(backlog: DataFrame, results: DataFrame, targets: DataFrame) -> DataFrame:
     """Resolve every convertible item against its conversion record.
 
@@ -47,7 +61,7 @@ def merge_results(backlog: DataFrame, results: DataFrame, targets: DataFrame) ->
     )
     joined = (
         convertible(backlog)
-        .select("item_id", "legacy_proc", "target_path")
+        .select("item_id", "legacy_proc", "target_path", backlog_position(backlog).alias("position"))
         .join(record, F.col("item_id") == F.col("record_id"), "left")
         .join(known, "r_path", "left")
     )
@@ -85,16 +99,18 @@ def merge_results(backlog: DataFrame, results: DataFrame, targets: DataFrame) ->
         .alias("target_path"),
         F.coalesce(problem, "r_notes", F.lit("")).alias("notes"),
         missing.alias("missing"),
+        "position",
     )
 
 
 def conversion_map_rows(merged: DataFrame, now: Column) -> DataFrame:
-    """Rows to upsert by ``legacy_proc``; later items win."""
+    """Rows to upsert by ``legacy_proc``; the item further down the backlog wins (``MAP_ORDER``)."""
     return merged.filter(F.col("map_status").isNotNull()).select(
         "legacy_proc",
         "target_path",
         F.col("map_status").alias("status"),
         now.alias("updated_at"),
+        "position",
         "item_id",
     )
 
@@ -169,9 +185,10 @@ def unwired_targets(backlog: DataFrame, tasks: DataFrame) -> DataFrame:
     wanted = backlog.filter(
         (_low("status") != "blocked") & (_low("target_layer") != "n/a")
     ).filter(F.coalesce("target_path", F.lit("")) != "")
+    run = own_exchange(tasks.select(deployed_path(F.col("path")).alias("p")).distinct())
     return (
         wanted.select("target_path", deployed_path(F.col("target_path")).alias("p"))
-        .join(tasks.select(deployed_path(F.col("path")).alias("p")), "p", "left_anti")
+        .join(run, "p", "left_anti")
         .select("target_path")
         .distinct()
         .orderBy("target_path")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.temporal import Instant, instant
-from tidemark.operators.backlog import CONVERTED
+from tidemark.operators.backlog import CONVERTED, _low
 from tidemark.operators.counts import union_all
+from tidemark.operators.keysets import own_exchange
+from tidemark.operators.quality import BRONZE_CHECK
 
 # Fixed value: the agents every run must have heard from.
 REQUIRED_AGENTS = ("coordinator", "assess", "convert", "test", "gate")
@@ -40,11 +42,17 @@ def gate_blockers(
     backlog yields none.
     """
     landed = bronze.select(F.col("table_name").alias("landing_name"))
-    absent = inventory.filter("object_type = 'table' AND skip = false").join(
-        landed, "landing_name", "left_anti"
+    live = inventory.filter("object_type = 'table' AND skip = false")
+    absent = live.join(landed, "landing_name", "left_anti")
+    this_run = reconcile.filter(F.col("run_id") == run_id)
+    failed = this_run.filter("result = 'fail'")
+    # A live table that nobody compared has not passed either.
+    compared = own_exchange(this_run.select(F.col("check_id").alias("_check")).distinct())
+    uncompared = live.withColumn("check_id", F.concat(F.lit(BRONZE_CHECK), "landing_name")).join(
+        compared, F.col("check_id") == F.col("_check"), "left_anti"
     )
-    failed = reconcile.filter((F.col("run_id") == run_id) & (F.col("result") == "fail"))
-    heard = events.filter(F.col("run_id") == run_id).select("agent")
+    # One row per agent, however many events the run has.
+    heard = own_exchange(events.filter(F.col("run_id") == run_id).select("agent").distinct())
     spark = inventory.sparkSession
     agents = spark.range(1).select(
         F.explode(F.array(*(F.lit(a) for a in required_agents))).alias("agent")
@@ -68,6 +76,12 @@ def gate_blockers(
                 F.coalesce("actual", F.lit("NULL")),
             ),
         ),
+        _blockers(
+            uncompared,
+            "reconcile_fail:",
+            F.col("check_id"),
+            F.concat(F.lit("not compared: "), "landing_name"),
+        ),
         _blockers(
             silent,
             "events_missing:",
@@ -77,10 +91,12 @@ def gate_blockers(
     ]
     if not routines_skipped_reason and procs_total != 0:
         owed = backlog.filter(
-            (F.lower("status") != "blocked") & (F.lower("target_layer") != "n/a")
+            (_low("status") != "blocked") & (_low("target_layer") != "n/a")
+        )
+        mapped = own_exchange(
+            conversion_map.filter(F.col("status").isin(*CONVERTED)).select("legacy_proc").distinct()
         )
-        mapped = conversion_map.filter(F.col("status").isin(*CONVERTED)).select("legacy_proc")
-        on_disk = targets.select("target_path")
+        on_disk = own_exchange(targets.select("target_path").distinct())
         # Both joins on the map share one shuffle of the backlog.
         unmapped = owed.join(mapped, "legacy_proc", "left_anti").select("item_id")
         fileless = (

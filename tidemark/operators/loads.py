@@ -31,6 +31,20 @@ def open_load(lineage: DataFrame, table: str, cutoff: Instant, now: Instant) ->
     return lineage.unionByName(new)
 
 
+def has_cutoff(lineage: DataFrame, key: int, cutoff: Instant) -> bool:
+    """Whether a load was opened for this cutoff; reads its single row."""
+    mine = lineage.filter(F.col("`Lineage Key`") == key)
+    return bool(mine.filter(F.col("`Source System Cutoff Time`") == instant(cutoff)).head(1))
+
+
+def restamp(lineage: DataFrame, key: int, cutoff: Instant) -> DataFrame:
+    """The lineage with another cutoff for one load."""
+    stamped = F.when(F.col("`Lineage Key`") == key, instant(cutoff)).otherwise(
+        F.col("`Source System Cutoff Time`")
+    )
+    return lineage.withColumn("Source System Cutoff Time", stamped)
+
+
 def open_key(lineage: DataFrame, table: str) -> DataFrame:
     """Greatest key of the unfinished loads of a table, NULL if there is none."""
     return lineage.filter(

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DataType
 
-from tidemark.functions.temporal import Instant, instant_like
 from tidemark.operators.keysets import own_exchange
 
 UNKNOWN_KEY = 0
@@ -14,8 +15,11 @@ UNKNOWN_KEY = 0
 LONG_HISTORY = {"year": 64, "month": 512, "day": 4096}
 # The one slice of a key with a short history.
 WHOLE = -1
-# This many long keys may be broadcast to every task.
-FEW_KEYS = 1_000_000
+# A version that touches more slices than this is repeated only for slices that occur in the stage.
+WIDE = 64
+# With more distinct slices than this in the stage the next coarser unit is used.
+MANY_SLICES = 20_000
+COARSER = {"day": "month", "month": "year", "year": None}
 
 
 @dataclass(frozen=True)
@@ -55,8 +59,8 @@ def long_keys(dim: DataFrame, v: Versions, above: int) -> DataFrame:
 def effective_versions(
     dim: DataFrame,
     v: Versions,
-    window: tuple[Column, Column] | None = None,
     slice_unit: str | None = None,
+    slices: Sequence[int] = (),
     long: DataFrame | None = None,
 ) -> DataFrame:
     """Disjoint intervals ``(vf, vt]`` of each business key, earliest version first.
@@ -64,11 +68,12 @@ def effective_versions(
     Where versions overlap, the one that starts first owns the overlap, so every instant belongs to
     at most one interval: a version is cut back to what follows the latest end before it.
 
-    With ``slice_unit`` the versions of the ``long`` keys that touch the ``window`` are repeated once
-    per calendar slice they touch; the other keys have one slice. Consecutive versions of a key
-    repeat at most as often as there are slices, and a long key has more versions than that, so the
-    result stays near the size of the dimension. The cut is made within a slice, which is enough,
-    since all versions covering an instant are present in its slice.
+    With ``slice_unit`` the versions of the ``long`` keys are repeated once per calendar slice they
+    touch; the other keys have one slice. A version that touches many slices is repeated for those
+    among ``slices``, the ones that occur in the stage. Consecutive versions of a key repeat at most as
+    often as there are slices, and a long key has more versions than that, so the result stays near
+    the size of the dimension. The cut is made within a slice, which is enough, since all versions
+    covering an instant are present in its slice.
     """
     rows = dim.select(
         _q(v.business_key).alias("bk"),
@@ -78,17 +83,14 @@ def effective_versions(
     ).filter("bk IS NOT NULL AND vf < vt")
     group = ["bk"]
     if slice_unit:
-        low, high = window
-        touched = F.sequence(
-            _slice(F.greatest(F.col("vf"), low), slice_unit),
-            _slice(F.least(F.col("vt"), high), slice_unit),
+        occurring = F.array(*(F.lit(s).cast("bigint") for s in slices)).cast("array<bigint>")
+        first, last = _slice(F.col("vf"), slice_unit), _slice(F.col("vt"), slice_unit)
+        touched = F.when(last - first <= WIDE, F.sequence(first, last)).otherwise(
+            F.filter(occurring, lambda s: (s >= first) & (s <= last))
         )
-        rows = (
-            rows.filter((F.col("vf") < high) & (F.col("vt") >= low))
-            .join(long, "bk", "left")
-            .withColumn(
-                "slice", F.explode(F.when(F.col("is_long"), touched).otherwise(F.array(F.lit(WHOLE).cast("bigint"))))
-            )
+        whole = F.array(F.lit(WHOLE).cast("bigint"))
+        rows = rows.join(long, "bk", "left").withColumn(
+            "slice", F.explode(F.when(F.col("is_long"), touched).otherwise(whole))
         )
         group = ["bk", "slice"]
     earlier = (
@@ -101,6 +103,85 @@ def effective_versions(
     )
 
 
+def stage_slices(stage: DataFrame, ts: str, unit: str) -> tuple[str | None, list[int]]:
+    """Calendar slices that occur in the stage, and the unit they are of.
+
+    One number per slice reaches the driver. A stage spread over very many slices gets coarser ones; the
+    keys found do not depend on the unit.
+    """
+    while unit:
+        found = (
+            stage.select(_slice(_q(ts), unit).alias("s"))
+            .filter("s IS NOT NULL")
+            .distinct()
+            .limit(MANY_SLICES + 1)
+            .collect()
+        )
+        if len(found) <= MANY_SLICES:
+            return unit, sorted(r["s"] for r in found)
+        unit = COARSER[unit]
+    return None, []
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """A dimension's disjoint versions, ready for lookups of one stage by any of its columns."""
+
+    rows: DataFrame
+    key_type: DataType
+    unit: str | None = None
+    long: DataFrame | None = None
+
+
+def prepare_versions(
+    stage: DataFrame,
+    dim: DataFrame,
+    v: Versions,
+    ts: str,
+    slice_unit: str | None = None,
+    long_history: int | None = None,
+) -> Prepared:
+    """Versions of ``dim`` for as-of lookups at ``ts``; several lookups may share them."""
+    key_type = dim.schema[v.key].dataType
+    above = LONG_HISTORY[slice_unit] if slice_unit and long_history is None else long_history
+    unit, slices = stage_slices(stage, ts, slice_unit) if slice_unit else (None, [])
+    if not unit:
+        return Prepared(effective_versions(dim, v), key_type)
+    long = own_exchange(long_keys(dim, v, above))
+    return Prepared(effective_versions(dim, v, unit, slices, long), key_type, unit, long)
+
+
+def lookup_prepared(
+    stage: DataFrame,
+    versions: Prepared,
+    business_key: str,
+    ts: str,
+    out: str,
+    default: int = UNKNOWN_KEY,
+) -> DataFrame:
+    """``lookup_key_asof`` with versions already prepared."""
+    columns = stage.columns
+    at = F.col(f"stg.`{ts}`")
+    staged = stage.alias("stg")
+    match = (
+        (F.col(f"stg.`{business_key}`") == F.col("ver.bk"))
+        & (at > F.col("ver.vf"))
+        & (at <= F.col("ver.vt"))
+    )
+    if versions.unit:
+        staged = staged.join(
+            versions.long.alias("lng"), F.col(f"stg.`{business_key}`") == F.col("lng.bk"), "left"
+        )
+        own_slice = F.when(F.col("lng.is_long"), _slice(at, versions.unit)).otherwise(
+            F.lit(WHOLE).cast("bigint")
+        )
+        match = match & (own_slice == F.col("ver.slice"))
+    return staged.join(own_exchange(versions.rows).alias("ver"), match, "left").select(
+        *(F.col(f"stg.`{c}`") for c in columns if c != out),
+        F.coalesce(F.col("ver.key"), F.lit(default).cast(versions.key_type)).alias(out),
+    )
+
+
 def lookup_key_asof(
     stage: DataFrame,
     dim: DataFrame,
@@ -109,10 +190,8 @@ def lookup_key_asof(
     ts: str,
     out: str,
     default: int = UNKNOWN_KEY,
-    window: tuple[Instant, Instant] | None = None,
     slice_unit: str | None = None,
     long_history: int | None = None,
-    few_long_keys: bool = False,
 ) -> DataFrame:
     """Add ``out``: the key of the version with ``valid_from < ts <= valid_to``, else ``default``.
 
@@ -123,41 +202,10 @@ def lookup_key_asof(
 
     ``slice_unit`` ("year", "month" or "day") is for long histories: for keys with more than
     ``long_history`` versions both sides also meet on the calendar slice, so a staged row is compared
-    only with the versions of its slice. ``window`` is the span of staged times, such as the cutoffs
-    of the batch; without it the span is read from the stage. ``few_long_keys`` says that the caller
-    has counted the long keys (``history_profile``) and they may be broadcast.
+    only with the versions of its slice. It changes the plan and never the keys.
     """
-    columns = stage.columns
-    at = F.col(f"stg.`{ts}`")
-    staged = stage.alias("stg")
-    match = (
-        (F.col(f"stg.`{business_key}`") == F.col("ver.bk"))
-        & (at > F.col("ver.vf"))
-        & (at <= F.col("ver.vt"))
-    )
-    if slice_unit:
-        if window:
-            span = tuple(instant_like(stage, ts, bound) for bound in window)
-        else:
-            span = (
-                stage.select(F.min(_q(ts))).scalar(),
-                stage.select(F.max(_q(ts))).scalar(),
-            )
-        above = LONG_HISTORY[slice_unit] if long_history is None else long_history
-        long = own_exchange(long_keys(dim, v, above))
-        long = F.broadcast(long) if few_long_keys else long
-        versions = effective_versions(dim, v, span, slice_unit, long)
-        staged = staged.join(
-            long.alias("lng"), F.col(f"stg.`{business_key}`") == F.col("lng.bk"), "left"
-        )
-        own_slice = F.when(F.col("lng.is_long"), _slice(at, slice_unit)).otherwise(F.lit(WHOLE).cast("bigint"))
-        match = match & (own_slice == F.col("ver.slice"))
-    else:
-        versions = effective_versions(dim, v)
-    key_type = dim.schema[v.key].dataType
-    return staged.join(own_exchange(versions).alias("ver"), match, "left").select(
-        *(F.col(f"stg.`{c}`") for c in columns if c != out),
-        F.coalesce(F.col("ver.key"), F.lit(default).cast(key_type)).alias(out),
+    return lookup_prepared(
+        stage, prepare_versions(stage, dim, v, ts, slice_unit, long_history), business_key, ts, out, default
     )
 
 

@@ -106,14 +106,14 @@ def evaluate_expectations(
     """Compare expectations with ``actual(target_table, rows)``.
 
     ``exact_when_expected_set``: no expectation passes, otherwise equality. ``gte``: at least the
-    expected number. A table that was not counted has no rows.
+    expected number. A table that was not counted has no actual number and fails what it has to meet.
     """
     counted = expectations.join(actual, "target_table", "left").select(
         "fixture_name",
         "target_table",
         "compare",
         "expected",
-        F.coalesce("rows", F.lit(0)).alias("actual"),
+        F.col("rows").alias("actual"),
     )
     ok = (
         F.when(F.col("expected").isNull(), True)
@@ -121,6 +121,7 @@ def evaluate_expectations(
         .when(F.col("compare") == "exact_when_expected_set", F.col("actual") == F.col("expected"))
         .otherwise(False)
     )
+    ok = F.coalesce(ok, F.lit(False))
     # An unset expectation reports the whole count as its difference.
     rows = check_rows(
         counted,

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark import schemas
 from tidemark.operators.backlog import TARGET_PATTERN
@@ -103,7 +103,7 @@ def _object_rules(
                 )
             )
         if f.items:
-            rules += _item_rules(f, value, members[f.name], label)
+            rules += _item_rules(f, members[f.name], label)
         if f.properties:
             inner = _object_rules(f.properties, value, f"{path}.{f.name}", f.closed, f"{label}.")
             rules += [F.when(_is_kind(kind, "object"), r) for r in inner]
@@ -118,40 +118,51 @@ def _object_rules(
     return rules
 
 
+def _kind_in(element: Column, name: str) -> Column:
+    """Type name of a member of an object element; NULL if the member is absent."""
+    return F.schema_of_variant(_map_of(element)[name])
+
+
+def _breaks_kind(f: Field) -> Callable[[Column], Column]:
+    def broken(element: Column) -> Column:
+        kind = _kind_in(element, f.name)
+        wrong = ~_is_kind(kind, f.kind)
+        return F.coalesce(wrong & (kind != "VOID") if f.nullable else wrong, F.lit(False))
+
+    return broken
+
+
 def _lacks(name: str) -> Callable[[Column], Column]:
-    return lambda members: ~F.map_contains_key(members, name)
+    return lambda element: F.coalesce(~F.map_contains_key(_map_of(element), name), F.lit(False))
 
 
 def _outside(name: str, allowed: Sequence[str]) -> Callable[[Column], Column]:
-    return lambda element: ~element[name].isin(*allowed)
+    return lambda element: F.coalesce(
+        ~F.try_variant_get(element, f"$.{name}", "string").isin(*allowed), F.lit(False)
+    )
+
 
+def _item_rules(f: Field, node: Column, label: str) -> list[Column]:
+    """Rules over the elements of an array of objects, one violation per rule and record.
 
-def _item_rules(f: Field, value: Column, node: Column, label: str) -> list[Column]:
-    """Rules over the elements of an array of objects, one violation per rule and record."""
-    objects = F.try_variant_get(node, "$", "array<map<string,variant>>")
+    Every rule looks at each element by itself, so a bad element does not hide the others.
+    """
+    parts = F.try_variant_get(node, "$", "array<variant>")
+    names = F.array(*(F.lit(i.name) for i in f.items))
+    unknown = lambda e: F.coalesce(
+        F.size(F.array_except(F.map_keys(_map_of(e)), names)) > 0, F.lit(False)
+    )
     rules = [
-        _flag(
-            F.exists(
-                objects,
-                lambda m: F.size(
-                    F.array_except(F.map_keys(m), F.array(*(F.lit(i.name) for i in f.items)))
-                )
-                > 0,
-            ),
-            f"{label}[]: unknown",
-        )
+        _flag(F.exists(parts, lambda e: ~_is_kind(F.schema_of_variant(e), "object")), f"{label}[]: type"),
+        _flag(F.exists(parts, unknown), f"{label}[]: unknown"),
     ]
     for i in f.items:
+        member = f"{label}[].{i.name}"
         if i.required:
-            rules.append(
-                _flag(F.exists(objects, _lacks(i.name)), f"{label}[].{i.name}: missing")
-            )
+            rules.append(_flag(F.exists(parts, _lacks(i.name)), f"{member}: missing"))
+        rules.append(_flag(F.exists(parts, _breaks_kind(i)), f"{member}: type"))
         if i.enum:
-            rules.append(
-                _flag(
-                    F.exists(value, _outside(i.name, i.enum)), f"{label}[].{i.name}: not allowed"
-                )
-            )
+            rules.append(_flag(F.exists(parts, _outside(i.name, i.enum)), f"{member}: not allowed"))
     return rules
 
 
@@ -173,13 +184,22 @@ def _unpack(df: DataFrame, fields: Sequence[Field], path: str) -> DataFrame:
 def validate_records(df: DataFrame, contract: Contract, column: str = "record") -> DataFrame:
     """Add ``parsed`` (typed struct) and ``violations`` (empty for a good record).
 
+    A record is parsed once, into a variant; types, members and typed fields are all taken from that.
+    A field of another type than its contract's is NULL in ``parsed``.
+
     ``violations`` passes through a one-element explode. A filter on it then stays above that step;
     pushed into the projections it would bring a copy of every rule, and each copy would parse again.
     """
-    typed = df.withColumns(
+    shape = T.StructType.fromDDL(contract.schema)
+    typed = df.withColumn("_variant", F.try_parse_json(F.col(column))).withColumns(
         {
-            "_json": _map_of(F.try_parse_json(F.col(column))),
-            "parsed": F.from_json(F.col(column), contract.schema),
+            "_json": _map_of(F.col("_variant")),
+            "parsed": F.struct(
+                *(
+                    F.try_variant_get(F.col("_variant"), f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+                    for f in shape.fields
+                )
+            ),
         }
     )
     rules = _object_rules(contract.fields, F.col("parsed"), "_json", closed=True)
@@ -227,18 +247,19 @@ def context_contract(host_field: str = "workspace_host") -> Contract:
     ))
 
 
-CONVERT_RESULT = Contract(
-    "convert_result",
-    schemas.CONVERT_RESULT,
-    (
+def convert_contract(pattern: str = TARGET_PATTERN) -> Contract:
+    """A conversion result; where target paths may lie is the caller's choice, as for the backlog."""
+    return Contract("convert_result", schemas.CONVERT_RESULT, (
         Field("item_id", required=True, min_length=1),
         Field("legacy_proc", required=True, min_length=1),
-        Field("target_path", required=True, pattern=TARGET_PATTERN),
+        Field("target_path", required=True, pattern=pattern),
         Field("status", required=True, enum=("draft", "review", "final", "blocked")),
         Field("notes", required=True),
         Field("patterns_used", "array", required=True, item_kind="string"),
-    ),
-)
+    ))
+
+
+CONVERT_RESULT = convert_contract()
 BACKLOG_ITEM = Contract(
     "migration_backlog",
     schemas.BACKLOG_RECORD,
@@ -282,7 +303,6 @@ RECONCILE_REPORT = Contract(
             "summary",
             "object",
             required=True,
-            closed=False,
             properties=(
                 Field("passed", "integer", required=True, minimum=0),
                 Field("failed", "integer", required=True, minimum=0),

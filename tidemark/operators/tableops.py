@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.temporal import Instant, instant
+from tidemark.operators.keysets import own_exchange
 from tidemark.operators.lookups import latest_per_key
 
 # Fixed value: how an injected drift is marked in the notes.
@@ -17,7 +18,9 @@ def _q(name: str) -> Column:
 
 def replace_by_key(fact: DataFrame, stage: DataFrame, key: str) -> DataFrame:
     """Delete the facts whose key is staged, append all staged rows. NULL keys are never deleted."""
-    kept = fact.join(stage.select(_q(key)), key, "left_anti").select(*(_q(c) for c in fact.columns))
+    # Distinct staged keys, so that a hot key of the stage is one row of the right side.
+    staged = own_exchange(stage.select(_q(key)).distinct())
+    kept = fact.join(staged, key, "left_anti").select(*(_q(c) for c in fact.columns))
     return kept.unionByName(stage.select(*(_q(c) for c in fact.columns)))
 
 
@@ -26,7 +29,8 @@ def touched_partitions(fact: DataFrame, stage: DataFrame, key: str, partition: s
 
     Only these need rewriting. The search reads two columns of the fact.
     """
-    holding = fact.select(_q(key), _q(partition)).join(stage.select(_q(key)), key, "left_semi")
+    staged = own_exchange(stage.select(_q(key)).distinct())
+    holding = fact.select(_q(key), _q(partition)).join(staged, key, "left_semi")
     return (
         holding.select(_q(partition)).unionByName(stage.select(_q(partition))).distinct()
     )
@@ -64,7 +68,9 @@ def upsert(
 ) -> DataFrame:
     """Insert or replace by key; of several source rows with one key the last in ``order`` wins."""
     latest = latest_per_key(source, keys, [c.desc() for c in order])
-    kept = target.join(source.select(*(_q(k) for k in keys)), keys, "left_anti")
+    # The reduced source is both what is added and, by key, what is replaced.
+    replaced = own_exchange(latest.select(*(_q(k) for k in keys)))
+    kept = target.join(replaced, keys, "left_anti")
     return kept.select(*(_q(c) for c in target.columns)).unionByName(
         latest.select(*(_q(c) for c in target.columns))
     )

@@ -69,18 +69,32 @@ class Control:
         sinks.append(row, self.name("ops.agent_events"), self.root)
 
     def persist_backlog(self, texts: DataFrame) -> DataFrame:
-        """Replace the backlog by JSON items (column ``record``); one bad item rejects the batch."""
+        """Replace the backlog by JSON items (column ``record``); one bad item rejects the batch.
+
+        Every violation of a rejected batch is in ``ops.backlog_rejections``, one row each.
+        """
         checked = records.validate_records(texts, records.BACKLOG_ITEM)
-        good, rejected = records.split_records(checked)
-        problem = rejected.select("violations").first()
-        if problem:
-            raise ValueError(f"backlog item breaks its contract: {', '.join(problem[0])}")
+        good, _ = records.split_records(checked)
+        rejections = self.publish(
+            "ops.backlog_rejections", records.violation_rows(checked, "record")
+        )
+        faults = rejections.count()
+        if faults:
+            example = rejections.orderBy("record", "violation").first()["violation"]
+            raise ValueError(
+                f"backlog items break their contract {faults} times, such as {example}; "
+                f"all in {self.name('ops.backlog_rejections')}"
+            )
         items = good.select("parsed.*", instant(self.now).alias("updated_at"))
         return self.publish("ops.migration_backlog", items)
 
-    def merge_conversions(self, texts: DataFrame, targets: DataFrame) -> DataFrame:
+    def merge_conversions(
+        self, texts: DataFrame, targets: DataFrame, run_id: str | None = None
+    ) -> DataFrame:
         """Merge conversion records (``record_id``, ``record``) into the map, then into the backlog.
 
+        With ``run_id`` the run's convert event is recorded once both are published.
+
         The map comes first: if it cannot be published, the backlog still asks for the conversion.
         Returns the summary row.
         """
@@ -95,10 +109,15 @@ class Control:
         self.publish(
             "ops.proc_conversion_map",
             tableops.upsert(
-                self.read("ops.proc_conversion_map"), rows, ["legacy_proc"], [F.col("item_id")]
+                self.read("ops.proc_conversion_map"),
+                rows,
+                ["legacy_proc"],
+                [F.col(c) for c in bl.MAP_ORDER],
             ),
         )
         self.publish("ops.migration_backlog", bl.apply_merge(backlog, merged))
+        if run_id is not None:
+            self.record_event(run_id, "convert", "completed")
         return bl.convert_summary(merged)
 
     def inject_drift(self, fixture: str, delta: int) -> None:

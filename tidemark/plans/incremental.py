@@ -7,7 +7,8 @@ replaced, so repeating them is harmless; a dimension that already carries the ke
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -15,7 +16,9 @@ from tidemark import schemas
 from tidemark.functions.temporal import Instant
 from tidemark.operators import loads, lookups, scd, tableops
 from tidemark.operators.lookups import Versions
+from tidemark.session import cut_lineage
 from tidemark.sources import sinks
+from tidemark.sources.external import extract_changes
 
 LAYERS = ("dimension", "fact", "integration")
 LINEAGE, CUTOFF = "integration.lineage", "integration.etl_cutoff"
@@ -79,14 +82,29 @@ class Incremental:
             if not sinks.table_exists(self.spark, self.name(table)):
                 self.publish(table, self.spark.createDataFrame([], schema))
 
-    def begin(self, load_name: str, cutoff: Instant) -> int:
-        """Lineage key of the open load of a table; a load left open by a crash is resumed."""
+    def begin(
+        self, load_name: str, cutoff: Instant, applied: Callable[[int], bool] = lambda key: False
+    ) -> int:
+        """Lineage key of the open load of a table; a load left open by a crash is resumed.
+
+        A resumed load takes the cutoff asked for now, as its batch is read up to that. If its first
+        batch is already in the table (``applied``), another cutoff is an error: finish that load with
+        its own cutoff first.
+        """
         loads.get_cutoff(self.read(CUTOFF), load_name)
-        key = loads.open_key(self.read(LINEAGE), load_name).first()["lineage_key"]
-        if key is not None:
-            return key
-        opened = loads.open_load(self.read(LINEAGE), load_name, cutoff, self.now)
-        return loads.require_open_key(self.publish(LINEAGE, opened), load_name)
+        lineage = self.read(LINEAGE)
+        key = loads.open_key(lineage, load_name).first()["lineage_key"]
+        if key is None:
+            opened = loads.open_load(lineage, load_name, cutoff, self.now)
+            return loads.require_open_key(self.publish(LINEAGE, opened), load_name)
+        if not loads.has_cutoff(lineage, key, cutoff):
+            if applied(key):
+                raise RuntimeError(
+                    f"load {key} of {load_name!r} is applied up to its own cutoff; "
+                    f"finish it with that one before asking for {cutoff}"
+                )
+            self.publish(LINEAGE, loads.restamp(lineage, key, cutoff))
+        return key
 
     def finish(self, key: int) -> None:
         lineage, cutoffs = loads.close_load(self.read(LINEAGE), self.read(CUTOFF), key, self.now)
@@ -94,9 +112,10 @@ class Incremental:
         self.publish(CUTOFF, loads.advance_cutoff(self.read(CUTOFF), lineage, key))
 
     def dimension(self, d: Dimension, stage: DataFrame, cutoff: Instant) -> None:
-        key = self.begin(d.load_name, cutoff)
+        applied = lambda key: bool(scd.already_applied(self.read(d.table), key).collect())
+        key = self.begin(d.load_name, cutoff, applied)
         dim = self.read(d.table)
-        if not scd.already_applied(dim, key).collect():
+        if not applied(key):
             rows = scd.staged_rows(dim, stage, key).drop(d.key)
             first = [d.business_key, "Valid From"]
             order = first + [c for c in rows.columns if c not in first]
@@ -106,32 +125,25 @@ class Incremental:
             self.publish(d.table, kept.unionByName(typed))
         self.finish(key)
 
-    def sale_keys(self, stage: DataFrame, window: tuple[Instant, Instant] | None) -> DataFrame:
-        out = stage
+    def sale_keys(self, stage: DataFrame) -> DataFrame:
+        """Resolve all keys; a dimension used twice is prepared once and stored."""
+        out, ready = stage, {}
         for business_key, key, d in SALE_LOOKUPS:
-            dim = self.read(d.table)
-            profile = lookups.history_profile(dim, d.versions).first()
-            unit = lookups.slice_for(profile["depth"])
-            out = lookups.lookup_key_asof(
-                out,
-                dim,
-                d.versions,
-                business_key,
-                MODIFIED,
-                key,
-                window=window if unit else None,
-                slice_unit=unit,
-                few_long_keys=bool(unit) and profile[unit] <= lookups.FEW_KEYS,
-            )
+            if d.table not in ready:
+                dim = self.read(d.table)
+                depth = lookups.history_profile(dim, d.versions).first()["depth"]
+                prepared = lookups.prepare_versions(
+                    stage, dim, d.versions, MODIFIED, lookups.slice_for(depth)
+                )
+                ready[d.table] = replace(prepared, rows=cut_lineage(prepared.rows))
+            out = lookups.lookup_prepared(out, ready[d.table], business_key, MODIFIED, key)
         return out
 
-    def sale(
-        self, stage: DataFrame, cutoff: Instant, window: tuple[Instant, Instant] | None = None
-    ) -> None:
+    def sale(self, stage: DataFrame, cutoff: Instant) -> None:
         """Resolve keys, then rewrite only the invoice dates that lose or gain rows."""
         key = self.begin(SALE, cutoff)
         fact = self.read(SALE_TABLE)
-        resolved = self.sale_keys(stage, window).withColumn("Lineage Key", F.lit(key))
+        resolved = self.sale_keys(stage).withColumn("Lineage Key", F.lit(key))
         columns = [c for c in fact.columns if c != SALE_KEY]
         rows = resolved.select(
             *(F.col(f"`{c}`").cast(fact.schema[c].dataType).alias(c) for c in columns)
@@ -176,7 +188,6 @@ def run_incremental(
     cutoff: Instant,
     now: Instant,
     prefix: str = "",
-    window: tuple[Instant, Instant] | None = None,
 ) -> None:
     """Apply staged frames, keyed by load name, to the published warehouse tables."""
     run = Incremental(spark, root, now, prefix)
@@ -185,7 +196,28 @@ def run_incremental(
         if d.load_name in stage:
             run.dimension(d, stage[d.load_name], cutoff)
     if SALE in stage:
-        run.sale(stage[SALE], cutoff, window)
+        run.sale(stage[SALE], cutoff)
     if HOLDING in stage:
         run.holding(stage[HOLDING], cutoff)
 
+
+
+def run_changes(
+    spark: SparkSession,
+    sources: Mapping[str, tuple[DataFrame, str]],
+    root: str,
+    cutoff: Instant,
+    now: Instant,
+    prefix: str = "",
+) -> None:
+    """The run that drives itself: read each source's changes since its stored cutoff, then apply them.
+
+    ``sources`` gives, by load name, the source and its change time. A load takes the rows after its own
+    last cutoff up to ``cutoff``, which becomes the next one when the load is closed.
+    """
+    cutoffs = Incremental(spark, root, now, prefix).read(CUTOFF)
+    stage = {
+        name: extract_changes(df, changed, loads.get_cutoff(cutoffs, name), cutoff)
+        for name, (df, changed) in sources.items()
+    }
+    run_incremental(spark, stage, root, cutoff, now, prefix)

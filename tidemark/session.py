@@ -9,7 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 # AQE sizes the reduce side at run time and splits skewed join partitions. Broadcasts are left to
 # Spark's own size check (autoBroadcastJoinThreshold on file and shuffle statistics), so a dimension
 # that outgrows the limit falls back to a sort-merge join without a code change.
+# AQE merges reduce partitions and never makes more, so it starts from many: at 100 TB each of these
+# many holds some GB of a full shuffle, and a small shuffle is merged down to the advisory size.
+INITIAL_PARTITIONS = "20000"
+
 SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": INITIAL_PARTITIONS,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -21,6 +26,12 @@ SETTINGS = {
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **extra: str) -> SparkSession:
+    """A session for a cluster; a local master starts from ``spark.sql.shuffle.partitions`` instead."""
+    if master and master.startswith("local"):
+        extra.setdefault(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            extra.get("spark.sql.shuffle.partitions", "200"),
+        )
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -30,12 +41,17 @@ def build_session(app: str = "tidemark", master: str | None = None, **extra: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the shared folder the cluster names; fall back to a temporary one only where none is set."""
+    """Use the shared folder the cluster names. A temporary one stands in for it on a local master alone,
+    where driver and executors are one process."""
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current:
         return current
-    folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-")
+    folder = spark.conf.get("spark.checkpoint.dir", "")
+    if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="spark-")
     context.setCheckpointDir(folder)
     return folder
 

@@ -10,8 +10,11 @@ from __future__ import annotations
 
 import time
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructField
+
 
 def create_layers(spark: SparkSession, root: str, layers: tuple[str, ...], prefix: str = "") -> None:
     for layer in layers:
@@ -25,66 +28,115 @@ def table_exists(spark: SparkSession, table: str) -> bool:
 
 
 def refresh(df: DataFrame, table: str, root: str) -> DataFrame:
-    """Full refresh; returns the table as published. ``df`` may read the table itself."""
+    """Full refresh; returns the table as published. ``df`` may read the table itself.
+
+    New columns behind the known ones are added to the definition. Any other change of columns makes a
+    new definition beside the old one, complete with its files, which then takes over the name.
+    """
     spark = df.sparkSession
-    version = f"{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+    version = _version()
     folder = f"{root}/{table.replace('.', '/')}/v={version}"
     df.write.mode("errorifexists").parquet(folder)
-    if table_exists(spark, table) and _same_columns(spark, table, df):
+    added = _added_columns(spark, table, df) if table_exists(spark, table) else None
+    if added is not None:
+        _add_columns(spark, table, added)
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
         spark.catalog.refreshTable(table)
-    else:
+    elif table_exists(spark, table):
+        successor = f"{table}__{version.replace('-', '_')}"
+        spark.catalog.createTable(successor, path=folder, source="parquet")
         # External: dropping the old definition leaves its files.
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.sql(f"DROP TABLE {table}")
+        spark.sql(f"ALTER TABLE {successor} RENAME TO {table}")
+    else:
         spark.catalog.createTable(table, path=folder, source="parquet")
     return spark.table(table)
 
 
+def _version() -> str:
+    return f"{time.time_ns()}-{uuid.uuid4().hex[:8]}"
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def written_partitions(spark: SparkSession, folder: str, partition: str) -> dict[str | None, str]:
+    """Partition values of a folder Spark has written, with their paths, from the folder names alone.
+
+    One entry per partition folder; no file is opened and no type is guessed.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = {}
+    for status in files.listStatus(path):
+        name = status.getPath().getName()
+        if status.isDirectory() and "=" in name:
+            # Spark escapes special characters as %XX. The fixed name stands for NULL.
+            value = unquote(name.split("=", 1)[1])
+            found[None if value == "__HIVE_DEFAULT_PARTITION__" else value] = f"{folder}/{name}"
+    return found
+
+
+def known_partitions(spark: SparkSession, table: str) -> set[str | None]:
+    listed = spark.sql(f"SHOW PARTITIONS {table}").collect()
+    values = {unquote(row[0].split("=", 1)[1]) for row in listed}
+    return {None if v in ("__HIVE_DEFAULT_PARTITION__", "null") else v for v in values}
+
+
 def refresh_partitions(
-    df: DataFrame, table: str, root: str, partition: str, touched: list[str]
+    df: DataFrame, table: str, root: str, partition: str, touched: list[str | None]
 ) -> DataFrame:
     """Replace the ``touched`` partitions of a table with the rows of ``df``; others keep their files.
 
-    All rows go to one new version folder in one job, then each partition is pointed at its part of
-    it. A touched partition without rows is dropped. The loop over partitions only edits the
-    catalog. The rebalance packs a partition into few files and splits one that holds most rows.
+    All rows go to one new version folder in one job. Then the catalog is edited by one statement that
+    takes out the old partitions and one that puts in the new ones. A touched partition without rows is
+    gone. The rebalance packs a partition into few files and splits one that holds most rows. Columns
+    behind the known ones are added; any other change of columns is an error, as it concerns all partitions.
     """
     spark = df.sparkSession
-    folder = f"{root}/{table.replace('.', '/')}/v={time.time_ns()}-{uuid.uuid4().hex[:8]}"
-    columns = [f"`{c}`" for c in df.columns if c != partition]
-    packed = df.hint("rebalance", F.col(f"`{partition}`"))
-    packed.write.partitionBy(partition).mode("errorifexists").parquet(folder)
+    folder = f"{root}/{table.replace('.', '/')}/v={_version()}"
+    columns = [c for c in df.columns if c != partition]
+    ordered = df.select(*(F.col(f"`{c}`") for c in [*columns, partition]))
     if not table_exists(spark, table):
-        declared = ", ".join(
-            f"`{f.name}` {f.dataType.simpleString()}"
-            for f in [*(df.schema[c.strip("`")] for c in columns), df.schema[partition]]
-        )
+        declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ordered.schema.fields)
         spark.sql(
             f"CREATE TABLE {table} ({declared}) USING parquet PARTITIONED BY (`{partition}`) "
             f"LOCATION '{root}/{table.replace('.', '/')}/base'"
         )
-    written = {
-        row[0]
-        for row in spark.read.parquet(folder).select(F.col(f"`{partition}`").cast("string")).distinct().collect()
-    }
-    known = {row[0].split("=", 1)[1] for row in spark.sql(f"SHOW PARTITIONS {table}").collect()}
-    for value in sorted(set(touched) | written):
-        spec = f"PARTITION (`{partition}` = '{value}')"
-        if value not in written:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {spec}")
-            continue
-        target = f"{folder}/{partition}={value}"
-        if value in known:
-            spark.sql(f"ALTER TABLE {table} {spec} SET LOCATION '{target}'")
-        else:
-            spark.sql(f"ALTER TABLE {table} ADD {spec} LOCATION '{target}'")
+    added = _added_columns(spark, table, ordered, partition)
+    if added is None:
+        raise ValueError(f"{table}: columns changed; publish the whole table with refresh")
+    packed = ordered.hint("rebalance", F.col(f"`{partition}`"))
+    packed.write.partitionBy(partition).mode("errorifexists").parquet(folder)
+    _add_columns(spark, table, added)
+    written = written_partitions(spark, folder, partition)
+    spec = lambda v: f"PARTITION (`{partition}` = {'null' if v is None else _literal(v)})"
+    order = lambda values: sorted(values, key=lambda v: (v is not None, v or ""))
+    gone = order((set(touched) | set(written)) & known_partitions(spark, table))
+    if gone:
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS " + ", ".join(map(spec, gone)))
+    if written:
+        placed = (f"{spec(v)} LOCATION {_literal(written[v])}" for v in order(written))
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(placed))
     spark.catalog.refreshTable(table)
     return spark.table(table)
 
 
-def _same_columns(spark: SparkSession, table: str, df: DataFrame) -> bool:
-    old = [(f.name, f.dataType) for f in spark.table(table).schema.fields]
-    return old == [(f.name, f.dataType) for f in df.schema.fields]
+def _added_columns(
+    spark: SparkSession, table: str, df: DataFrame, partition: str | None = None
+) -> list[StructField] | None:
+    """Columns of ``df`` behind those of the table, or None if it is not the table's columns and more."""
+    plain = lambda schema: [f for f in schema.fields if f.name != partition]
+    old, new = plain(spark.table(table).schema), plain(df.schema)
+    known = [(f.name, f.dataType) for f in old]
+    return new[len(old) :] if known == [(f.name, f.dataType) for f in new[: len(old)]] else None
+
+
+def _add_columns(spark: SparkSession, table: str, fields: list[StructField]) -> None:
+    if fields:
+        declared = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({declared})")
 
 
 def append(df: DataFrame, table: str, root: str) -> None:

@@ -73,8 +73,8 @@ VIEWS = {
            s.total_including_tax, s.profit, s.invoice_id AS wwi_invoice_id, s.customer_id AS wwi_customer_id,
            s.stock_item_key AS wwi_stock_item_id
     FROM v_sale s
-    JOIN (SELECT customer_key FROM v_customer WHERE category <> 'BUILDING') c ON s.customer_key = c.customer_key
-    JOIN part ON p_partkey = s.stock_item_key AND p_size <= 45""",
+    JOIN (SELECT customer_key FROM v_customer) c ON s.customer_key = c.customer_key
+    JOIN part ON p_partkey = s.stock_item_key""",
     "v_daily": """
     SELECT invoice_date_key AS sale_date, stock_item_key, p_partkey AS stock_item_id, p_name AS stock_item_name,
            sum(quantity) AS quantity_sold, sum(total_including_tax) AS gross_revenue,
@@ -118,8 +118,9 @@ VIEWS = {
                    || '/mart_' || o_custkey || '.sql' AS target_path,
            CASE {RANK} WHEN '1' THEN 'final' WHEN '2' THEN 'review' WHEN '3' THEN 'draft' WHEN '4' THEN 'blocked'
                 ELSE 'unknown' END AS status,
-           CASE WHEN year(o_orderdate) <> 1999 THEN 'ok' END AS notes, year(o_orderdate) = 2000 AS extra
-    FROM orders WHERE o_totalprice >= 100000""",
+           CASE WHEN year(o_orderdate) <> 1999 THEN 'ok' END AS notes, year(o_orderdate) = 2000 AS extra,
+           o_totalprice >= 100000 AS filed
+    FROM orders""",
     "v_violation": f"""
     SELECT record_id, 1 AS pos, 'target_path: pattern' AS violation FROM v_record WHERE {_bad_path("target_path")}
     UNION ALL SELECT record_id, 2, 'status: not allowed' FROM v_record WHERE status = 'unknown'
@@ -133,7 +134,7 @@ VIEWS = {
            (SELECT string_agg(violation, '; ' ORDER BY pos) FROM v_violation x WHERE x.record_id = r.record_id) AS bad
     FROM (SELECT * FROM v_backlog WHERE status <> 'done' AND target_layer <> 'n/a') b
     LEFT JOIN (SELECT record_id, item_id AS r_item, legacy_proc AS r_proc, target_path AS r_path, status AS r_status,
-                      notes AS r_notes FROM v_record) r ON r.record_id = b.item_id
+                      notes AS r_notes FROM v_record WHERE filed) r ON r.record_id = b.item_id
     LEFT JOIN v_target t ON t.target_path = r.r_path""",
     "v_state": """
     SELECT *, CASE WHEN record_id IS NULL THEN 'missing' WHEN bad IS NOT NULL THEN 'invalid'
@@ -155,8 +156,17 @@ VIEWS = {
     FROM v_state""",
     "v_map": f"""
     SELECT 'Load.Order' || o_orderkey AS legacy_proc,
-           CASE {RANK} WHEN '1' THEN 'final' WHEN '2' THEN 'draft' ELSE 'blocked' END AS status
+           CASE {RANK} WHEN '1' THEN 'final' WHEN '2' THEN 'draft' ELSE 'blocked' END AS status,
+           'jobs/gold/mart_' || o_custkey || '.sql' AS target_path
     FROM orders WHERE o_totalprice >= 100000""",
+    "v_gate_backlog": """
+    SELECT item_id, legacy_proc, target_path,
+           CASE WHEN CAST(substr(item_id, 6) AS BIGINT) % 11 <> 0 THEN status END AS status,
+           CASE WHEN CAST(substr(item_id, 6) AS BIGINT) % 13 <> 0 THEN target_layer END AS target_layer FROM v_backlog""",
+    "v_catalog": """
+    SELECT CASE p_size % 9 WHEN 0 THEN 'SYS' WHEN 1 THEN 'information_schema' ELSE p_brand END AS source_schema,
+           p_name || ' ' || p_partkey AS source_name FROM part
+    WHERE p_size >= 5 AND p_size % 9 > 1""",
     "v_counted": f"""
     SELECT o_custkey, 'run-' || {RANK} AS run_id, count(*) AS e, count(*) FILTER (o_orderstatus <> 'P') AS a,
            max(o_orderdate) AS ts FROM orders GROUP BY 1, 2""",
@@ -165,6 +175,10 @@ VIEWS = {
            'bronze.customer_' || o_custkey AS table_name, CAST(e AS VARCHAR) AS expected,
            CAST(a AS VARCHAR) AS actual, CAST(a - e AS VARCHAR) AS delta,
            CASE WHEN a = e THEN 'pass' ELSE 'fail' END AS result, run_id, ts FROM v_counted""",
+    "v_gate_reconcile": """
+    SELECT check_id, expected, actual, result, run_id FROM v_reconcile
+    UNION ALL SELECT 'bronze_vs_source:' || landing_name, '1', '1', 'pass', 'run-1' FROM v_inventory
+    WHERE landing_name IS NOT NULL AND p_retailprice >= 930""",
     "v_expect": """
     SELECT p_type || '_' || p_partkey AS fixture_name, 'gold.item_' || p_partkey AS target_table,
            'row_count' AS metric, CASE WHEN p_type <> 'SMALL' THEN CAST(p_size AS BIGINT) END AS expected,
@@ -195,12 +209,15 @@ VIEWS = {
     FROM v_inventory WHERE object_type = 'table' AND NOT skip
       AND landing_name NOT IN (SELECT table_name FROM v_bronze)
     UNION ALL SELECT 'reconcile_fail:' || check_id, 'expected ' || expected || ', actual ' || actual, NULL
-    FROM v_reconcile WHERE run_id = 'run-1' AND result = 'fail'
+    FROM v_gate_reconcile WHERE run_id = 'run-1' AND result = 'fail'
+    UNION ALL SELECT 'reconcile_fail:bronze_vs_source:' || landing_name, 'not compared: ' || landing_name, NULL
+    FROM v_inventory WHERE object_type = 'table' AND NOT skip
+      AND 'bronze_vs_source:' || landing_name NOT IN (SELECT check_id FROM v_gate_reconcile WHERE run_id = 'run-1')
     UNION ALL SELECT 'events_missing:' || agent, 'no event from ' || agent, NULL
     FROM (VALUES ('coordinator'), ('assess'), ('convert'), ('test'), ('gate')) AS a(agent)
     WHERE agent NOT IN (SELECT agent FROM v_gate_events WHERE run_id = 'run-1')
     UNION ALL SELECT 'convert_missing:' || item_id, 'no conversion record or file', item_id
-    FROM v_backlog b WHERE status <> 'blocked' AND target_layer <> 'n/a'
+    FROM v_gate_backlog b WHERE coalesce(status, '') <> 'blocked' AND coalesce(target_layer, '') <> 'n/a'
       AND NOT (legacy_proc IN (SELECT legacy_proc FROM v_map WHERE status IN ('draft', 'review', 'final'))
                AND target_path IN (SELECT target_path FROM v_target))""",
 }
@@ -405,7 +422,57 @@ STATEMENTS = {
                AS target_table_full_name, l_shipdate AS event_time FROM lineitem)
     WHERE source_table_full_name LIKE 'wh.%' OR target_table_full_name LIKE 'wh.%'
     ORDER BY event_time DESC, source_table_full_name, target_table_full_name LIMIT 50""",
-    "merged_results": "SELECT * FROM v_merged",
+    "merged_results": "SELECT *, CAST(substr(item_id, 6) AS BIGINT) AS position FROM v_merged",
+    "conversion_map": """
+    SELECT legacy_proc, target_path, status FROM v_map
+    UNION ALL SELECT target_path, target_path, map_status
+    FROM (SELECT *, row_number() OVER (PARTITION BY target_path ORDER BY CAST(substr(item_id, 6) AS BIGINT) DESC) AS rn
+          FROM v_merged WHERE map_status IS NOT NULL) WHERE rn = 1""",
+    "backlog_item_violations": """
+    SELECT o_orderkey AS record_id, 'legacy_proc: type' AS violation FROM orders WHERE o_orderkey % 7 = 0
+    UNION ALL SELECT o_orderkey, 'classification: not allowed' FROM orders WHERE o_orderpriority LIKE '5%'
+    UNION ALL SELECT o_orderkey, 'target_path: type' FROM orders
+    UNION ALL SELECT o_orderkey, 'priority: missing' FROM orders WHERE o_orderstatus = 'P'""",
+    "context_violations": """
+    SELECT c_custkey AS record_id, 'run_id: pattern' AS violation FROM customer WHERE c_custkey % 5 = 0
+    UNION ALL SELECT c_custkey, 'source_type: not allowed' FROM customer WHERE c_mktsegment = 'BUILDING'
+    UNION ALL SELECT c_custkey, 'foreign_catalog: too short' FROM customer WHERE c_acctbal < 0
+    UNION ALL SELECT c_custkey, 'scoped_tables[]: type' FROM customer WHERE c_custkey % 4 = 0
+    UNION ALL SELECT c_custkey, 'max_retries: above 5' FROM customer WHERE c_custkey % 8 > 5""",
+    "reconcile_report_violations": """
+    SELECT o_orderkey AS record_id, CASE o_orderkey % 8 WHEN 0 THEN 'checks[]: type'
+             WHEN 1 THEN 'checks[].result: not allowed' WHEN 2 THEN 'checks[].check_id: type'
+             WHEN 3 THEN 'checks[].expected: type' WHEN 4 THEN 'checks[].delta: missing'
+             ELSE 'checks[]: unknown' END AS violation FROM orders WHERE o_orderkey % 8 < 6
+    UNION ALL SELECT o_orderkey, 'summary.total: below 1' FROM orders WHERE o_orderkey % 3 = 0
+    UNION ALL SELECT o_orderkey, 'summary.unknown: more' FROM orders WHERE o_orderkey % 5 = 0""",
+    "manifest_violations": """
+    SELECT p_partkey AS record_id, 'blockers[]: type' AS violation FROM part WHERE p_partkey % 6 = 0
+    UNION ALL SELECT p_partkey, 'blockers[].id: type' FROM part WHERE p_partkey % 6 = 1
+    UNION ALL SELECT p_partkey, 'blockers[].message: type' FROM part WHERE p_partkey % 6 = 1
+    UNION ALL SELECT p_partkey, 'blockers[].message: missing' FROM part WHERE p_partkey % 6 = 2
+    UNION ALL SELECT p_partkey, 'converted_artifacts[]: type' FROM part WHERE p_partkey % 5 = 0
+    UNION ALL SELECT p_partkey, 'converted_artifacts[].status: not allowed' FROM part WHERE p_partkey % 5 = 1
+    UNION ALL SELECT p_partkey, 'attempt: below 0' FROM part WHERE p_size < 3
+    UNION ALL SELECT p_partkey, 'summary.tables_total: type' FROM part WHERE p_partkey % 7 = 0""",
+    "undated_customers": """
+    SELECT customer_key, customer_id FROM v_customer WHERE buying_group_id = '5-LOW'""",
+    "changes_since_cutoff": f"""
+    SELECT * FROM orders WHERE o_orderdate > {AS_OF} AND o_orderdate <= {LOADED}""",
+    "discovered_tables": f"""
+    SELECT 'table' AS object_type, source_schema, source_name, {_landing("source_schema", "source_name")} AS landing_name,
+           false AS skip FROM v_catalog""",
+    "federation_smoke": """
+    SELECT 'federation_smoke_ok' AS check_name, (SELECT count(*) FROM v_catalog) AS foreign_base_tables,
+           (SELECT count(DISTINCT n_nationkey % 6) FROM nation WHERE n_nationkey % 6 < 5) = 5 AS managed_schemas_ok""",
+    "gate_hero": f"""
+    SELECT 'run-1' AS run_id, (SELECT CASE WHEN count(*) = 0 THEN 'pass' ELSE 'fail' END FROM v_blockers) AS gate,
+           CAST(count(*) FILTER (object_type = 'table' AND NOT skip
+             AND landing_name IN (SELECT table_name FROM v_bronze)) AS INTEGER) AS tables_landed,
+           CAST(count(*) FILTER (object_type = 'table' AND NOT skip) AS INTEGER) AS tables_total,
+           (SELECT CAST(count(*) AS INTEGER) FROM v_gate_backlog WHERE status = 'converted') AS procs_converted,
+           CAST(count(*) FILTER (object_type <> 'table' AND NOT skip) AS INTEGER) AS procs_total,
+           {LOADED} AS updated_at FROM v_inventory""",
     "convert_summary": """
     SELECT count(*) FILTER (status = 'converted') AS converted, count(*) FILTER (status = 'blocked') AS blocked,
            count(*) FILTER (missing) AS missing_results, count(*) AS total FROM v_merged""",
@@ -464,7 +531,8 @@ STATEMENTS = {
            CAST(n AS VARCHAR) AS actual, CAST(n - coalesce(expected, 0) AS VARCHAR) AS delta,
            CASE WHEN expected IS NULL OR (compare = 'gte' AND n >= expected) OR n = expected
                 THEN 'pass' ELSE 'fail' END AS result, 'run-1' AS run_id, {LOADED} AS ts
-    FROM (SELECT v_expect.*, (SELECT count(*) FROM lineitem WHERE l_partkey = p_partkey) AS n FROM v_expect)""",
+    FROM (SELECT v_expect.*, CASE WHEN p_partkey % 10 <> 3 THEN
+                   (SELECT count(*) FROM lineitem WHERE l_partkey = p_partkey) END AS n FROM v_expect)""",
     "source_smoke": "SELECT 'source_ok' AS check_name, "
     + ", ".join(f"(SELECT count(*) FROM {t}) AS {t}_rows" for t in _TABLES),
     "gate_blockers": "SELECT * FROM v_blockers",

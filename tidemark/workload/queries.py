@@ -24,6 +24,7 @@ from tidemark.operators import (
     scd,
     tableops,
 )
+from tidemark.sources import discovery
 from tidemark.sources.external import extract_changes
 from tidemark.workload.views import AS_OF, BATCH_START, LOADED_AT, Views, to_double, ts
 
@@ -60,14 +61,14 @@ def query(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
 def silver_fact(v: Views) -> DataFrame:
     return conform.fact_sale(
         v.sale,
-        conform.dim_customer_scd2(v.some_customer, LOADED_AT),
-        conform.dim_stock_item(v.small_stock_item),
+        conform.dim_customer_scd2(v.customer, LOADED_AT),
+        conform.dim_stock_item(v.stock_item),
     )
 
 
 def daily_sales(v: Views) -> DataFrame:
     return marts.mart_daily_sales(
-        silver_fact(v), conform.dim_date(v.date), conform.dim_stock_item(v.small_stock_item)
+        silver_fact(v), conform.dim_date(v.date), conform.dim_stock_item(v.stock_item)
     )
 
 
@@ -85,6 +86,23 @@ def landing_names(v: Views) -> DataFrame:
     return landing.with_landing_names(v.inventory.select("source_schema", "source_name"))
 
 
+@query
+def discovered_tables(v: Views) -> DataFrame:
+    return discovery.discover_tables(v.catalog).drop("skip_reason")
+
+
+@query
+def federation_smoke(v: Views) -> DataFrame:
+    """Base tables of the source and whether the managed schemas exist."""
+    names = v.table("nation").select(
+        F.element_at(
+            F.array(*(F.lit(n) for n in ("BRONZE", "silver", "gold", "ops", "source_fed", "extra"))),
+            F.col("n_nationkey") % 6 + 1,
+        ).alias("schema_name")
+    )
+    return discovery.source_smoke(v.catalog, names)
+
+
 @query
 def landing_collisions(v: Views) -> DataFrame:
     shorter = F.regexp_extract("source_name", r"^[^.]*", 0)
@@ -134,6 +152,16 @@ def dim_date(v: Views) -> DataFrame:
     return conform.dim_date(v.date)
 
 
+@query
+def undated_customers(v: Views) -> DataFrame:
+    """Customer versions without a start, which are neither admitted nor in quarantine."""
+    lost = F.col("Buying Group") == "5-LOW"
+    dated = v.customer.withColumn("Valid From", F.when(~lost, F.col("Valid From")))
+    return conform.undated(dated, "Valid From").select(
+        F.col("Customer Key").alias("customer_key"), F.col("WWI Customer ID").alias("customer_id")
+    )
+
+
 @query
 def dim_customer_scd2(v: Views) -> DataFrame:
     return conform.dim_customer_scd2(v.customer, AS_OF)
@@ -248,11 +276,11 @@ def fact_sample(v: Views) -> DataFrame:
 
 @query
 def asof_keys(v: Views) -> DataFrame:
-    out = v.sale_stage
+    out, ready = v.sale_stage, {}
     for business_key, key, dim, versions in LOOKUPS:
-        out = lookups.lookup_key_asof(
-            out, getattr(v, dim), versions, business_key, "Last Modified When", key
-        )
+        if dim not in ready:
+            ready[dim] = lookups.prepare_versions(out, getattr(v, dim), versions, "Last Modified When")
+        out = lookups.lookup_prepared(out, ready[dim], business_key, "Last Modified When", key)
     return out.select("Sale Key", *(key for _, key, _, _ in LOOKUPS)).toDF(
         "sale_key",
         "city_key",
@@ -266,11 +294,6 @@ def asof_keys(v: Views) -> DataFrame:
 @query
 def asof_keys_sliced(v: Views) -> DataFrame:
     """The customer lookup by calendar slices, as used for long histories."""
-    shipped = v.table("lineitem")
-    span = (
-        shipped.agg(F.min("l_shipdate")).scalar(),
-        shipped.agg(F.max("l_shipdate")).scalar(),
-    )
     return lookups.lookup_key_asof(
         v.sale_stage,
         v.customer_versions,
@@ -278,7 +301,6 @@ def asof_keys_sliced(v: Views) -> DataFrame:
         "WWI Customer ID",
         "Last Modified When",
         "Customer Key",
-        window=span,
         slice_unit="month",
         long_history=8,
     ).select(F.col("Sale Key").alias("sale_key"), F.col("Customer Key").alias("customer_key"))
@@ -376,6 +398,15 @@ def etl_cutoffs(v: Views) -> DataFrame:
     return loads.advance_cutoff(v.cutoffs, opened, key).toDF("table_name", "cutoff_time")
 
 
+@query
+def changes_since_cutoff(v: Views) -> DataFrame:
+    """What the next load reads: from the stored cutoff of its table to now."""
+    opened = _opened(v)
+    key = loads.open_key(opened, "Customer 7").scalar()
+    last = loads.get_cutoff(loads.advance_cutoff(v.cutoffs, opened, key), "Customer 7")
+    return extract_changes(v.table("orders"), "o_orderdate", last, LOADED_AT)
+
+
 @query
 def replace_run(v: Views) -> DataFrame:
     rechecked = (
@@ -501,7 +532,7 @@ def lineage(v: Views) -> DataFrame:
 
 
 def _merged(v: Views) -> DataFrame:
-    checked = records.validate_records(v.record_texts, records.CONVERT_RESULT)
+    checked = records.validate_records(v.filed_texts, records.CONVERT_RESULT)
     results = checked.select("record_id", "parsed.*", "violations")
     return bl.merge_results(v.backlog, results, v.targets)
 
@@ -521,6 +552,15 @@ def merged_backlog(v: Views) -> DataFrame:
     return bl.apply_merge(v.backlog, _merged(v))
 
 
+@query
+def conversion_map(v: Views) -> DataFrame:
+    """The map keyed by target path, which many items share: the last of them in the backlog wins."""
+    found = bl.conversion_map_rows(_merged(v), ts(LOADED_AT)).withColumn("legacy_proc", F.col("target_path"))
+    return tableops.upsert(
+        v.conversion_map, found, ["legacy_proc"], [F.col(c) for c in bl.MAP_ORDER]
+    ).drop("updated_at")
+
+
 @query
 def backlog_violations(v: Views) -> DataFrame:
     return bl.check_backlog(v.backlog)
@@ -537,6 +577,30 @@ def record_violations(v: Views) -> DataFrame:
     return records.violation_rows(checked, "record_id")
 
 
+def _violations(texts: DataFrame, contract: records.Contract) -> DataFrame:
+    return records.violation_rows(records.validate_records(texts, contract), "record_id")
+
+
+@query
+def backlog_item_violations(v: Views) -> DataFrame:
+    return _violations(v.backlog_texts, records.BACKLOG_ITEM)
+
+
+@query
+def context_violations(v: Views) -> DataFrame:
+    return _violations(v.context_texts, records.context_contract())
+
+
+@query
+def reconcile_report_violations(v: Views) -> DataFrame:
+    return _violations(v.report_texts, records.RECONCILE_REPORT)
+
+
+@query
+def manifest_violations(v: Views) -> DataFrame:
+    return _violations(v.manifest_texts, records.MANIFEST)
+
+
 @query
 def check_not_null(v: Views) -> DataFrame:
     orders = v.table("orders").select(
@@ -596,8 +660,8 @@ def gate_blockers(v: Views) -> DataFrame:
     return gate.gate_blockers(
         v.inventory,
         v.bronze_tables,
-        v.reconcile,
-        v.backlog,
+        v.gate_reconcile,
+        v.gate_backlog,
         v.conversion_map,
         v.targets,
         v.gate_events,
@@ -620,3 +684,11 @@ def run_summary(v: Views) -> DataFrame:
     return gate.run_summary(
         v.inventory, v.bronze_tables, v.reconcile, v.backlog, v.gate_events, "run-1"
     )
+
+
+@query
+def gate_hero(v: Views) -> DataFrame:
+    summary = gate.run_summary(
+        v.inventory, v.bronze_tables, v.gate_reconcile, v.gate_backlog, v.gate_events, "run-1"
+    )
+    return reports.gate_hero(gate.manifest_row(gate_verdict(v), summary, LOADED_AT))

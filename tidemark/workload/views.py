@@ -294,7 +294,7 @@ class Views:
 
     @cached_property
     def record_texts(self) -> DataFrame:
-        """Conversion records as JSON; cheap orders have none, some break the contract."""
+        """Conversion records as JSON, one per order; some break the contract."""
         rank = F.substring("o_orderpriority", 1, 1)
         year = F.year("o_orderdate")
         status = (
@@ -308,8 +308,8 @@ class Views:
         item = F.concat(F.lit("item-"), "o_orderkey")
         return (
             self.table("orders")
-            .filter("o_totalprice >= 100000")
             .select(
+                "o_totalprice",
                 item.alias("record_id"),
                 F.to_json(
                     F.struct(
@@ -327,6 +327,11 @@ class Views:
             )
         )
 
+    @cached_property
+    def filed_texts(self) -> DataFrame:
+        """The records that have been filed; those of cheap orders are missing."""
+        return self.record_texts.filter("o_totalprice >= 100000").drop("o_totalprice")
+
     @cached_property
     def targets(self) -> DataFrame:
         layers = F.explode(F.array(F.lit("silver"), F.lit("gold")))
@@ -394,10 +399,130 @@ class Views:
             ts(LOADED_AT).alias("staged_at"),
         )
 
+    @cached_property
+    def catalog(self) -> DataFrame:
+        """A source catalog: parts as tables, the small ones as views, some in system schemas."""
+        system = F.when(F.col("p_size") % 9 == 0, "SYS").when(F.col("p_size") % 9 == 1, "information_schema")
+        return self.table("part").select(
+            F.coalesce(system, F.col("p_brand")).alias("table_schema"),
+            F.concat("p_name", F.lit(" "), "p_partkey").alias("table_name"),
+            F.when(F.col("p_size") < 5, "VIEW").otherwise("BASE TABLE").alias("table_type"),
+        )
+
+    @cached_property
+    def gate_reconcile(self) -> DataFrame:
+        """Reconcile results that also hold a passing count of most landed tables."""
+        compared = self.inventory.filter("landing_name IS NOT NULL AND p_retailprice >= 930").select(
+            F.concat(F.lit("bronze_vs_source:"), "landing_name").alias("check_id"),
+            F.concat(F.lit("bronze."), "landing_name").alias("table_name"),
+            F.lit("1").alias("expected"),
+            F.lit("1").alias("actual"),
+            F.lit("0").alias("delta"),
+            F.lit("pass").alias("result"),
+            F.lit("run-1").alias("run_id"),
+            ts(LOADED_AT).alias("ts"),
+        )
+        return self.reconcile.unionByName(compared)
+
+    @cached_property
+    def gate_backlog(self) -> DataFrame:
+        """The backlog with unknown states and layers; what is unknown still owes a conversion."""
+        number = F.regexp_extract("item_id", "[0-9]+", 0).cast("bigint")
+        return self.backlog.withColumns(
+            {
+                "status": F.when(number % 11 != 0, F.col("status")),
+                "target_layer": F.when(number % 13 != 0, F.col("target_layer")),
+            }
+        )
+
+    @cached_property
+    def backlog_texts(self) -> DataFrame:
+        """Backlog items as JSON; some have unknown values, numbers for text, or lack a field."""
+        urgent = F.substring("o_orderpriority", 1, 1)
+        return self.table("orders").select(
+            F.col("o_orderkey").alias("record_id"),
+            F.concat(
+                F.lit('{"item_id":"item-'), "o_orderkey", F.lit('","legacy_proc":'),
+                F.when(F.col("o_orderkey") % 7 == 0, "5").otherwise('"p"'),
+                F.lit(',"classification":"'), F.when(urgent == "5", "unsure").otherwise("migrate"),
+                F.lit('","reads":"","writes":"","target_layer":"'), self._layer(),
+                F.lit('","target_path":null,'),
+                F.when(F.col("o_orderstatus") == "P", "").otherwise('"priority":"high",'),
+                F.lit('"risk_flags":"","status":"pending"}'),
+            ).alias("record"),
+        )
+
+    @cached_property
+    def context_texts(self) -> DataFrame:
+        """Run contexts as JSON, by customer."""
+        key = F.col("c_custkey")
+        return self.table("customer").select(
+            key.alias("record_id"),
+            F.concat(
+                F.lit('{"run_id":"'), F.lpad(key.cast("string"), 36, "0"),
+                F.when(key % 5 == 0, "z").otherwise(""), F.lit('","source_type":"'),
+                F.when(F.col("c_mktsegment") == "BUILDING", "oracle").otherwise("mysql"),
+                F.lit('","foreign_catalog":"'), F.when(F.col("c_acctbal") < 0, "").otherwise("f"),
+                F.lit('","uc_catalog":"c","scoped_tables":["a",'),
+                F.when(key % 4 == 0, "7").otherwise('"b"'), F.lit('],"workspace_host":"h","max_retries":'),
+                (key % 8).cast("string"), F.lit(',"routines_skipped_reason":null}'),
+            ).alias("record"),
+        )
+
+    @cached_property
+    def report_texts(self) -> DataFrame:
+        """Reconcile reports as JSON, by order; faults lie in the second of two checks."""
+        key = F.col("o_orderkey")
+        check = '{"check_id":"c","table":"t","expected":"1","actual":"1","delta":"0","result":"pass"}'
+        second = (
+            F.when(key % 8 == 0, "5")
+            .when(key % 8 == 1, check.replace('"pass"', '"maybe"'))
+            .when(key % 8 == 2, check.replace('"check_id":"c"', '"check_id":7'))
+            .when(key % 8 == 3, check.replace('"expected":"1"', '"expected":null'))
+            .when(key % 8 == 4, check.replace('"delta":"0",', ""))
+            .when(key % 8 == 5, check.replace("}", ',"x":1}'))
+            .otherwise(check)
+        )
+        extra = F.when(key % 5 == 0, ',"more":1').otherwise("")
+        return self.table("orders").select(
+            key.alias("record_id"),
+            F.concat(
+                F.lit('{"run_id":"r","checks":['), F.lit(check), F.lit(","), second,
+                F.lit('],"summary":{"passed":2,"failed":0,"total":'), (key % 3).cast("string"), extra, F.lit("}}"),
+            ).alias("record"),
+        )
+
+    @cached_property
+    def manifest_texts(self) -> DataFrame:
+        """Manifests as JSON, by part."""
+        key = F.col("p_partkey")
+        blocker = (
+            F.when(key % 6 == 0, '"x"')
+            .when(key % 6 == 1, '{"id":5,"message":null}')
+            .when(key % 6 == 2, '{"id":"b"}')
+            .otherwise('{"id":"b","message":"m"}')
+        )
+        artifact = (
+            F.when(key % 5 == 0, "3")
+            .when(key % 5 == 1, '{"legacy_proc":"p","target_path":"x","status":"no"}')
+            .otherwise('{"legacy_proc":"p","target_path":"x","status":"final"}')
+        )
+        return self.table("part").select(
+            key.alias("record_id"),
+            F.concat(
+                F.lit('{"run_id":"'), F.lpad(key.cast("string"), 36, "0"), F.lit('","gate":"fail","blockers":['),
+                blocker, F.lit('],"converted_artifacts":['), artifact, F.lit('],"attempt":'),
+                (F.col("p_size") - 3).cast("string"), F.lit(',"summary":{"tables_total":'),
+                F.when(key % 7 == 0, '"1"').otherwise("1"), F.lit(',"other":2}}'),
+            ).alias("record"),
+        )
+
     @cached_property
     def item_counts(self) -> DataFrame:
+        """Counts of the items' tables; those whose number ends in 3 have never been counted."""
         return (
             self.table("lineitem")
+            .filter("l_partkey % 10 <> 3")
             .groupBy("l_partkey")
             .agg(F.count("*").alias("rows"))
             .select(F.concat(F.lit("gold.item_"), "l_partkey").alias("target_table"), "rows")

@@ -229,7 +229,7 @@ def frames(spark, **changes):
     base = dict(
         inventory=[("table", "a", False), ("table", "b", True), ("proc", None, False)],
         bronze=[("a",)],
-        reconcile=[("r", "c1", "1", "1", "pass")],
+        reconcile=[("r", "c1", "1", "1", "pass"), ("r", "bronze_vs_source:a", "1", "1", "pass")],
         backlog=[("i1", "p1", "gold", "jobs/gold/x.sql", "converted")],
         conversion_map=[("p1", "final")],
         targets=[("jobs/gold/x.sql",)],
@@ -253,7 +253,15 @@ def frames(spark, **changes):
     [
         ({}, {}, []),
         ({"bronze": []}, {}, ["bronze_missing:a"]),
-        ({"reconcile": [("r", "c1", "2", "1", "fail"), ("q", "c2", "1", "2", "fail")]}, {}, ["reconcile_fail:c1"]),
+        (
+            {"reconcile": [("r", "bronze_vs_source:a", "2", "1", "fail"), ("q", "c2", "1", "2", "fail")]},
+            {},
+            ["reconcile_fail:bronze_vs_source:a"],
+        ),
+        ({"reconcile": []}, {}, ["reconcile_fail:bronze_vs_source:a"]),
+        ({"reconcile": [("q", "bronze_vs_source:a", "1", "1", "pass")]}, {}, ["reconcile_fail:bronze_vs_source:a"]),
+        ({"backlog": [("i1", "p9", "gold", "x", None)]}, {}, ["convert_missing:i1"]),
+        ({"backlog": [("i1", "p9", None, "x", "pending")]}, {}, ["convert_missing:i1"]),
         ({"targets": []}, {}, ["convert_missing:i1"]),
         ({"conversion_map": [("p1", "blocked")]}, {}, ["convert_missing:i1"]),
         ({"conversion_map": []}, {"routines_skipped_reason": "no client"}, []),

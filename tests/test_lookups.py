@@ -61,11 +61,32 @@ def test_asof_boundaries(spark, dim, unit, long):
     assert out.columns == ["n", "id", "at", "found"]
 
 
-def test_asof_explicit_window(spark, dim):
+@pytest.mark.parametrize("unit", ["year", "month", "day"])
+@pytest.mark.parametrize("many", [1, 20_000])
+def test_slices_never_change_a_key(spark, dim, unit, many, monkeypatch):
+    """Both sides of every threshold, with far outliers among the staged times."""
+    monkeypatch.setattr(lookups, "MANY_SLICES", many)
+    far = [(90, 1, D(9998, 1, 1), 11), (91, 1, D(1, 1, 2), 0), (92, 2, D(9999, 12, 31, 23), 21)]
+    stage = spark.createDataFrame([c[:3] for c in CASES + far], STAGE)
+    for long in (0, 1, 2, 99):
+        out = lookups.lookup_key_asof(
+            stage, dim, V, "id", "at", "found", slice_unit=unit, long_history=long
+        )
+        assert rows(out, "n", "found") == sorted([(c[0], c[3]) for c in CASES + far], key=repr)
+
+
+def test_shared_versions(spark, dim):
+    stage = spark.createDataFrame([c[:3] for c in CASES], STAGE)
+    ready = lookups.prepare_versions(stage, dim, V, "at", "month", 1)
+    out = lookups.lookup_prepared(stage, ready, "id", "at", "a")
+    out = lookups.lookup_prepared(out, ready, "id", "at", "b")
+    assert rows(out.filter("a = b"), "n", "a") == sorted([(c[0], c[3]) for c in CASES], key=repr)
+
+
+def test_asof_without_missing_times(spark, dim):
     stage = spark.createDataFrame([c[:3] for c in CASES if c[2]], STAGE)
     out = lookups.lookup_key_asof(
-        stage, dim, V, "id", "at", "found", window=("2018-01-01", "2022-01-01"), slice_unit="month",
-        long_history=1, few_long_keys=True,
+        stage, dim, V, "id", "at", "found", slice_unit="month", long_history=1
     )
     assert rows(out, "n", "found") == sorted([(c[0], c[3]) for c in CASES if c[2]], key=repr)
 

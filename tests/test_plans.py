@@ -108,7 +108,7 @@ def test_asof_sliced_splits_a_hot_month(spark, shuffled):
     )
     out = lookup_key_asof(
         stage, dim, Versions("id", "key", "vf", "vt"), "k", "at", "found",
-        window=("2020-02-01", "2020-04-01"), slice_unit="month", long_history=0,
+        slice_unit="month", long_history=0,
     )
     assert out.filter("found = k + 100").count() == 60000
     assert split_hot_key(out)

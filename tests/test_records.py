@@ -7,9 +7,10 @@ from conftest import rows
 from tidemark.sources.external import read_record_texts, read_records
 from tidemark import schemas
 
+CHECK = {"check_id": "c", "table": "t", "expected": "1", "actual": "1", "delta": "0", "result": "pass"}
 GOOD = {
     "context": {
-        "run_id": "00000000-0000-4000-8000-000000000001",
+        "run_id": "7d1f3a52-9c04-4e6b-8a7e-2f60c1b9d3e8",
         "source_type": "sqlserver",
         "foreign_catalog": "f",
         "uc_catalog": "c",
@@ -21,7 +22,7 @@ GOOD = {
         "routines_skipped_reason": None,
     },
     "convert_result": {
-        "item_id": "item-001",
+        "item_id": "task-17",
         "legacy_proc": "p",
         "target_path": "jobs/gold/x.sql",
         "status": "final",
@@ -29,7 +30,7 @@ GOOD = {
         "patterns_used": ["scd2"],
     },
     "migration_backlog": {
-        "item_id": "item-001",
+        "item_id": "task-17",
         "legacy_proc": "p",
         "classification": "migrate",
         "reads": "a",
@@ -42,13 +43,11 @@ GOOD = {
     },
     "reconcile_report": {
         "run_id": "r",
-        "checks": [
-            {"check_id": "c", "table": "t", "expected": "1", "actual": "1", "delta": "0", "result": "pass"}
-        ],
+        "checks": [CHECK],
         "summary": {"passed": 1, "failed": 0, "total": 1},
     },
     "migration_manifest": {
-        "run_id": "00000000-0000-4000-8000-000000000001",
+        "run_id": "7d1f3a52-9c04-4e6b-8a7e-2f60c1b9d3e8",
         "gate": "fail",
         "blockers": [{"id": "b", "message": "m"}],
         "converted_artifacts": [{"legacy_proc": "p", "target_path": "x", "status": "final"}],
@@ -81,6 +80,21 @@ BAD = [
     ("reconcile_report", {"checks": [{"check_id": "c"}]}, "checks[].result: missing"),
     ("reconcile_report", {"summary": {"passed": 1, "failed": 0}}, "summary.total: missing"),
     ("reconcile_report", {"summary": {"passed": 1, "failed": 0, "total": 0}}, "summary.total: below 1"),
+    ("reconcile_report", {"checks": [5]}, "checks[]: type"),
+    ("reconcile_report", {"checks": [{**CHECK, "result": "maybe"}, "x"]}, "checks[].result: not allowed"),
+    ("reconcile_report", {"checks": [{**CHECK, "result": "maybe"}, "x"]}, "checks[]: type"),
+    ("reconcile_report", {"checks": [{**CHECK, "check_id": 7}]}, "checks[].check_id: type"),
+    ("reconcile_report", {"checks": [{**CHECK, "result": None}]}, "checks[].result: type"),
+    ("reconcile_report", {"checks": [{**CHECK, "expected": None}]}, "checks[].expected: type"),
+    (
+        "reconcile_report",
+        {"summary": {"passed": 1, "failed": 0, "total": 1, "more": 1}},
+        "summary.unknown: more",
+    ),
+    ("migration_manifest", {"blockers": ["x"]}, "blockers[]: type"),
+    ("migration_manifest", {"converted_artifacts": [3]}, "converted_artifacts[]: type"),
+    ("migration_manifest", {"blockers": [{"id": 5, "message": None}]}, "blockers[].id: type"),
+    ("migration_manifest", {"blockers": [{"id": 5, "message": None}]}, "blockers[].message: type"),
     ("migration_manifest", {"gate": "maybe"}, "gate: not allowed"),
     ("migration_manifest", {"blockers": [{"id": "b", "message": "m", "x": 1}]}, "blockers[]: unknown"),
     (

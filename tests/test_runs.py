@@ -71,6 +71,20 @@ def test_medallion(spark, source, small):
     city = read("gold.mart_city_dimension").first()["city_name"]
     assert read("gold.v_mart_city_dimension_ci").filter(F.col("city_name") == city.lower()).count() == 1
 
+    # Every published table is counted and has its origins recorded.
+    smoke = dict(rows(read("ops.smoke_results"), "check_name", "row_count"))
+    assert smoke["fact_sale_ok"] == sold and smoke["dim_customer_undated"] == 0
+    assert {"mart_city_dimension_ok", "dim_customer_scd2_quarantine_ok", "fact_sale_orphan_ok"} <= set(smoke)
+    edges = set(rows(read("ops.table_lineage"), "source_table_full_name", "target_table_full_name"))
+    assert {
+        ("m_source_fed.dim_city", "m_bronze.dim_city"),
+        ("m_silver.dim_stock_item", "m_silver.fact_sale_orphan"),
+        ("m_bronze.dim_customer", "m_silver.dim_customer_scd2_quarantine"),
+        ("m_gold.mart_city_dimension", "m_gold.v_mart_city_dimension_ci"),
+    } <= edges
+    control = read("ops.load_control").filter("started_at < ended_at AND started_at > '2024-06-01'")
+    assert control.count() == 6
+
     # A second run of the same id replaces its rows; logs grow.
     run_medallion(spark, src, root, RUN, "2024-01-02", **arguments)
     assert read("ops.reconcile_results").count() == 6 + 4
@@ -95,10 +109,22 @@ def test_medallion_stops_on_colliding_names(spark, source):
     clash = catalog.unionByName(
         spark.createDataFrame([("Dimension", "stock-item", "BASE TABLE")], catalog.schema)
     )
-    with pytest.raises(RuntimeError, match="collide"):
+    with pytest.raises(RuntimeError, match="1 landing names collide"):
         run_medallion(
             spark, src, tempfile.mkdtemp(prefix="spark-"), RUN, "2024-01-01", catalog=clash, prefix="c_"
         )
+    assert rows(spark.table("c_ops.landing_collisions")) == [("dim_stock_item", 2)]
+
+
+def test_many_tables_need_a_confirmation(spark, source):
+    src, catalog = source
+    many = catalog.unionByName(
+        spark.range(201).selectExpr("'dbo' AS table_schema", "concat('t', id) AS table_name", "'BASE TABLE' AS table_type")
+    )
+    with pytest.raises(RuntimeError, match="confirm"):
+        run_medallion(
+            spark, src, tempfile.mkdtemp(prefix="spark-"), RUN, "2024-01-01", catalog=many, prefix="d_"
+        )
 
 
 @pytest.fixture
@@ -184,7 +210,7 @@ def staged(spark):
 
 def go(run, stage):
     inc.run_incremental(
-        run.spark, stage, run.root, "2024-01-31", "2024-02-01", run.prefix, ("2024-01-01", "2024-01-31")
+        run.spark, stage, run.root, "2024-01-31", "2024-02-01", run.prefix
     )
 
 
@@ -234,6 +260,59 @@ def test_replay_after_a_crash(spark, warehouse):
     assert warehouse.read("fact.sale").count() == 4
 
 
+def test_resume_with_another_cutoff(spark, warehouse):
+    """Before the data: the open load takes the new cutoff. After it: an error, and no doubled version."""
+    stage = staged(spark)
+    crash = inc.Incremental(spark, warehouse.root, "2024-02-01", warehouse.prefix)
+    crash.begin("Customer", "2024-01-20")
+    crash.begin("Customer", "2024-01-31")
+    lineage = warehouse.read("integration.lineage")
+    assert rows(lineage, "Source System Cutoff Time") == [(D(2024, 1, 31),)]
+    crash.finish = lambda key: (_ for _ in ()).throw(RuntimeError("lost"))
+    with pytest.raises(RuntimeError, match="lost"):
+        crash.dimension(inc.CUSTOMER, stage["Customer"], "2024-01-31")
+    again = inc.Incremental(spark, warehouse.root, "2024-02-01", warehouse.prefix)
+    with pytest.raises(RuntimeError, match="its own cutoff"):
+        again.dimension(inc.CUSTOMER, stage["Customer"], "2024-02-28")
+    again.dimension(inc.CUSTOMER, stage["Customer"], "2024-01-31")
+    assert warehouse.read("dimension.customer").count() == 4
+    assert dict(rows(warehouse.read("integration.etl_cutoff")))["Customer"] == D(2024, 1, 31)
+
+
+def test_changes_drive_the_run(spark, warehouse):
+    source = staged(spark)["Customer"].withColumn("changed", F.col("Valid From"))
+    arguments = (warehouse.root,)
+    inc.run_changes(spark, {"Customer": (source, "changed")}, *arguments, "2024-01-07", "2024-02-01", warehouse.prefix)
+    assert warehouse.read("dimension.customer").count() == 3
+    inc.run_changes(spark, {"Customer": (source, "changed")}, *arguments, "2024-01-31", "2024-02-02", warehouse.prefix)
+    assert warehouse.read("dimension.customer").count() == 4
+    assert dict(rows(warehouse.read("integration.etl_cutoff")))["Customer"] == D(2024, 1, 31)
+
+
+def test_partition_values_are_kept(spark, folder):
+    sinks.create_layers(spark, folder, ("z",), "p_")
+    values = ["007", "7", "a/b", "x=1", "it's", "50%", None]
+    df = spark.createDataFrame(list(enumerate(values)), "n int, d string")
+    table = sinks.refresh_partitions(df, "p_z.t", folder, "d", [])
+    assert rows(table) == sorted(enumerate(values), key=repr)
+    wider = df.filter("n < 2 OR d IS NULL").select(F.lit("new").alias("extra"), F.col("n") + 10, "d")
+    wider = wider.select(F.col("(n + 10)").alias("n"), "d", "extra")
+    after = sinks.refresh_partitions(wider, "p_z.t", folder, "d", ["007", "7", "a/b", None])
+    kept = [(i, None, v) for i, v in enumerate(values) if v in ("x=1", "it's", "50%")]
+    assert rows(after, "n", "extra", "d") == sorted(kept + [(10, "new", "007"), (11, "new", "7"), (16, "new", None)], key=repr)
+    with pytest.raises(ValueError, match="columns changed"):
+        sinks.refresh_partitions(df.withColumn("n", F.col("n").cast("string")), "p_z.t", folder, "d", [])
+
+
+def test_changed_columns_take_over_the_name(spark, folder):
+    sinks.create_layers(spark, folder, ("u",), "p_")
+    sinks.refresh(spark.range(3), "p_u.t", folder)
+    other = sinks.refresh(spark.range(2).selectExpr("cast(id AS string) AS name"), "p_u.t", folder)
+    assert rows(other) == [("0",), ("1",)] and spark.table("p_u.t").columns == ["name"]
+    listed = spark.sql("SHOW TABLES IN p_u").filter("NOT isTemporary").collect()
+    assert [r["tableName"] for r in listed] == ["t"]
+
+
 def test_unknown_load_is_an_error(spark, warehouse):
     with pytest.raises(LookupError):
         warehouse.begin("Nope", "2024-01-01")

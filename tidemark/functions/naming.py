@@ -22,12 +22,14 @@ def landing_name(schema: Column, name: Column) -> Column:
     prefix = F.concat(snake(schema), F.lit("_"))
     for known, short in SCHEMA_PREFIX.items():
         prefix = F.when(label == known, F.lit(short)).otherwise(prefix)
-    raw = F.concat(prefix, snake(name))
-    return (
-        F.when(raw == "", F.lit("object"))
+    # Bound once through a one-element array; written out it would be copied into every branch.
+    bound = F.transform(
+        F.array(F.concat(prefix, snake(name))),
+        lambda raw: F.when(raw == "", F.lit("object"))
         .when(raw.rlike("^[0-9]"), F.concat(F.lit("t_"), raw))
-        .otherwise(raw)
+        .otherwise(raw),
     )
+    return bound[0]
 
 
 def batch_id(ts: Instant) -> Column:

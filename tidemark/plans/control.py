@@ -66,7 +66,7 @@ class Control:
             ),
             instant(self.now).alias("ts"),
         )
-        sinks.append(row, self.name("ops.agent_events"), self.root)
+        sinks.append(row, self.name("ops.agent_events"), self.root, cluster=("run_id", "ts"))
 
     def persist_backlog(self, texts: DataFrame) -> DataFrame:
         """Replace the backlog by JSON items (column ``record``); one bad item rejects the batch.

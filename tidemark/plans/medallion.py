@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,33 +13,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidemark import schemas
 from tidemark.functions.naming import batch_id
 from tidemark.functions.temporal import Instant, instant
-from tidemark.operators import conform, gate, landing, marts, metrics, quality, tableops
+from tidemark.operators import conform, gate, landing, marts, metrics, quality, reports, tableops
 from tidemark.operators.counts import count_by_label, union_all
 from tidemark.sources import discovery, fixtures, sinks
 from tidemark.sources.external import Source, count_in_source, read_source
 
 LAYERS = ("source_fed", "bronze", "silver", "gold", "ops")
 
-# What each published table reads, in publication order.
-LINEAGE = (
-    ("bronze.dim_city", "silver.dim_city"),
-    ("bronze.dim_stock_item", "silver.dim_stock_item"),
-    ("bronze.dim_date", "silver.dim_date"),
-    ("bronze.dim_customer", "silver.dim_customer_scd2"),
-    ("bronze.fact_sale", "silver.fact_sale"),
-    ("silver.dim_customer_scd2", "silver.fact_sale"),
-    ("silver.dim_stock_item", "silver.fact_sale"),
-    ("bronze.fact_sale", "silver.fact_sale_orphan"),
-    ("silver.fact_sale", "gold.mart_daily_internet_sales"),
-    ("silver.dim_date", "gold.mart_daily_internet_sales"),
-    ("silver.dim_stock_item", "gold.mart_daily_internet_sales"),
-    ("silver.dim_stock_item", "gold.mart_stock_movements"),
-    ("bronze.fact_stock_holding", "gold.mart_stock_movements"),
-    ("silver.dim_customer_scd2", "gold.mart_customer_current"),
-    ("silver.dim_city", "gold.mart_customer_current"),
-    ("silver.dim_city", "gold.mart_city_dimension"),
-    ("bronze.fact_stock_holding", "gold.mart_stock_holding"),
-)
+# Fixed value: above this many source tables a run has to be confirmed.
+CONFIRM_ABOVE = 200
+
+
+def utc_now() -> datetime:
+    return datetime.now(timezone.utc).replace(tzinfo=None)
 
 
 @dataclass
@@ -54,6 +41,10 @@ class Medallion:
     workers: int = 4
     # Column to split the scan of a large source table by: {(schema, table): column}.
     split_by: dict[tuple[str, str], str] = field(default_factory=dict)
+    # When things happened, for the load control; everything else is dated by ``as_of``.
+    clock: Callable[[], Instant] = utc_now
+    # (read, written) of every table published so far.
+    edges: list[tuple[str, str]] = field(default_factory=list)
 
     def name(self, table: str) -> str:
         return self.prefix + table
@@ -61,8 +52,11 @@ class Medallion:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
-    def publish(self, table: str, df: DataFrame) -> DataFrame:
-        return sinks.refresh(df, self.name(table), self.root)
+    def publish(self, table: str, df: DataFrame, *reads: str) -> DataFrame:
+        """Publish a table; ``reads`` names what it is made of, for the lineage."""
+        published = sinks.refresh(df, self.name(table), self.root)
+        self.edges += [(self.name(source), self.name(table)) for source in reads]
+        return published
 
     def together(self, steps: Sequence[Callable[[], object]]) -> list:
         """Independent writes from a few driver threads; each is a Spark job of its own."""
@@ -99,58 +93,71 @@ class Medallion:
             )
         published = self.publish("ops.migration_inventory", new)
         mine = published.filter(F.col("run_id") == self.run_id)
-        clash = landing.landing_collisions(mine).limit(5).collect()
-        if clash:
-            raise RuntimeError(f"landing names collide: {[r['landing_name'] for r in clash]}")
+        clashes = self.publish("ops.landing_collisions", landing.landing_collisions(mine))
+        if count := clashes.count():
+            raise RuntimeError(
+                f"{count} landing names collide; all are in {self.name('ops.landing_collisions')}"
+            )
         return mine
 
+    def confirm(self, inventory: DataFrame, confirmed: bool) -> None:
+        """A source of many tables is landed only when someone has said so."""
+        found = reports.thresholds(inventory, CONFIRM_ABOVE).first()
+        if found["requires_confirm"] and not confirmed:
+            raise RuntimeError(
+                f"{found['tables_total']} source tables are more than {CONFIRM_ABOVE}; confirm the run"
+            )
+
     def land(self, inventory: DataFrame) -> list[tuple[str, str, str]]:
         """Full refresh of every live table; returns ``(schema, table, landing)`` of each."""
         # Catalog metadata: one row per source table.
         live = inventory.filter("object_type = 'table' AND skip = false").collect()
         tables = [(r["source_schema"], r["source_name"], r["landing_name"]) for r in live]
         system = landing.SOURCE_SYSTEM.get(self.source.kind, self.source.kind)
-        batch = batch_id(self.as_of)
+        batch, started = batch_id(self.as_of), self.clock()
 
         def one(schema: str, table: str, name: str) -> None:
             split = self.split_by.get((schema, table))
             df = read_source(self.spark, self.source, schema, table, split)
             df.createOrReplaceTempView(f"{self.prefix}source_fed_{name}")
-            self.publish(f"bronze.{name}", landing.land(df, system, batch, self.as_of))
+            self.publish(
+                f"bronze.{name}", landing.land(df, system, batch, self.as_of), f"source_fed.{name}"
+            )
 
         self.together([partial(one, *t) for t in tables])
         landed = {name: self.read(f"bronze.{name}") for _, _, name in tables}
-        rows = landing.load_control_rows(landed, batch, self.as_of, self.as_of)
+        rows = landing.load_control_rows(landed, batch, started, self.clock())
         sinks.append(rows, self.name("ops.load_control"), self.root)
         return tables
 
     def conform(self) -> None:
         bronze = lambda t: self.read(f"bronze.{t}")
+        silver = lambda name, df, *reads: partial(self.publish, f"silver.{name}", df, *reads)
+        future = conform.split_future(bronze("dim_customer"), "Valid From", self.as_of)[1]
         self.together(
             [
-                lambda: self.publish("silver.dim_city", conform.dim_city(bronze("dim_city"))),
-                lambda: self.publish(
-                    "silver.dim_stock_item", conform.dim_stock_item(bronze("dim_stock_item"))
+                silver("dim_city", conform.dim_city(bronze("dim_city")), "bronze.dim_city"),
+                silver(
+                    "dim_stock_item",
+                    conform.dim_stock_item(bronze("dim_stock_item")),
+                    "bronze.dim_stock_item",
                 ),
-                lambda: self.publish("silver.dim_date", conform.dim_date(bronze("dim_date"))),
-                lambda: self.publish(
-                    "silver.dim_customer_scd2",
+                silver("dim_date", conform.dim_date(bronze("dim_date")), "bronze.dim_date"),
+                silver(
+                    "dim_customer_scd2",
                     conform.dim_customer_scd2(bronze("dim_customer"), self.as_of),
+                    "bronze.dim_customer",
                 ),
+                silver("dim_customer_scd2_quarantine", future, "bronze.dim_customer"),
             ]
         )
-        future = conform.split_future(bronze("dim_customer"), "Valid From", self.as_of)[1]
-        self.publish("silver.dim_customer_scd2_quarantine", future)
         customer, item = self.read("silver.dim_customer_scd2"), self.read("silver.dim_stock_item")
+        made_of = ("bronze.fact_sale", "silver.dim_customer_scd2", "silver.dim_stock_item")
+        sales = bronze("fact_sale")
         self.together(
             [
-                lambda: self.publish(
-                    "silver.fact_sale", conform.fact_sale(bronze("fact_sale"), customer, item)
-                ),
-                lambda: self.publish(
-                    "silver.fact_sale_orphan",
-                    conform.fact_orphans(bronze("fact_sale"), customer, item),
-                ),
+                silver("fact_sale", conform.fact_sale(sales, customer, item), *made_of),
+                silver("fact_sale_orphan", conform.fact_orphans(sales, customer, item), *made_of),
             ]
         )
 
@@ -158,22 +165,33 @@ class Medallion:
         fact, city = self.read("silver.fact_sale"), self.read("silver.dim_city")
         item, holding = self.read("silver.dim_stock_item"), self.read("bronze.fact_stock_holding")
         customer = self.read("silver.dim_customer_scd2")
+        gold = lambda name, df, *reads: partial(self.publish, f"gold.{name}", df, *reads)
         self.together(
             [
-                lambda: self.publish(
-                    "gold.mart_daily_internet_sales",
+                gold(
+                    "mart_daily_internet_sales",
                     marts.mart_daily_sales(fact, self.read("silver.dim_date"), item),
+                    "silver.fact_sale",
+                    "silver.dim_date",
+                    "silver.dim_stock_item",
                 ),
-                lambda: self.publish(
-                    "gold.mart_stock_movements",
+                gold(
+                    "mart_stock_movements",
                     marts.mart_stock_movements(item, holding, tie_breakers),
+                    "silver.dim_stock_item",
+                    "bronze.fact_stock_holding",
                 ),
-                lambda: self.publish(
-                    "gold.mart_customer_current", marts.mart_customer_current(customer, city)
+                gold(
+                    "mart_customer_current",
+                    marts.mart_customer_current(customer, city),
+                    "silver.dim_customer_scd2",
+                    "silver.dim_city",
                 ),
-                lambda: self.publish("gold.mart_city_dimension", marts.mart_city_dimension(city)),
-                lambda: self.publish(
-                    "gold.mart_stock_holding", marts.mart_stock_holding(holding, self.as_of)
+                gold("mart_city_dimension", marts.mart_city_dimension(city), "silver.dim_city"),
+                gold(
+                    "mart_stock_holding",
+                    marts.mart_stock_holding(holding, self.as_of),
+                    "bronze.fact_stock_holding",
                 ),
             ]
         )
@@ -189,8 +207,25 @@ class Medallion:
                 f"CREATE OR REPLACE VIEW {self.name('gold.v_' + mart + '_ci')} AS "
                 f"SELECT {columns} FROM {self.name('gold.' + mart)}"
             )
+            self.edges.append((self.name(f"gold.{mart}"), self.name(f"gold.v_{mart}_ci")))
         return metrics.daily_sales_metrics(fact)
 
+    def smoke_rows(self) -> DataFrame:
+        """Row counts of every silver and gold table of the run, and of undated customer versions.
+
+        All in one job; ``check_name`` is the table's name with ``_ok``.
+        """
+        written = sorted({t for _, t in self.edges if ".v_" not in t and "bronze." not in t})
+        frames = {(f"{t.rsplit('.', 1)[1]}_ok",): self.spark.table(t) for t in written}
+        frames[("dim_customer_undated",)] = conform.undated(self.read("bronze.dim_customer"), "Valid From")
+        rows = count_by_label(frames, ["check_name"]).select(
+            "check_name",
+            F.col("rows").alias("row_count"),
+            F.lit(self.run_id).alias("run_id"),
+            instant(self.as_of).alias("ts"),
+        )
+        return self.publish("ops.smoke_results", rows)
+
     def constraints(self) -> DataFrame:
         """Key checks of the silver layer; reported beside the verdict, as keys are not enforced."""
         keys = {
@@ -238,8 +273,8 @@ class Medallion:
         return self.publish("ops.reconcile_results", new)
 
     def lineage(self) -> None:
-        """One edge per table read and written. The list is fixed, not data."""
-        edges = [F.struct(F.lit(self.name(s)), F.lit(self.name(t))) for s, t in LINEAGE]
+        """One edge per table read and written, as recorded when it was published."""
+        edges = [F.struct(F.lit(s), F.lit(t)) for s, t in dict.fromkeys(self.edges)]
         rows = self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*edges)))
         sinks.append(
             rows.toDF("source_table_full_name", "target_table_full_name").withColumn(
@@ -268,7 +303,7 @@ class Medallion:
             instant(self.as_of).alias("ts"),
         )
         rows = tableops.run_events(run, self.as_of).unionByName(rest)
-        sinks.append(rows, self.name("ops.agent_events"), self.root)
+        sinks.append(rows, self.name("ops.agent_events"), self.root, cluster=("run_id", "ts"))
 
     def verdict(
         self,
@@ -276,6 +311,7 @@ class Medallion:
         reconcile: DataFrame,
         procs_total: int,
         skip_reason: str | None,
+        targets: DataFrame | None,
     ) -> DataFrame:
         empty = lambda schema: self.spark.createDataFrame([], schema)
         existing = lambda t, s: (
@@ -293,7 +329,8 @@ class Medallion:
             reconcile,
             backlog,
             mapped,
-            mapped.select("target_path"),
+            # The map's own paths prove nothing; without a list of files none exists.
+            targets if targets is not None else mapped.select("target_path").limit(0),
             events,
             self.run_id,
             skip_reason,
@@ -319,8 +356,14 @@ def run_medallion(
     tie_breakers: tuple[str, ...] = ("Bin Location",),
     prefix: str = "",
     split_by: dict[tuple[str, str], str] | None = None,
+    targets: DataFrame | None = None,
+    confirmed: bool = False,
 ) -> DataFrame:
-    """Run everything in dependency order; returns the one-row manifest."""
+    """Run everything in dependency order; returns the one-row manifest.
+
+    ``targets`` lists the files of converted routines that exist, as ``target_path``; a run that owes
+    conversions needs it. ``confirmed`` lets a source of more than ``CONFIRM_ABOVE`` tables pass.
+    """
     run = Medallion(spark, source, root, run_id, as_of, prefix, split_by=split_by or {})
     catalog = discovery.catalog_tables(spark, source) if catalog is None else catalog
     run.smoke(catalog)
@@ -333,11 +376,13 @@ def run_medallion(
     routines, skip_reason = discovery.discover_routines(spark, source)
     inventory = run.inventory(catalog, routines, skip or {})
     procs_total = inventory.filter("object_type <> 'table'").count()
+    run.confirm(inventory, confirmed)
     tables = run.land(inventory)
     run.conform()
     run.marts(tie_breakers)
+    run.smoke_rows()
     run.constraints()
     reconcile = run.reconcile(tables, expectations)
     run.lineage()
     run.events(procs_total, skip_reason)
-    return run.verdict(inventory, reconcile, procs_total, skip_reason)
+    return run.verdict(inventory, reconcile, procs_total, skip_reason, targets)

@@ -28,6 +28,11 @@ class Source:
         return ".".join(left + p.replace(right, right * 2) + right for p in parts)
 
 
+# Rows of one range of a split JDBC scan, and the most that may come through one connection.
+ROWS_PER_RANGE = 1_000_000
+UNSPLIT_ROWS = 5_000_000
+
+
 def read_query(spark: SparkSession, src: Source, query: str) -> DataFrame:
     """Run a query inside the source, e.g. a catalog join."""
     return (
@@ -45,14 +50,16 @@ def read_source(
     schema: str,
     table: str,
     partition_col: str | None = None,
-    num_partitions: int = 64,
+    num_partitions: int | None = None,
     fetch_size: int = 10_000,
+    rows_per_range: int = ROWS_PER_RANGE,
 ) -> DataFrame:
     """Scan one source table.
 
     With ``partition_col`` (numeric, date or timestamp) the JDBC read is split into ranges of that
-    column between its bounds, which one aggregate query asks of the source; without it a JDBC
-    table arrives through a single connection, which suits small tables only.
+    column between its bounds, about ``rows_per_range`` rows each; bounds and number of rows are one
+    aggregate query in the source. Without it a JDBC table arrives through a single connection, so one of
+    more than ``UNSPLIT_ROWS`` rows is refused.
     """
     if src.kind == "parquet":
         return spark.read.parquet(f"{src.location}/{schema}/{table}")
@@ -66,16 +73,21 @@ def read_source(
     )
     if partition_col:
         column = src.quoted(partition_col)
-        low, high = read_query(
-            spark, src, f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {name}"
+        low, high, n = read_query(
+            spark, src, f"SELECT MIN({column}) AS lo, MAX({column}) AS hi, COUNT(*) AS n FROM {name}"
         ).first()
         if low is not None:
+            ranges = num_partitions or max(1, -(-int(n) // rows_per_range))
             reader = reader.options(
                 partitionColumn=partition_col,
                 lowerBound=str(low),
                 upperBound=str(high),
-                numPartitions=str(num_partitions),
+                numPartitions=str(ranges),
             )
+    else:
+        (n,) = read_query(spark, src, f"SELECT COUNT(*) AS n FROM {name}").first()
+        if n > UNSPLIT_ROWS:
+            raise ValueError(f"{schema}.{table} has {n} rows; name a column to split its scan by")
     return reader.load()
 
 

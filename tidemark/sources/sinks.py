@@ -139,9 +139,14 @@ def _add_columns(spark: SparkSession, table: str, fields: list[StructField]) ->
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({declared})")
 
 
-def append(df: DataFrame, table: str, root: str) -> None:
-    """Append to a log table, creating it on first use."""
+def append(df: DataFrame, table: str, root: str, cluster: tuple[str, ...] = ()) -> None:
+    """Append to a log table, creating it on first use.
+
+    ``cluster`` sorts what is appended by range, so that file statistics can skip files of the log.
+    """
     spark = df.sparkSession
+    if cluster:
+        df = df.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
     if not table_exists(spark, table):
         refresh(df, table, root)
         return

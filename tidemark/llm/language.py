@@ -16,7 +16,6 @@ texts if there is nothing to learn from. With one learnt language every other te
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 import numpy as np
@@ -24,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.llm.frames import arrow_column, local_table
+from tidemark.operators.keysets import own_exchange
 
 SAMPLE_DOCS = 400
 SAMPLE_SPANS = 24_000
@@ -33,7 +33,6 @@ BATCH = 256
 STEPS = 450
 RATE = 0.02
 LANES = 2048
-LETTER = re.compile(r"[^\W\d_]")
 UNKNOWN = "und"
 # Bytes of ASCII letters and of every multi-byte character; digits, marks and spaces tell no language.
 SPEAKS = np.array([chr(b).isalpha() if b < 128 else True for b in range(256)])
@@ -162,7 +161,7 @@ class Network:
     def document_scores(self, texts: Sequence[str | None]) -> np.ndarray:
         """(texts, languages) of pooled probabilities; rows of texts without a letter are NaN."""
         out = np.full((len(texts), len(self.languages)), np.nan)
-        known = [i for i, t in enumerate(texts) if t and LETTER.search(t)]
+        known = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))]
         if not known:
             return out
         raw = [texts[i].encode() for i in known]
@@ -230,8 +229,17 @@ def training_sample(docs: DataFrame) -> tuple[list[str], list[str]]:
     usable = docs.select("doc_id", "lang", F.length("text").alias("n")).filter(
         F.col("lang").isNotNull() & (F.col("n") > 0) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    order = W.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id"), F.lit("lang")), "doc_id", "n")
-    chosen = usable.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_DOCS)
+    # A hash threshold per language leaves about twice the documents wanted, so that the ranking below
+    # meets few rows however common a language is; small languages keep all of theirs.
+    sizes = own_exchange(usable.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_all")))
+    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("lang")), F.col("_all")) < 2 * SAMPLE_DOCS
+    order = W.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id"), F.lit("lang order")), "doc_id", "n")
+    chosen = (
+        usable.join(sizes, F.col("lang") == F.col("_lang"))
+        .filter(drawn)
+        .withColumn("rank", F.row_number().over(order))
+        .filter(F.col("rank") <= SAMPLE_DOCS)
+    )
     picked = sorted((r["doc_id"], r["lang"]) for r in chosen.select("doc_id", "lang").distinct().collect())
     # At most SAMPLE_DOCS ids a language.
     ids = local_table(

@@ -163,7 +163,8 @@ def first_estimate(rows: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n"))
     )
     order = W.partitionBy("g", "i").orderBy("v")
-    placed = seen.select(
+    # Detached, or Spark would deal the partial counts by the window's coarser keys.
+    placed = own_exchange(seen).select(
         "g", "i", "v", F.sum("n").over(order).alias("upto"), F.sum("n").over(W.partitionBy("g", "i")).alias("all")
     )
     at = lambda share: F.min(F.when(F.col("upto") >= share * F.col("all"), F.col("v") * fine + fine / 2))
@@ -221,7 +222,8 @@ def concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
         )
     )
     upto = W.partitionBy("g").orderBy("class")
-    core = classes.select(
+    # Detached, or Spark would deal the partial sums of all classes by the group alone.
+    core = own_exchange(classes).select(
         "*",
         (F.sum("n").over(upto) - F.col("n")).alias("_before"),
         F.sum("n").over(W.partitionBy("g")).alias("_all"),

@@ -5,9 +5,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_point
 from tidemark.operators import conform, marts, scd, tableops
 from tidemark.operators.lookups import Versions, lookup_key_asof
+from tidemark.workload.queries import QUERIES
 
 FORBIDDEN = (
     "CartesianProduct",
@@ -27,9 +27,9 @@ def physical(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry_point.queries()) - {"assigned_keys"}))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - {"assigned_keys"}))
 def test_no_cross_join_no_python_no_collected_groups(spark, small, name):
-    plan = physical(entry_point.queries()[name](spark, small))
+    plan = physical(QUERIES[name](spark, small))
     assert not [word for word in FORBIDDEN if word in plan]
     # A window never runs over one single partition.
     assert not re.search(r"Window \[.*\n.*Sort.*\n.*SinglePartition", plan)
@@ -132,3 +132,16 @@ def test_daily_sales_shuffles_the_fact_once(spark, folder):
     plan = physical(out)
     assert plan.count("Exchange hashpartitioning") == 1
     assert "partial_sum(quantity" in plan and "unused" not in plan
+
+
+def test_hot_keys_on_the_right_are_reduced(spark, shuffled):
+    """A staged hot key is one row of the join's right side, so nothing has to be split there."""
+    fact = spark.range(0, 50).select(F.col("id").alias("k"), (F.col("id") + 100).alias("n"))
+    stage = hot(spark).select("k", "n")
+    replaced = tableops.replace_by_key(fact, stage, "k")
+    assert replaced.count() == stage.count() + fact.join(stage, "k", "left_anti").count()
+    kept = tableops.upsert(fact, stage, ["k"], [F.col("n")])
+    assert kept.count() == stage.select("k").distinct().count() + fact.join(stage, "k", "left_anti").count()
+    for out in (replaced, kept):
+        joins = re.findall(r"Join.*", physical(out))
+        assert joins and "Aggregate" in physical(out) or "WindowGroupLimit" in physical(out)

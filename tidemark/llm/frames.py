@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 # A word is a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+# Rows of an Arrow batch that are Python objects at a time.
+SLICE_ROWS = 512
 WORD_RE = re.compile(WORD)
 WORD_RE_BYTES = re.compile(WORD.encode())
 
@@ -21,7 +23,13 @@ def arrow_column(function: Callable, returns: str | T.DataType, *columns: str |
     more for the projection.
     """
     def batch(*arrays: pa.Array) -> pa.Array:
-        return function(*(a.to_pylist() for a in arrays))
+        # Slices keep what lies between Arrow and Arrow small, however large the batch.
+        starts = range(0, max(1, len(arrays[0])), SLICE_ROWS)
+        parts = [function(*(a.slice(i, SLICE_ROWS).to_pylist() for a in arrays)) for i in starts]
+        whole = pa.concat_arrays(parts)
+        del parts
+        pa.default_memory_pool().release_unused()
+        return whole
 
     # The annotations decide the kind of UDF, so they are set for the number of inputs at hand.
     if len(columns) == 1:

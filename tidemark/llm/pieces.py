@@ -35,8 +35,8 @@ from tidemark.llm.frames import arrow_column
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-KNOWN_UNITS = 500_000
-KNOWN_PAIRS = 400_000
+KNOWN_UNITS = 320_000
+KNOWN_PAIRS = 250_000
 NEVER = float("inf")
 
 
@@ -76,6 +76,7 @@ class Transducer:
         cut = any(MARK in p.lstrip(MARK) for p in self.ids)
         self.units = re.compile(".+" if cut else f"{MARK}*[^{MARK}]+|{MARK}+", re.DOTALL)
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         # Arcs of the piece machine as a trie by prefix: what is written, or nothing for an inner node.
         self.arcs = {p[:n]: b"" for p in self.ids for n in range(1, len(p))}
         self.arcs |= {p: np.int32(i).tobytes() for p, i in self.ids.items()}
@@ -200,13 +201,19 @@ class Transducer:
         try:
             return np.frombuffer(b"".join([known[u] for u in units]), "<i4")
         except KeyError:
-            if len(known) > KNOWN_UNITS:
-                known.clear()
-            for unit in set(units):
-                if unit not in known:
-                    known[unit] = self.shortest_path(unit)
+            self.learn(set(units))
+            known = self.known
             return np.frombuffer(b"".join([known[u] for u in units]), "<i4")
 
+    def learn(self, units: set[str]) -> None:
+        """Compose the units not remembered. Memory has two halves, so that units in use stay."""
+        if len(self.known) > KNOWN_UNITS // 2:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        for unit in units:
+            if unit not in known:
+                known[unit] = older.get(unit) or self.shortest_path(unit)
+
     def decode(self, ids: np.ndarray) -> str:
         written = self.written
         text = b"".join([written[i] for i in ids.tolist()]).decode(errors="replace")

@@ -40,7 +40,7 @@ BUCKETS = 1 << BUCKET_BITS
 DIM = 8
 GRAMS = (3, 4, 5)
 THRESHOLD = 0.7
-KNOWN_WORDS = 300_000
+KNOWN_WORDS = 200_000
 TOKEN = re.compile(r"[^\W_]+")
 
 

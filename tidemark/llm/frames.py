@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import os
 import re
+import shutil
+import tempfile
 from collections.abc import Callable
+from functools import lru_cache
 
 import pyarrow as pa
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 # A word is a run of characters other than the six ASCII white-space characters.
@@ -16,6 +21,21 @@ WORD_RE = re.compile(WORD)
 WORD_RE_BYTES = re.compile(WORD.encode())
 
 
+@lru_cache(maxsize=8)
+def _ship(application: str) -> None:
+    import tidemark
+
+    top = os.path.dirname(os.path.abspath(tidemark.__path__[0]))
+    archive = os.path.join(tempfile.mkdtemp(prefix="spark-"), "tidemark_package")
+    path = shutil.make_archive(archive, "zip", top, "tidemark")
+    SparkContext.getOrCreate().addPyFile(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once per application, as functions of it run in their tasks."""
+    _ship(spark.sparkContext.applicationId)
+
+
 def arrow_column(function: Callable, returns: str | T.DataType, *columns: str | Column) -> Column:
     """``function(list, …) -> pyarrow array`` as a column, one Arrow batch at a time.
 
@@ -31,6 +51,7 @@ def arrow_column(function: Callable, returns: str | T.DataType, *columns: str |
         pa.default_memory_pool().release_unused()
         return whole
 
+    ship_package(SparkSession.getActiveSession())
     # The annotations decide the kind of UDF, so they are set for the number of inputs at hand.
     if len(columns) == 1:
 

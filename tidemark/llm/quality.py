@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tidemark.llm.frames import arrow_column
+from tidemark.llm.frames import arrow_column, ship_package
 from tidemark.operators.keysets import own_exchange
 from tidemark.session import cut_lineage
 
@@ -233,6 +233,7 @@ def concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
         F.array(*[F.sum(f"s{i}") for i in range(P)]).alias("s"),
         F.array(*[F.sum(f"q{i}_{j}") for i, j in PAIRS]).alias("q"),
     )
+    ship_package(rows.sparkSession)
     inverse = F.arrow_udf(_invert_batch, "array<double>")
     names = [*(f"m{i}" for i in range(P)), *(f"c{i}_{j}" for i, j in PAIRS)]
     solved = totals.select("g", inverse("n", "s", "q").alias("e"))

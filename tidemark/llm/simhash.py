@@ -31,7 +31,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tidemark.llm.frames import WORD_RE_BYTES, arrow_column
+from tidemark.llm.frames import WORD_RE_BYTES, arrow_column, ship_package
 from tidemark.operators.keysets import own_exchange
 from tidemark.session import cut_lineage
 
@@ -250,6 +250,7 @@ def link_prints(entries: DataFrame, blocks: int) -> DataFrame:
     placed = spread.withColumn("mine", mine).select("p", F.explode(tiles).alias("t"))
     # Two tiles with one hash would mix sides; 2 (all with all) for both keeps that exact, see links.
     dealt = placed.select("t.tile", "t.side", "p").repartition("tile").sortWithinPartitions("tile", "side")
+    ship_package(entries.sparkSession)
     return dealt.mapInArrow(links_in_partition, "a long, b long").filter("a <> b")
 
 

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from tidemark.llm.frames import empty_like
+from tidemark.llm.frames import empty_like, ship_package
 from tidemark.session import cut_lineage
 
 SHARD_ROWS = 4096
@@ -105,6 +105,7 @@ def shards(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> Data
             seen += len(ids)
         yield from packer.rest()
 
+    ship_package(vectors.sparkSession)
     packed = chosen.mapInArrow(pack, TILE)
     # The upper bits of the id are the partition; 20 bits are room for 2**32 rows of it.
     place = F.monotonically_increasing_id()

@@ -31,13 +31,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark.llm import idcoder
+from tidemark.llm.frames import ship_package
 from tidemark.operators.keysets import own_exchange
 from tidemark.session import ensure_checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 FRAME_IDS = 1 << 22
-KNOWN_CHUNKS = 300_000
+KNOWN_CHUNKS = 600_000
 FRAME = (
     "part long, frame long, n_ids long, doc_ids array<long>, lengths array<long>, block_digits binary, "
     "block_crcs binary, payload binary"
@@ -63,6 +64,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text and the end id behind."""
@@ -73,17 +75,28 @@ class Encoder:
             try:
                 raw = b"".join([known[c] for c in chunks])
             except KeyError:
-                if len(known) > KNOWN_CHUNKS:
-                    known.clear()
-                new = [c for c in set(chunks) if c not in known]
-                for chunk, found in zip(
-                    new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True
-                ):
-                    known[chunk] = np.array(found.ids, "<u4").tobytes()
+                self.learn(set(chunks))
+                known = self.known
                 raw = b"".join([known[c] for c in chunks])
             yield np.frombuffer(raw + end, "<u4")
 
 
+    def learn(self, chunks: set[str]) -> None:
+        """Encode the chunks not remembered. Memory has two halves, so that chunks in use stay."""
+        if len(self.known) > KNOWN_CHUNKS // 2:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        new = []
+        for chunk in chunks - known.keys():
+            if (ids := older.get(chunk)) is None:
+                new.append(chunk)
+            else:
+                known[chunk] = ids
+        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+        for chunk, found in zip(new, encoded, strict=True):
+            known[chunk] = np.array(found.ids, "<u4").tobytes()
+
+
 @lru_cache(maxsize=1)
 def encoder(name: str) -> Encoder:
     return Encoder(name)
@@ -150,12 +163,14 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         if held:
             yield frame_row(part, frame, held, ids)
 
+    ship_package(docs.sparkSession)
     dealt = placed.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     dealt.mapInArrow(encode, FRAME).write.parquet(path)
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the files."""
+    ship_package(spark)
     frames = spark.read.schema(FRAME).parquet(path)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -71,6 +71,7 @@ def merge_results(backlog: DataFrame, results: DataFrame, targets: DataFrame) ->
     converted = F.col("r_status").isin(*CONVERTED)
     absent = converted & F.col("deployed").isNull()
     accepted = ~missing & ~invalid & ~mismatch & ~absent
+    # The texts of the four notes.
     problem = (
         F.when(missing, "missing convert result file")
         .when(

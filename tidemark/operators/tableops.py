@@ -90,6 +90,7 @@ def perturb(expectations: DataFrame, named: Column, delta: int) -> DataFrame:
     """Inject drift: raise the expectation by ``delta``, require at least that, mark the note."""
     if delta < 0:
         raise ValueError("delta must not be negative")
+    # Fixed value: the wording of the note.
     note = F.concat(
         F.lit(f"{FAULT_MARKER} was expected="),
         F.coalesce(F.col("expected").cast("string"), F.lit("NULL")),

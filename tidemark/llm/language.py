@@ -226,14 +226,15 @@ def training_sample(docs: DataFrame) -> tuple[list[str], list[str]]:
     Of each chosen document at most ``8 * SPAN`` bytes around a hashed place reach the driver, so its memory
     is bounded by languages, documents and pieces, whatever the texts' lengths.
     """
-    usable = docs.select("doc_id", "lang", F.length("text").alias("n")).filter(
-        F.col("lang").isNotNull() & (F.col("n") > 0) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
+    # Texts are read for the chosen documents alone, once.
+    usable = docs.select("doc_id", "lang").filter(
+        F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
     # A hash threshold per language leaves about twice the documents wanted, so that the ranking below
     # meets few rows however common a language is; small languages keep all of theirs.
     sizes = own_exchange(usable.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_all")))
     drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("lang")), F.col("_all")) < 2 * SAMPLE_DOCS
-    order = W.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id"), F.lit("lang order")), "doc_id", "n")
+    order = W.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id"), F.lit("lang order")), "doc_id")
     chosen = (
         usable.join(sizes, F.col("lang") == F.col("_lang"))
         .filter(drawn)
@@ -253,7 +254,9 @@ def training_sample(docs: DataFrame) -> tuple[list[str], list[str]]:
         .join(ids, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")))
         .filter(F.length("text") > 0)
         .select("doc_id", "lang", F.substr("text", place.cast("int"), F.lit(length)).alias("part"))
-        .distinct()
+        # One part a document, also where many rows share its id.
+        .groupBy("doc_id", "lang")
+        .agg(F.min("part").alias("part"))
         .collect()
     )
     rows = sorted((r["doc_id"], r["lang"], r["part"]) for r in rows)

@@ -23,13 +23,14 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
-from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.llm.frames import arrow_column, local_table
+from tidemark.operators.keysets import own_exchange
+from tidemark.session import cut_lineage
 
 SAMPLE_DOCS = 2000
 SAMPLE_CHARS = 16_000_000
@@ -262,37 +263,48 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
         .filter("low = toxic")
         .select(F.col("doc_id").alias("_id"), "toxic")
     )
-    sized = docs.select("doc_id", F.length("text").alias("n")).filter(
-        F.col("doc_id").isNotNull() & F.col("n").between(1, DOC_CHARS)
-    )
-    known = clean.join(sized, F.col("doc_id") == F.col("_id")).select("doc_id", "toxic", "n")
-    chosen, left = {}, SAMPLE_CHARS
-    picked = [
-        known.filter(F.col("toxic") == kind)
-        .orderBy(F.xxhash64(F.col("doc_id"), F.lit("sample")), "doc_id", "n")
+    here = own_exchange(docs.select(F.col("doc_id").alias("_doc")).distinct())
+    known = cut_lineage(clean.join(here, F.col("_id") == F.col("_doc"), "left_semi"))
+    picked = {
+        row["_id"]: row["toxic"]
+        for kind in (0, 1)
+        for row in known.filter(F.col("toxic") == kind)
+        .orderBy(F.xxhash64(F.col("_id"), F.lit("sample")), "_id")
         .limit(SAMPLE_DOCS)
         .collect()
-        for kind in (0, 1)
-    ]
-    for pair in zip_longest(*picked):
-        for row in pair:
-            if row is not None and row["n"] <= left:
-                chosen[row["doc_id"]] = row["toxic"]
-                left -= row["n"]
+    }
+    lengths = of_documents(docs, sorted(picked), F.length("text").alias("n")).collect()
+    # Both classes in turn, in hash order, as far as the characters go.
+    rank = {0: 0, 1: 0}
+    turns = []
+    longest = {r["doc_id"]: r["n"] for r in lengths}
+    for doc_id, kind in picked.items():
+        if doc_id in longest:
+            turns.append((rank[kind], kind, doc_id))
+            rank[kind] += 1
+    chosen, left = {}, SAMPLE_CHARS
+    for _, kind, doc_id in sorted(turns):
+        if longest[doc_id] <= left:
+            chosen[doc_id] = kind
+            left -= longest[doc_id]
     if not chosen:
         return [], []
-    # At most 2 * SAMPLE_DOCS ids, a few dozen KB.
-    ids = local_table(docs.sparkSession, {"_id": (sorted(chosen), pa.int64())})
-    texts = (
+    texts = of_documents(docs, sorted(chosen), F.col("text")).collect()
+    texts = sorted((r["doc_id"], r["text"]) for r in texts)
+    return [t for _, t in texts], [chosen[i] for i, _ in texts]
+
+
+def of_documents(docs: DataFrame, ids: list[int], value: Column) -> DataFrame:
+    """doc_id and a value of the smallest usable text of each listed document; the list is bounded."""
+    wanted = local_table(docs.sparkSession, {"_id": (ids, pa.int64())})
+    return (
         docs.select("doc_id", "text")
-        .join(ids, F.col("doc_id") == F.col("_id"))
+        .join(wanted, F.col("doc_id") == F.col("_id"))
         .filter(F.length("text").between(1, DOC_CHARS))
         .groupBy("doc_id")
         .agg(F.min("text").alias("text"))
-        .collect()
+        .select("doc_id", value)
     )
-    texts = sorted((r["doc_id"], r["text"]) for r in texts)
-    return [t for _, t in texts], [chosen[i] for i, _ in texts]
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:

@@ -63,9 +63,8 @@ def targets(sizes: DataFrame, weights: Sequence[int], share: float, cap: int) ->
         ).drop("_no", "_last")
     )
     total = weighed.agg(F.sum("source_size").alias("n")).first()["n"] or 0
-    wanted, level, capped = share * total, 0.0, -1
+    wanted, level, capped = share * total, None, -1
     is_capped = lambda at: F.col("weight") * F.lit(at) > cap * F.col("source_size")
-    level = None
     while True:
         over = is_capped(level) if level is not None else F.lit(False)
         now = weighed.agg(

@@ -5,7 +5,9 @@ from datetime import date, datetime as D
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark import schemas
 from tidemark.functions.temporal import minute_of
+from tidemark.operators import loads, tableops
 
 CASES = [
     ("ISNULL / IFNULL", "coalesce(NULL, 3)", 3),
@@ -77,3 +79,21 @@ def test_minute_ignores_the_session_zone(spark):
         assert out.first()["m"] == D(2024, 3, 10, 2, 30)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_merge_output_is_the_staged_side(spark):
+    """MERGE … OUTPUT and ON DUPLICATE KEY UPDATE: the next state, and which keys were replaced or new."""
+    target = spark.createDataFrame([("a", 1), ("b", 2)], "k string, n int")
+    source = spark.createDataFrame([("b", 20), ("c", 30)], "k string, n int")
+    state = tableops.upsert(target, source, ["k"], [F.col("n")])
+    assert sorted(tuple(r) for r in state.collect()) == [("a", 1), ("b", 20), ("c", 30)]
+    known = target.select("k", F.lit("UPDATE").alias("action"))
+    output = source.join(known, "k", "left").select("k", F.coalesce("action", F.lit("INSERT")).alias("action"))
+    assert sorted(tuple(r) for r in output.collect()) == [("b", "UPDATE"), ("c", "INSERT")]
+
+
+def test_scope_identity_is_the_key_of_the_open_load(spark):
+    lineage = spark.createDataFrame([], schemas.LOADS)
+    first = loads.open_load(lineage, "City", "2024-01-01", "2024-01-02")
+    second = loads.open_load(first, "Sale", "2024-01-01", "2024-01-02")
+    assert loads.require_open_key(second, "City") == 1 and loads.require_open_key(second, "Sale") == 2

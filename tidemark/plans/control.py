@@ -24,6 +24,8 @@ TABLES = {
     "ops.agent_events": schemas.EVENTS,
     "ops.table_lineage": schemas.LINEAGE_EDGES,
 }
+# Histories of which one run at a time is replaced.
+BY_RUN = ("ops.migration_inventory", "ops.reconcile_results")
 FAULTS = "ops.injected_faults"
 
 
@@ -48,7 +50,11 @@ class Control:
         sinks.create_layers(self.spark, self.root, ("ops",), self.prefix)
         for table, schema in TABLES.items():
             if not sinks.table_exists(self.spark, self.name(table)):
-                self.publish(table, self.spark.createDataFrame([], schema))
+                empty = self.spark.createDataFrame([], schema)
+                if table in BY_RUN:
+                    sinks.refresh_partitions(empty, self.name(table), self.root, "run_id", [])
+                else:
+                    self.publish(table, empty)
         return counts.smoke("ops_and_views_ok", agent_events=self.read("ops.agent_events"))
 
     def record_event(

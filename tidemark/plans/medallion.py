@@ -87,11 +87,10 @@ class Medallion:
                 }
             )
         new = discovery.inventory(tables, routines, self.run_id, self.as_of)
-        if sinks.table_exists(self.spark, self.name("ops.migration_inventory")):
-            new = tableops.replace_run(
-                self.read("ops.migration_inventory"), new, self.run_id, drop_null_run=True
-            )
-        published = self.publish("ops.migration_inventory", new)
+        # Rows without a run are leftovers; they go with the run's own earlier rows.
+        published = sinks.refresh_partitions(
+            new, self.name("ops.migration_inventory"), self.root, "run_id", [self.run_id, None]
+        )
         mine = published.filter(F.col("run_id") == self.run_id)
         clashes = self.publish("ops.landing_collisions", landing.landing_collisions(mine))
         if count := clashes.count():
@@ -268,9 +267,9 @@ class Medallion:
             new = new.unionByName(
                 quality.evaluate_expectations(expectations, actual, self.run_id, self.as_of)
             )
-        if sinks.table_exists(self.spark, self.name("ops.reconcile_results")):
-            new = tableops.replace_run(self.read("ops.reconcile_results"), new, self.run_id)
-        return self.publish("ops.reconcile_results", new)
+        return sinks.refresh_partitions(
+            new, self.name("ops.reconcile_results"), self.root, "run_id", [self.run_id]
+        )
 
     def lineage(self) -> None:
         """One edge per table read and written, as recorded when it was published."""

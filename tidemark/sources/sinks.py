@@ -104,6 +104,8 @@ def refresh_partitions(
             f"CREATE TABLE {table} ({declared}) USING parquet PARTITIONED BY (`{partition}`) "
             f"LOCATION '{root}/{table.replace('.', '/')}/base'"
         )
+    if partition not in {c.name for c in spark.catalog.listColumns(table) if c.isPartition}:
+        raise ValueError(f"{table} is not partitioned by {partition}; publish it anew")
     added = _added_columns(spark, table, ordered, partition)
     if added is None:
         raise ValueError(f"{table}: columns changed; publish the whole table with refresh")

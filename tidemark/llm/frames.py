@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 WORD = r"[^\x20\x09-\x0D]+"
 # Rows of an Arrow batch that are Python objects at a time.
 SLICE_ROWS = 512
+# Most of an Arrow batch: some MB of ordinary documents, and a bound for long ones.
+BATCH_ROWS, BATCH_BYTES = 2048, "16m"
 WORD_RE = re.compile(WORD)
 WORD_RE_BYTES = re.compile(WORD.encode())
 
@@ -32,8 +34,15 @@ def _ship(application: str) -> None:
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Send this package to the executors, once per application, as functions of it run in their tasks."""
+    """Send this package to the executors, once per application, as functions of it run in their tasks.
+
+    Also bounds the Arrow batches of the session, which both the JVM and Python hold in memory, unless it
+    has smaller ones already.
+    """
     _ship(spark.sparkContext.applicationId)
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def arrow_column(function: Callable, returns: str | T.DataType, *columns: str | Column) -> Column:

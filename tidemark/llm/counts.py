@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.frames import arrow_column
+from tidemark.llm.frames import arrow_column, remember_as
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 SECTIONS = "array<struct<section:int,start_char:long,end_char:long,n_tokens:long,n_crossing:long>>"
@@ -32,6 +32,8 @@ def encoder(vocabulary: str):
     import public_tokenizers
     import tiktoken
 
+    remember_as(__name__, encoder.cache_clear)
+
     with open(public_tokenizers.path(vocabulary), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
     lengths = np.zeros(max(ranks.values()) + 1, np.int64)

@@ -45,6 +45,22 @@ def ship_package(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
+_REMEMBERED: dict[str, Callable[[], None]] = {}
+
+
+def remember_as(owner: str, forget: Callable[[], None]) -> None:
+    """Say how to drop what an operator remembers in this Python worker between tasks.
+
+    Workers outlive operators. When one operator's tasks begin, what the others remembered goes.
+    """
+    _REMEMBERED[owner] = forget
+
+
+def forget_others(owner: str) -> None:
+    for name in [n for n in _REMEMBERED if n != owner]:
+        _REMEMBERED.pop(name)()
+
+
 def arrow_column(function: Callable, returns: str | T.DataType, *columns: str | Column) -> Column:
     """``function(list, …) -> pyarrow array`` as a column, one Arrow batch at a time.
 
@@ -52,6 +68,7 @@ def arrow_column(function: Callable, returns: str | T.DataType, *columns: str |
     more for the projection.
     """
     def batch(*arrays: pa.Array) -> pa.Array:
+        forget_others(function.__module__)
         # Slices keep what lies between Arrow and Arrow small, however large the batch.
         starts = range(0, max(1, len(arrays[0])), SLICE_ROWS)
         parts = [function(*(a.slice(i, SLICE_ROWS).to_pylist() for a in arrays)) for i in starts]

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from tidemark.llm import idcoder
-from tidemark.llm.frames import ship_package
+from tidemark.llm.frames import forget_others, remember_as, ship_package
 from tidemark.operators.keysets import own_exchange
 from tidemark.session import ensure_checkpoint_dir
 
@@ -99,6 +99,7 @@ class Encoder:
 
 @lru_cache(maxsize=1)
 def encoder(name: str) -> Encoder:
+    remember_as(__name__, encoder.cache_clear)
     return Encoder(name)
 
 
@@ -149,6 +150,7 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
     order = [F.col("doc_id").asc_nulls_first(), F.col("hash")]
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(__name__)
         part, frame, held, ids, size = TaskContext.get().partitionId(), 0, [], [], 0
         machine = encoder(tokenizer)
         for batch in batches:

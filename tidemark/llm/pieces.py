@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.frames import arrow_column
+from tidemark.llm.frames import arrow_column, remember_as
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
@@ -228,6 +228,7 @@ class Transducer:
 def transducer(model: str) -> Transducer:
     import public_tokenizers
 
+    remember_as(__name__, transducer.cache_clear)
     return Transducer(public_tokenizers.path(model))
 
 

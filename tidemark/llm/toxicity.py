@@ -33,7 +33,7 @@ from tidemark.operators.keysets import own_exchange
 from tidemark.session import cut_lineage
 
 SAMPLE_DOCS = 2000
-SAMPLE_CHARS = 16_000_000
+SAMPLE_CHARS = 10_000_000
 DOC_CHARS = 40_000
 BAG_WORDS = 4
 BUCKET_BITS = 16
@@ -137,10 +137,14 @@ class Trainer:
         self.rng = np.random.default_rng(seed)
         index: dict[str, int] = {}
         self.docs = [
-            np.array([index.setdefault(w, len(index)) for w in TOKEN.findall(t.lower())], np.int64)
+            np.array([index.setdefault(w, len(index)) for w in TOKEN.findall(t.lower())], np.int32)
             for t in texts
         ]
-        self.buckets, self.counts = parts(list(index))
+        # In pieces, as the tables of all n-grams at once would be many times the result.
+        words = list(index)
+        found = [parts(words[i : i + 20_000]) for i in range(0, max(1, len(words)), 20_000)]
+        self.buckets = np.concatenate([b.astype(np.int32) for b, _ in found])
+        self.counts = np.concatenate([c for _, c in found])
         self.begins = np.concatenate(([0], np.cumsum(self.counts)))
         self.table = self.rng.normal(0, 1 / DIM, (BUCKETS, DIM))
         self.head = np.zeros((2, DIM))

@@ -264,6 +264,27 @@ def test_quality_estimate_against_numpy(spark):
     assert abs(found["c0_0"] / inverse[0, 0] - 1) < 0.2
 
 
+def invented(rng, n, low, high, share):
+    """Texts of 80 to 160 words of ``low`` to ``high`` letters; a share of the words is capitalised."""
+    words = ["".join(rng.choice(list("aeiorstnlmdk"), rng.integers(low, high + 1))) for _ in range(400)]
+    pick = lambda: [w.capitalize() if rng.random() < share else w for w in rng.choice(words, rng.integers(8, 13))]
+    return ["\n".join(" ".join(pick()) + "." for _ in range(rng.integers(10, 13))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("common", [60, 400])
+def test_quality_of_small_groups(spark, common):
+    """No number of rows switches a rule: a rare language is its own norm, and small tables are judged."""
+    rng = np.random.default_rng(4)
+    texts = [("aa", f"s{i % 4}", t) for i, t in enumerate(invented(rng, common, 2, 8, 0.1))]
+    texts += [("zz", f"s{i % 4}", t) for i, t in enumerate(invented(rng, 12, 13, 19, 0))]
+    texts.append(("yy", "s0", invented(rng, 1, 9, 13, 0)[0]))
+    junk = [" ".join(f"{rng.integers(1 << 20)}#$%&|<>*" for _ in range(90)) for _ in range(2)]
+    texts += [("aa", "s0", junk[0]), ("zz", "s1", junk[1])]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(texts)], "doc_id long, lang string, source string, text string")
+    rejected = {r["doc_id"] for r in quality.judge(docs).collect() if not r["kept"]}
+    assert rejected == {len(texts) - 2, len(texts) - 1}
+
+
 def test_id_files(spark, odd, none, folder):
     rows = idfiles.id_files(odd, folder + "/ids").collect()
     assert len(rows) == odd.count()

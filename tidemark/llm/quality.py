@@ -9,13 +9,17 @@ Statistics are integers (``1 / STEP`` of the transformed value), so all sums are
 A concentration step is one grouped aggregation: rows fall into distance classes (``CLASSES`` per
 doubling), each class of a group keeps its count, sums and products, and the classes up to the core's
 share give the next mean and covariance. Only these sums meet in one place, never rows; a group of any
-size costs its classes. A group below ``MIN_GROUP`` rows of the core's base uses its language's estimate,
-a language below it the estimate of all rows.
+size costs its classes.
+
+Every group has an estimate of its own, whatever its size. Few rows say little about a covariance, so a
+group of language and source takes ``PRIOR_ROWS`` pseudo-rows of its language's covariance to its core, a
+language those of all rows', and all rows those of the quartile spreads. The centre stays the group's own
+but for ``CENTRE_ROWS`` pseudo-rows of the parent's, by which the odd one of very few rows is told. Both
+weights fall smoothly with the core's rows.
 
 Defined results: NULL text has no words and fails the base rule, as does every text of fewer than
 ``MIN_WORDS`` words. NULL language or source is a group of its own. Rows that fail the base rule
-take no part in the estimates and are not kept. Repeated rows count and repeat. With fewer than
-``MIN_GROUP`` usable rows in all there is no estimate and the base rule decides.
+take no part in the estimates and are not kept. Repeated rows count and repeat.
 """
 
 from __future__ import annotations
@@ -39,7 +43,10 @@ STEP = 1024
 CORE = 0.75
 STEPS = 4
 CLASSES = 8
+# No verdict reads it; tests/llm sets it.
 MIN_GROUP = 200
+PRIOR_ROWS = 200
+CENTRE_ROWS = 1
 CUTOFF = 32.0
 # Words of an average text mixed in, so that short texts do not stand out by chance.
 PRIOR = 40
@@ -146,6 +153,7 @@ def fails_base(n_words: Column, n_repeat: Column) -> Column:
 P = len(STATISTICS)
 X = [f"x{i}" for i in range(P)]
 PAIRS = [(i, j) for i in range(P) for j in range(i, P)]
+LEVELS = 3
 
 
 def group_key(level: int) -> Column:
@@ -192,29 +200,46 @@ def distance() -> Column:
     return total
 
 
-def invert(n: list[int], sums: list[list[int]], products: list[list[int]]) -> pa.Array:
-    """Mean and inverse of the covariance, widened by the least deviations, of each group."""
+def moments(n: int, sums: list[int], products: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Mean and covariance of ``n`` rows."""
+    second = np.zeros((P, P))
+    for (i, j), value in zip(PAIRS, products, strict=True):
+        # Exact integers up to the division, so no cancellation.
+        exact = (int(value) * int(n) - int(sums[i]) * int(sums[j])) / (int(n) * int(n))
+        second[i, j] = second[j, i] = exact
+    return np.array(sums, float) / n, second
+
+
+def invert(chains: list[list[dict]]) -> pa.Array:
+    """Mean and inverse of the covariance, widened by the least deviations, of the last group of each chain.
+
+    A chain leads from all rows to the group. Each link is drawn towards the one before it, the first one's
+    covariance towards its quartile spreads.
+    """
     floors = np.array(list(STATISTICS.values())) * STEP
     out = []
-    for count, s, q in zip(n, sums, products, strict=True):
-        mean = np.array(s, float) / count
-        second = np.zeros((P, P))
-        for (i, j), value in zip(PAIRS, q, strict=True):
-            # Exact integers up to the division, so no cancellation.
-            exact = (int(value) * int(count) - int(s[i]) * int(s[j])) / (int(count) * int(count))
-            second[i, j] = second[j, i] = exact
-        inverse = np.linalg.inv(second + np.diag(floors**2))
-        out.append([*mean, *(inverse[i, j] for i, j in PAIRS)])
+    for chain in chains:
+        centre, cov = None, np.diag(1 / np.array(chain[0]["t"]))
+        for link in chain:
+            n = link["n"]
+            mean, second = moments(n, link["s"], link["q"])
+            cov = (n * second + PRIOR_ROWS * cov) / (n + PRIOR_ROWS)
+            centre = mean if centre is None else (n * mean + CENTRE_ROWS * centre) / (n + CENTRE_ROWS)
+        inverse = np.linalg.inv(cov + np.diag(floors**2))
+        out.append([*centre, *(inverse[i, j] for i, j in PAIRS)])
     return pa.array(out, pa.list_(pa.float64()))
 
 
-def concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
-    """One concentration step: the estimate from the ``CORE`` share of rows nearest to the last one."""
+def concentrate(rows: DataFrame, estimate: DataFrame, spreads: DataFrame) -> DataFrame:
+    """One concentration step: the estimate from the ``CORE`` share of rows nearest to the last one.
+
+    ``spreads`` has the inverse squares ``t`` of each group's quartile spreads.
+    """
     near = rows.join(own_exchange(estimate.withColumnRenamed("g", "_g")), F.col("g") == F.col("_g"))
     nearness = F.floor(F.log2(F.greatest(distance(), F.lit(2.0**-10))) * CLASSES)
     classes = (
-        near.select("g", *X, nearness.alias("class"))
-        .groupBy("g", "class")
+        near.select("g", "up", *X, nearness.alias("class"))
+        .groupBy("g", "up", "class")
         .agg(
             F.count("*").alias("n"),
             *[F.sum(x).alias(f"s{i}") for i, x in enumerate(X)],
@@ -228,27 +253,48 @@ def concentrate(rows: DataFrame, estimate: DataFrame) -> DataFrame:
         (F.sum("n").over(upto) - F.col("n")).alias("_before"),
         F.sum("n").over(W.partitionBy("g")).alias("_all"),
     ).filter(F.col("_before") < CORE * F.col("_all"))
-    totals = core.groupBy("g").agg(
+    totals = core.groupBy("g", "up").agg(
         F.sum("n").alias("n"),
         F.array(*[F.sum(f"s{i}") for i in range(P)]).alias("s"),
         F.array(*[F.sum(f"q{i}_{j}") for i, j in PAIRS]).alias("q"),
     )
+    spread = own_exchange(spreads.withColumnRenamed("g", "_g"))
+    links = cut_lineage(
+        own_exchange(totals)
+        .join(spread, F.col("g") == F.col("_g"))
+        .select("g", "up", F.struct("n", "s", "q", "t").alias("link0"))
+    )
+    chains = links
+    for level in range(1, LEVELS):
+        above = links.select(
+            F.col("g").alias("_above"), F.col("up").alias("_next"), F.col("link0").alias(f"link{level}")
+        )
+        chains = chains.join(own_exchange(above), F.col("up") == F.col("_above"), "left").select(
+            "g", F.col("_next").alias("up"), *(f"link{k}" for k in range(level + 1))
+        )
     ship_package(rows.sparkSession)
     inverse = F.arrow_udf(_invert_batch, "array<double>")
     names = [*(f"m{i}" for i in range(P)), *(f"c{i}_{j}" for i, j in PAIRS)]
-    solved = totals.select("g", inverse("n", "s", "q").alias("e"))
+    chain = F.array_compact(F.array(*(f"link{k}" for k in reversed(range(LEVELS)))))
+    solved = chains.select("g", inverse(chain).alias("e"))
     return solved.select("g", *[F.col("e")[k].alias(name) for k, name in enumerate(names)])
 
 
-def _invert_batch(n: pa.Array, s: pa.Array, q: pa.Array) -> pa.Array:
-    return invert(n.to_pylist(), s.to_pylist(), q.to_pylist())
+def _invert_batch(chains: pa.Array) -> pa.Array:
+    return invert(chains.to_pylist())
 
 
 def estimates(rows: DataFrame) -> DataFrame:
-    """Minimum-covariance-determinant estimate of each group ``g`` of rows ``x0 …``."""
+    """Minimum-covariance-determinant estimate of each group ``g`` of rows ``x0 …``.
+
+    ``up`` names the group's parent, whose rows are there too; without that column no group has one.
+    """
+    if "up" not in rows.columns:
+        rows = rows.withColumn("up", F.lit(None).cast("string"))
     estimate = cut_lineage(first_estimate(rows))
+    spreads = estimate.select("g", F.array(*(f"c{i}_{i}" for i in range(P))).alias("t"))
     for _ in range(STEPS):
-        estimate = cut_lineage(concentrate(rows, estimate))
+        estimate = cut_lineage(concentrate(rows, estimate, spreads))
     return estimate
 
 
@@ -274,20 +320,18 @@ def row_key() -> Column:
 def judge(docs: DataFrame) -> DataFrame:
     """doc_id, key, counts, base_failed, distance, kept for every row of documents."""
     work = measured_rows(docs)
-    levels = [F.struct(F.lit(i).alias("level"), group_key(i).alias("g")) for i in range(3)]
+    ups = [*(group_key(level) for level in range(1, LEVELS)), F.lit(None).cast("string")]
+    levels = [F.struct(group_key(i).alias("g"), up.alias("up")) for i, up in enumerate(ups)]
     usable = work.filter(~F.col("base_failed"))
-    spread = usable.select(*X, F.explode(F.array(*levels)).alias("l")).select("l.level", "l.g", *X)
-    sizes = spread.groupBy("level", "g").agg(F.count("*").alias("n")).filter(F.col("n") >= MIN_GROUP)
-    large = own_exchange(sizes.select(F.col("g").alias("_large")))
-    rows = cut_lineage(spread.join(large, F.col("g") == F.col("_large"), "left_semi").select("g", *X))
+    rows = cut_lineage(usable.select(*X, F.explode(F.array(*levels)).alias("l")).select("l.g", "l.up", *X))
     estimate = own_exchange(estimates(rows))
-    # Every row takes the finest group with an estimate.
+    # A row that failed the base rule may stand in a group without usable rows and takes the next one's.
     fitted = work
-    for level in range(3):
+    for level in range(LEVELS):
         named = estimate.select(*(F.col(c).alias(f"_{level}_{c}") for c in estimate.columns))
         fitted = fitted.join(named, group_key(level) == F.col(f"_{level}_g"), "left")
     chosen = [
-        F.coalesce(*(F.col(f"_{level}_{c}") for level in range(3))).alias(c) for c in estimate.columns if c != "g"
+        F.coalesce(*(F.col(f"_{level}_{c}") for level in range(LEVELS))).alias(c) for c in estimate.columns if c != "g"
     ]
     result = fitted.select(*work.columns, *chosen).select(
         "doc_id", "key", *COUNTS, "base_failed", distance().alias("distance")

@@ -60,6 +60,15 @@ def test_toxicity(odd, none, labels):
     assert {(r["score"], r["predicted"]) for r in unlabelled} == {(0.0, 0)}
 
 
+def test_repeats_count_once_in_their_own_bag():
+    rng = np.random.default_rng(3)
+    samples = [np.array([5.0, 5, 1, 1.5, 2])] + [rng.integers(-3, 4, rng.integers(1, 12)).astype(float) for _ in range(200)]
+    for values in samples:
+        width = min(toxicity.BAG_WORDS, len(values))
+        bags = [sum(set(values[i : i + width].tolist())) for i in range(len(values) - width + 1)]
+        assert np.allclose(toxicity.passages(values), np.array(bags) / toxicity.BAG_WORDS)
+
+
 def test_toxicity_learns_subwords():
     rng = np.random.default_rng(2)
     plain = [" ".join(rng.choice(["alpha", "beta", "gamma", "delta", "omega"], 30)) for _ in range(80)]

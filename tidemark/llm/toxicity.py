@@ -122,12 +122,16 @@ def passages(values: np.ndarray) -> np.ndarray:
 
     ``values`` are word margins; equal margins within a bag are taken as the same word.
     """
-    once = values.copy()
-    for back in range(1, min(BAG_WORDS, len(values))):
-        once[back:][values[back:] == values[:-back]] = 0.0
     width = min(BAG_WORDS, len(values))
-    sums = np.concatenate(([0.0], np.cumsum(once)))
-    return (sums[width:] - sums[:-width]) / BAG_WORDS
+    n = len(values) - width + 1
+    sums = np.zeros(n)
+    for at in range(width):
+        here = values[at : at + n]
+        again = np.zeros(n, bool)
+        for before in range(at):
+            again |= here == values[before : before + n]
+        sums += np.where(again, 0.0, here)
+    return sums / BAG_WORDS
 
 
 class Trainer:

@@ -244,6 +244,15 @@ def test_url_rules_meet_their_tokens():
                 assert set(tokens) <= set(re.split(urls.TOKEN_GAP, url))
 
 
+def test_url_rules_at_hyphens(spark):
+    """A word of a rule counts at the hyphens of a host's label, and only as a whole token."""
+    spam = ["casino-lux.biz/a", "a.adult-k.net/", "big-bets.net/x", "betting-q.io/", "ads-q.info/", "ads.q.info/p"]
+    clean = ["casinos.net/", "alphabets.org.uk/", "adults.info/", "loads-q.info/", "q.net/ads-team", "big-betterment.io/"]
+    pages = spark.createDataFrame(list(enumerate("http://" + u for u in spam + clean)), "page_id long, url string")
+    found = {r["page_id"]: r["verdict"] for r in urls.filter_urls(pages).collect()}
+    assert [found[i] for i in range(len(found))] == ["block"] * len(spam) + ["allow"] * len(clean)
+
+
 def test_quality(odd, none):
     rows = quality.judge(odd).collect()
     assert len(rows) == odd.count()

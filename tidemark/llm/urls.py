@@ -37,9 +37,24 @@ PATTERN_RULES = (
     "||cheap-pills.",
     "||spam-farm.",
     "||casino.",
+    "||casino-",
     "-casino.",
+    "-casino-",
     "/casino/",
+    "||bets.",
+    "||bets-",
+    "-bets.",
+    "-bets-",
+    "||betting.",
+    "||betting-",
+    "-betting.",
+    "-betting-",
     "||adult.",
+    "||adult-",
+    "||ads.",
+    "||ads-",
+    "||adserver.",
+    "||adserver-",
     "/viagra^",
     "/cialis^",
     "/payday-loans^",

@@ -24,7 +24,7 @@ def documents(spark, small):
 
 def test_registered():
     assert set(QUERIES) <= set(entry_point.queries())
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert "pipeline" in entry_point.queries()
 
 

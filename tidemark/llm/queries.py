@@ -2,12 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-from tidemark.llm import counts, idfiles, language, mixing, pieces, quality, simhash, topk, toxicity, urls
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+from tidemark.llm import (
+    counts,
+    idfiles,
+    language,
+    manifest,
+    mixing,
+    pieces,
+    quality,
+    runs,
+    shards,
+    simhash,
+    topk,
+    toxicity,
+    urls,
+)
 from tidemark.llm.frames import WORD
 
 
+# White space between words, as a split pattern.
+SPACE = r"[\x20\x09-\x0D]+"
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
@@ -56,6 +74,75 @@ def op10_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return counts.count_tokens(table(spark, folder, "documents"))
 
 
+def id_hash(doc_id: str = "doc_id") -> Column:
+    """Unsigned CRC-32 of the decimal id."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary"))
+
+
+def with_planted_period(text: Column, h: Column) -> Column:
+    """The text; where ten divides ``h``, its words repeat with a period from some word on."""
+    g = F.floor(h / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        a = (g % n).cast("int")
+        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
+        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+        return F.when(
+            n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i))), " ")
+        )
+
+    words = F.filter(F.split(text, SPACE), lambda w: w != "")
+    # The one-element array holds the words for all places that use them.
+    return F.when(h % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    text = with_planted_period(F.col("text"), id_hash())
+    found = docs.select("doc_id", runs.periodic_runs(text).alias("found")).select("doc_id", "found.*")
+    listed = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+
+    def better(best: Column, run: Column) -> Column:
+        more = run["length"] * best["period"] - best["length"] * run["period"]
+        # The runs come by start and period, so the first of equals stays.
+        return F.when(best.isNull() | (more > 0), run).otherwise(best)
+
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.aggregate("runs", none, better)
+    digests = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+    milli = F.floor(1000 * F.col("best.length") / F.col("best.period"))
+    return digests.select(
+        "doc_id", "n_runs", "best.*", milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
+    )
+
+
+def op12_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    dealt = shards.shard_documents(table(spark, folder, "documents"))
+    return dealt.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    changed = F.when(id_hash() % 2 == 0, manifest.leaf_of(text=F.replace(F.col("text"), F.lit("\n"), F.lit(""))))
+    listed = manifest.manifest(docs, changed=changed)
+    folded = manifest.fold(F.coalesce("changed", "leaf"), F.col("path"))
+    return listed.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(manifest.proof_text(F.col("path")).cast("binary"), 256).alias("proof_sha256"),
+        folded.alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES = {
     "op1_top_k": op1_top_k,
     "op2_toxicity": op2_toxicity,
@@ -67,6 +154,9 @@ QUERIES = {
     "op8_id_files": op8_id_files,
     "op9_mixing": op9_mixing,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_sharding": op12_sharding,
+    "op13_manifest": op13_manifest,
 }
 
 TOP_K_SQL = """

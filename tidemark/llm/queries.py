@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
@@ -19,11 +20,7 @@ from tidemark.llm import (
     toxicity,
     urls,
 )
-from tidemark.llm.frames import WORD
-
-
-# White space between words, as a split pattern.
-SPACE = r"[\x20\x09-\x0D]+"
+from tidemark.llm.frames import WORD, arrow_column
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -81,20 +78,21 @@ def id_hash(doc_id: str = "doc_id") -> Column:
 
 def with_planted_period(text: Column, h: Column) -> Column:
     """The text; where ten divides ``h``, its words repeat with a period from some word on."""
-    g = F.floor(h / 10)
 
-    def repeated(words: Column) -> Column:
-        n = F.size(words)
-        a = (g % n).cast("int")
-        p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
-        place = lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
-        return F.when(
-            n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get(words, place(i))), " ")
-        )
+    def planted(text: str | None, h: int | None) -> str | None:
+        words = (text or "").encode().split()
+        if h is None or h % 10 or not words:
+            return text
+        n, g = len(words), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        unit = words[a : a + p]
+        return b" ".join(words[:a] + (unit * ((n - a) // p + 1))[: n - a]).decode()
+
+    def batch(texts: list[str | None], hashes: list[int | None]) -> pa.Array:
+        return pa.array(map(planted, texts, hashes), pa.string())
 
-    words = F.filter(F.split(text, SPACE), lambda w: w != "")
-    # The one-element array holds the words for all places that use them.
-    return F.when(h % 10 == 0, F.transform(F.array(words), repeated)[0]).otherwise(text)
+    return arrow_column(batch, "string", text, h)
 
 
 def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
@@ -117,7 +115,7 @@ def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join(listed, "").cast("binary"), 256).alias("runs_sha256"),
         F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
     )
-    milli = F.floor(1000 * F.col("best.length") / F.col("best.period"))
+    milli = F.expr("1000 * best.length div best.period")
     return digests.select(
         "doc_id", "n_runs", "best.*", milli.alias("exponent_milli"), "runs_sha256", "collapsed_sha256"
     )

@@ -287,3 +287,25 @@ def test_manifest_row(spark):
     manifest = gate.manifest_row(decision, summary, "2024-01-01")
     later = manifest.withColumns({"updated_at": F.lit("2025-01-01").cast("timestamp_ntz")})
     assert reports.gate_hero(manifest.unionByName(later)).first()["updated_at"] == D(2025, 1, 1)
+
+
+def test_gate_fails_closed(spark):
+    """An undecided table is live, and a check passes by saying so alone."""
+    inventory = spark.createDataFrame(
+        [("table", "dim_a", None), ("table", "dim_b", True), ("proc", None, None)],
+        "object_type string, landing_name string, skip boolean",
+    )
+    reconcile = spark.createDataFrame(
+        [("bronze_vs_source:dim_a", "1", "1", "pass", "r"), ("x", None, None, None, "r"), ("y", "1", "1", "PASS", "r")],
+        "check_id string, expected string, actual string, result string, run_id string",
+    )
+    empty = lambda ddl: spark.createDataFrame([], ddl)
+    events = spark.createDataFrame([("r", a) for a in gate.REQUIRED_AGENTS], "run_id string, agent string")
+    backlog = empty("item_id string, legacy_proc string, target_layer string, target_path string, status string")
+    found = gate.gate_blockers(
+        inventory, empty("table_name string"), reconcile, backlog, empty("legacy_proc string, status string"),
+        empty("target_path string"), events, "r",
+    )
+    assert rows(found, "id") == [("bronze_missing:dim_a",), ("reconcile_fail:x",), ("reconcile_fail:y",)]
+    totals = gate.run_summary(inventory, empty("table_name string"), reconcile, backlog, events, "r").first()
+    assert (totals["tables_total"], totals["procs_total"], totals["reconcile_failed"]) == (1, 1, 2)

@@ -68,6 +68,15 @@ BAD = [
     ("context", {"max_retries": 6}, "max_retries: above 5"),
     ("context", {"max_retries": -1}, "max_retries: below 0"),
     ("context", {"max_retries": "2"}, "max_retries: type"),
+    ("context", {"max_retries": 1.5}, "max_retries: type"),
+    ("context", {"max_retries": 10**20}, "max_retries: above 5"),
+    ("context", {"max_retries": -(10**60)}, "max_retries: below 0"),
+    ("context", {"attempt": -3000000000}, "attempt: below 0"),
+    ("context", {"attempt": 3000000000}, "attempt: outside its type"),
+    ("reconcile_report", {"summary": {"passed": 10**19, "failed": 0, "total": 1}}, "summary.passed: outside its type"),
+    ("reconcile_report", {"summary.total": 0}, "unknown: summary.total"),
+    ("reconcile_report", {"summary": None}, "summary: type"),
+    ("reconcile_report", {"checks": {"check_id": 1}}, "checks: type"),
     ("context", {"demo_mode": "yes"}, "demo_mode: type"),
     ("context", {"scoped_tables": ["a", 1]}, "scoped_tables[]: type"),
     ("context", {"surprise": 1}, "unknown: surprise"),
@@ -131,6 +140,36 @@ def test_contract(spark, name):
     assert good.count() == 1 and rejected.count() == len(docs) - 1
 
 
+def test_whole_numbers_and_order(spark):
+    """1.0 is an integer; violations stand in the order of the fields, unknown members last."""
+    good = {**GOOD["context"], "max_retries": 1.0, "attempt": 2147483647}
+    bad = {**without(GOOD["context"], "foreign_catalog"), "z": 1, "a": 2, "max_retries": 9, "run_id": "short"}
+    df = spark.createDataFrame([(1, json.dumps(good)), (2, json.dumps(bad)), (3, None), (4, ""), (2, json.dumps(bad))], "n int, record string")
+    found = records.validate_records(df, records.CONTRACTS["context"]).collect()
+    by = {r["n"]: r["violations"] for r in found}
+    assert len(found) == 5 and by[1] == [] and by[3] == by[4] == ["not a JSON object"]
+    assert by[2] == ["run_id: pattern", "foreign_catalog: missing", "max_retries: above 5", "unknown: a,z"]
+
+
+def test_another_contract_is_other_rows(spark):
+    """Deeper nesting than any shipped contract has, columns that clash, and distinct violations per key."""
+    part = records.Field("part", "object", required=True, properties=(records.Field("size", "integer", minimum=1),))
+    lines = records.Field("lines", "array", min_items=1, items=(part, records.Field("tags", "array", item_kind="string")))
+    contract = records.Contract("order", "lines array<struct<part:struct<size:int>>>", (lines,))
+    docs = [
+        ("a", {"lines": [{"part": {"size": 1}, "tags": ["x"]}]}), ("b", {"lines": [{"part": {"size": 0}}, {"part": {"size": -1, "q": 1}}]}),
+        ("c", {"lines": [{"part": 5}, {"tags": [1, 2]}, 7]}), ("c", {"lines": []}),
+    ]
+    df = spark.createDataFrame([(k, json.dumps(d), "p", "n") for k, d in docs], "kind string, record string, parent string, pos string")
+    assert rows(records.broken_rules(df, contract, "kind"), "kind", "violation") == [
+        ("b", "lines[].part.size: below 1"), ("b", "lines[].part.unknown: q"), ("c", "lines: too few items"),
+        ("c", "lines[].part: missing"), ("c", "lines[].part: type"), ("c", "lines[].tags[]: type"), ("c", "lines[]: type"),
+    ]
+    checked = records.validate_records(df, contract)
+    assert checked.columns == ["kind", "record", "parent", "pos", "parsed", "violations"] and checked.count() == 4
+    assert records.validate_records(df.limit(0), contract).collect() == []
+
+
 def test_record_folder_to_merge(spark, folder):
     """Files on disk, validated and merged: two converted, one missing, one filed under a wrong name."""
     for number, item in ((1, "item-1"), (2, "item-2"), (3, "item-9")):

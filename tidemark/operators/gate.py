@@ -22,6 +22,15 @@ def _blockers(df: DataFrame, prefix: str, subject: Column, message: Column, item
     )
 
 
+def is_live() -> Column:
+    """Inventory rows that take part; only a stated ``skip`` leaves one out."""
+    return ~F.coalesce("skip", F.lit(False))
+
+
+def is_passed() -> Column:
+    return F.col("result").eqNullSafe(F.lit("pass"))
+
+
 def gate_blockers(
     inventory: DataFrame,
     bronze: DataFrame,
@@ -39,13 +48,14 @@ def gate_blockers(
 
     ``bronze`` lists landed tables as ``table_name``, ``targets`` existing files as ``target_path``.
     A table-only run (routines skipped, or none found) owes no conversions, and an empty
-    backlog yields none.
+    backlog yields none. What is unknown does not pass: a NULL ``skip`` is a live table, and a NULL or
+    unknown ``result`` a failed check.
     """
     landed = bronze.select(F.col("table_name").alias("landing_name"))
-    live = inventory.filter("object_type = 'table' AND skip = false")
+    live = inventory.filter((F.col("object_type") == "table") & is_live())
     absent = live.join(landed, "landing_name", "left_anti")
     this_run = reconcile.filter(F.col("run_id") == run_id)
-    failed = this_run.filter("result = 'fail'")
+    failed = this_run.filter(~is_passed())
     # A live table that nobody compared has not passed either.
     compared = own_exchange(this_run.select(F.col("check_id").alias("_check")).distinct())
     uncompared = live.withColumn("check_id", F.concat(F.lit(BRONZE_CHECK), "landing_name")).join(
@@ -153,7 +163,7 @@ def run_summary(
         )
         return one.select(F.explode(pairs).alias("p")).select("p.name", "p.value")
 
-    is_table = (F.col("object_type") == "table") & ~F.col("skip")
+    is_table = (F.col("object_type") == "table") & is_live()
     landed = (
         inventory.filter(is_table)
         .select("landing_name")
@@ -165,7 +175,7 @@ def run_summary(
             counts(
                 inventory,
                 tables_total=F.count_if(is_table),
-                procs_total=F.count_if((F.col("object_type") != "table") & ~F.col("skip")),
+                procs_total=F.count_if((F.col("object_type") != "table") & is_live()),
             ),
             counts(landed, tables_landed=F.count("*")),
             counts(
@@ -176,8 +186,8 @@ def run_summary(
             ),
             counts(
                 reconcile.filter(this_run),
-                reconcile_passed=F.count_if(F.col("result") == "pass"),
-                reconcile_failed=F.count_if(F.col("result") == "fail"),
+                reconcile_passed=F.count_if(is_passed()),
+                reconcile_failed=F.count_if(~is_passed()),
             ),
             counts(events.filter(this_run), agent_events_recorded=F.count("*")),
         ]

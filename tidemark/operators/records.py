@@ -1,26 +1,28 @@
-"""Validation of JSON records against a contract, as one distributed pass.
+"""Validation of JSON records: a contract is a table of rules, a record is opened into rows that meet it.
 
-A contract is data: which fields there are, of what type, and what they may hold. Each record is
-parsed once and gets the array of its violations; nothing is collected.
+``record_nodes`` turns a record into one row per value: where it lies, its JSON type, the value, and for an object
+the names of its members. ``rule_table`` writes a contract as a small table with one rule per place. Both meet in
+a join on the place; what a rule forbids is said by its row, so another contract is other rows and no other
+expression. An object's rule lists the members it asks for and those it allows: absent and unknown ones are set
+differences with the names at hand, and nothing has to be made up for what is not there.
+
+A record is parsed once. Nothing is shuffled before the violations, and of those only distinct ones.
+
+Numbers: an integer is a number without a fraction, ``1.0`` as well, as in JSON Schema. Ranges are tested on the
+number itself, however large; one that the target's type cannot hold is a violation of its own.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark import schemas
 from tidemark.operators.backlog import TARGET_PATTERN
-
-def _is_kind(kind: Column, wanted: str) -> Column:
-    """Whether a type name of the variant reader is the wanted JSON type."""
-    if wanted == "array":
-        return kind.startswith("ARRAY")
-    if wanted == "object":
-        return kind.startswith("OBJECT")
-    return kind == {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN"}[wanted]
+from tidemark.operators.keysets import own_exchange
 
 
 @dataclass(frozen=True)
@@ -48,167 +50,202 @@ class Contract:
     fields: tuple[Field, ...] = field(default=())
 
 
-def _flag(broken: Column, text: str) -> Column:
-    return F.when(F.coalesce(broken, F.lit(False)), F.lit(text))
-
-
-def _value_rules(f: Field, value: Column, label: str) -> list[Column]:
-    rules = []
-    if f.enum:
-        rules.append(_flag(value.isNotNull() & ~value.isin(*f.enum), f"{label}: not allowed"))
-    if f.pattern:
-        rules.append(_flag(~value.rlike(f.pattern), f"{label}: pattern"))
-    if f.min_length is not None:
-        rules.append(_flag(F.length(value) < f.min_length, f"{label}: too short"))
-    if f.minimum is not None:
-        rules.append(_flag(value < f.minimum, f"{label}: below {f.minimum}"))
-    if f.maximum is not None:
-        rules.append(_flag(value > f.maximum, f"{label}: above {f.maximum}"))
-    return rules
-
-
-def _map_of(node: Column) -> Column:
-    """Members of a JSON object; NULL for any other value."""
-    return F.try_variant_get(node, "$", "map<string,variant>")
+# What the integer types of a target hold.
+HOLDS = {"int": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
+NUMBER = "decimal(38,0)"
+ROOT = "$"
+# ``pos`` and ``last``: numbers of the rule and of the last one inside it. ``known`` is NULL for an open object.
+RULES = (
+    f"parent string, name string, path string, pos int, last int, label string, kind string, nullable boolean, "
+    f"enum array<string>, pattern string, min_length int, minimum {NUMBER}, maximum {NUMBER}, lowest {NUMBER}, "
+    f"highest {NUMBER}, min_items int, required array<struct<name:string,pos:int>>, known array<string>, unknown string"
+)
 
 
-def _object_rules(
-    fields: Sequence[Field], parsed: Column, path: str, closed: bool, prefix: str = ""
-) -> list[Column]:
-    """Rules of the object whose members and member types lie in the columns under ``path``."""
-    members = F.col(path.join("``"))
-    rules: list[Column] = []
-    for f in fields:
-        label = f"{prefix}{f.name}"
-        value = parsed[f.name]
-        kind = F.col(f"{path}.{f.name}:kind".join("``"))
-        wrong = ~_is_kind(kind, f.kind)
-        if f.nullable:
-            wrong = wrong & (kind != "VOID")
-        if f.required:
-            # A JSON null is present and has type VOID; only an absent member has no type.
-            rules.append(_flag(kind.isNull(), f"{label}: missing"))
-        rules.append(_flag(wrong, f"{label}: type"))
-        rules += _value_rules(f, value, label)
-        if f.min_items is not None:
-            rules.append(_flag(F.size(value) < f.min_items, f"{label}: too few items"))
-        if f.item_kind:
-            parts = F.try_variant_get(members[f.name], "$", "array<variant>")
-            rules.append(
-                _flag(
-                    F.exists(
-                        parts, lambda v: ~_is_kind(F.schema_of_variant(v), f.item_kind)
-                    ),
-                    f"{label}[]: type",
-                )
-            )
-        if f.items:
-            rules += _item_rules(f, members[f.name], label)
-        if f.properties:
-            inner = _object_rules(f.properties, value, f"{path}.{f.name}", f.closed, f"{label}.")
-            rules += [F.when(_is_kind(kind, "object"), r) for r in inner]
-    if closed:
-        extra = F.array_except(F.map_keys(members), F.array(*(F.lit(f.name) for f in fields)))
-        rules.append(
-            F.when(
-                F.size(extra) > 0,
-                F.concat(F.lit(f"{prefix}unknown: "), F.array_join(F.array_sort(extra), ",")),
-            )
-        )
+def _type_of(schema: T.DataType | None, name: str) -> T.DataType | None:
+    """Type of a member in the target's schema."""
+    if isinstance(schema, T.ArrayType):
+        schema = schema.elementType
+    return schema[name].dataType if isinstance(schema, T.StructType) and name in schema.names else None
+
+
+def contract_rules(contract: Contract) -> list[dict]:
+    """The rules of a contract, one per place, in the order of its fields."""
+    rules: list[dict] = []
+
+    def decimal(value: int | None) -> Decimal | None:
+        return None if value is None else Decimal(value)
+
+    def rule(
+        f: Field, parent: str | None, name: str | None, label: str, inside: Sequence[Field], closed: bool, target: T.DataType | None
+    ) -> None:
+        path = ROOT if parent is None else f"{parent}[]" if name is None else f"{parent}.{name}"
+        prefix = f"{label}." if label else ""
+        low, high = HOLDS.get(target.simpleString(), (None, None)) if target and f.kind == "integer" else (None, None)
+        own = {
+            "parent": parent, "name": name, "path": path, "pos": len(rules), "label": label, "kind": f.kind,
+            "nullable": f.nullable, "enum": list(f.enum) or None, "pattern": f.pattern, "min_length": f.min_length,
+            "minimum": decimal(f.minimum), "maximum": decimal(f.maximum), "lowest": decimal(low),
+            "highest": decimal(high), "min_items": f.min_items, "required": [],
+            "known": [i.name for i in inside] if closed else None,
+            # Elements of an array are not told apart, so their unknown members are not named.
+            "unknown": None if name is None and parent else f"{prefix}unknown: ",
+        }
+        rules.append(own)
+        if f.items or f.item_kind:
+            element = Field("", f.item_kind or "object")
+            rule(element, path, None, f"{label}[]", f.items, bool(f.items), target)
+        for i in inside:
+            if i.required:
+                own["required"].append((i.name, len(rules)))
+            rule(i, path, i.name, f"{prefix}{i.name}", i.properties, bool(i.properties) and i.closed, _type_of(target, i.name))
+        own["last"] = len(rules) - 1
+
+    rule(Field("", "object"), None, None, "", contract.fields, True, T.StructType.fromDDL(contract.schema))
     return rules
 
 
-def _kind_in(element: Column, name: str) -> Column:
-    """Type name of a member of an object element; NULL if the member is absent."""
-    return F.schema_of_variant(_map_of(element)[name])
-
-
-def _breaks_kind(f: Field) -> Callable[[Column], Column]:
-    def broken(element: Column) -> Column:
-        kind = _kind_in(element, f.name)
-        wrong = ~_is_kind(kind, f.kind)
-        return F.coalesce(wrong & (kind != "VOID") if f.nullable else wrong, F.lit(False))
+def rule_table(spark: SparkSession, contract: Contract) -> DataFrame:
+    """The contract as a table, one row per place: a local relation, whose bytes Spark knows."""
+    names = T.StructType.fromDDL(RULES).names
+    return spark.createDataFrame([tuple(r[n] for n in names) for r in contract_rules(contract)], RULES)
 
-    return broken
 
-
-def _lacks(name: str) -> Callable[[Column], Column]:
-    return lambda element: F.coalesce(~F.map_contains_key(_map_of(element), name), F.lit(False))
+def _members(node: Column) -> Column:
+    """Members of a JSON object by name; NULL for any other value."""
+    return F.try_variant_get(node, "$", "map<string,variant>")
 
 
-def _outside(name: str, allowed: Sequence[str]) -> Callable[[Column], Column]:
-    return lambda element: F.coalesce(
-        ~F.try_variant_get(element, f"$.{name}", "string").isin(*allowed), F.lit(False)
-    )
+def _node(parent: Column, name: Column, value: Column) -> Column:
+    return F.struct(parent.alias("parent"), name.alias("name"), value.alias("value"))
 
 
-def _item_rules(f: Field, node: Column, label: str) -> list[Column]:
-    """Rules over the elements of an array of objects, one violation per rule and record.
+def record_nodes(texts: DataFrame, places: Sequence[str], *keys: str, column: str = "record") -> DataFrame:
+    """keys, parent, name, value, kind, names (of an object's members), items (of an array) of each value.
 
-    Every rule looks at each element by itself, so a bad element does not hide the others.
+    ``places`` are the paths of the containers to open. A member has the path of its object as parent and its name;
+    an element has the path of its array and no name. Other values stay closed, however large.
     """
-    parts = F.try_variant_get(node, "$", "array<variant>")
-    names = F.array(*(F.lit(i.name) for i in f.items))
-    unknown = lambda e: F.coalesce(
-        F.size(F.array_except(F.map_keys(_map_of(e)), names)) > 0, F.lit(False)
+    nobody = F.lit(None).cast("string")
+    root = F.array(_node(nobody, nobody, F.try_parse_json(F.col(column))))
+    nodes = texts.select(*keys, root.alias("_new")).withColumn("_all", F.col("_new"))
+    depth = max(path.count(".") + path.count("[]") for path in places) + 1
+    for _ in range(depth):
+        nodes = nodes.withColumn("_new", F.flatten(F.transform("_new", lambda n: _children(n, places))))
+        nodes = nodes.withColumn("_all", F.concat("_all", "_new"))
+    rows = nodes.select(*keys, F.explode("_all").alias("_node")).select(*keys, "_node.*")
+    return rows.withColumns({
+        "kind": F.schema_of_variant("value"),
+        "names": F.map_keys(_members(F.col("value"))),
+        "items": F.size(F.try_variant_get("value", "$", "array<variant>")),
+    })
+
+
+def _children(node: Column, places: Sequence[str]) -> Column:
+    """Values inside a container, or none."""
+    value = node["value"]
+    path = F.coalesce(
+        F.concat(node["parent"], F.lit("."), node["name"]), F.concat(node["parent"], F.lit("[]")), F.lit(ROOT)
+    )
+    named = F.transform(F.map_entries(_members(value)), lambda e: _node(path, e["key"], e["value"]))
+    listed = F.transform(
+        F.try_variant_get(value, "$", "array<variant>"), lambda v: _node(path, F.lit(None).cast("string"), v)
     )
-    rules = [
-        _flag(F.exists(parts, lambda e: ~_is_kind(F.schema_of_variant(e), "object")), f"{label}[]: type"),
-        _flag(F.exists(parts, unknown), f"{label}[]: unknown"),
+    inside = F.when(path.isin(*places), F.coalesce(named, listed))
+    return F.coalesce(inside, F.slice(F.array(node), F.lit(1), F.lit(0)))
+
+
+def _violations() -> Column:
+    """(pos, step, violation) of a value and the rule of its place; without violation where nothing is broken."""
+    label, kind, wanted = F.col("label"), F.col("kind"), F.col("_kind")
+    text = F.try_variant_get("value", "$", "string")
+    real = F.try_variant_get("value", "$", "double")
+    whole = (kind == "BIGINT") | (kind.rlike("^(DECIMAL|DOUBLE|FLOAT)") & (real % 1 == 0))
+    # What no decimal holds is beyond every range.
+    number = F.when(
+        whole, F.coalesce(F.try_variant_get("value", "$", NUMBER), (F.signum(real) * F.lit(1e37)).cast(NUMBER))
+    )
+    fits = (
+        F.when(wanted == "array", kind.startswith("ARRAY"))
+        .when(wanted == "object", kind.startswith("OBJECT"))
+        .when(wanted == "integer", whole)
+        .when(wanted == "boolean", kind == "BOOLEAN")
+        .otherwise(kind == "STRING")
+    )
+    wrong = ~F.coalesce(fits, F.lit(False)) & ~(F.col("nullable") & F.coalesce(kind == "VOID", F.lit(False)))
+    extra = F.array_sort(F.array_except("names", "known"))
+    said = lambda suffix: F.concat(label, F.lit(suffix))
+    steps = [
+        F.when(wrong, F.when(label == "", "not a JSON object").otherwise(said(": type"))),
+        F.when(~F.array_contains("enum", text), said(": not allowed")),
+        F.when(~F.regexp(text, F.col("pattern")), said(": pattern")),
+        F.when(F.length(text) < F.col("min_length"), said(": too short")),
+        F.when(number < F.col("minimum"), F.concat(said(": below "), F.col("minimum").cast("string"))),
+        F.when(number > F.col("maximum"), F.concat(said(": above "), F.col("maximum").cast("string"))),
+        F.when((number < F.col("lowest")) | (number > F.col("highest")), said(": outside its type")),
+        F.when(F.col("items") < F.col("min_items"), said(": too few items")),
     ]
-    for i in f.items:
-        member = f"{label}[].{i.name}"
-        if i.required:
-            rules.append(_flag(F.exists(parts, _lacks(i.name)), f"{member}: missing"))
-        rules.append(_flag(F.exists(parts, _breaks_kind(i)), f"{member}: type"))
-        if i.enum:
-            rules.append(_flag(F.exists(parts, _outside(i.name, i.enum)), f"{member}: not allowed"))
-    return rules
+    entry = lambda pos, step, violation: F.struct(
+        pos.cast("int").alias("pos"), F.lit(step).alias("step"), violation.alias("violation")
+    )
+    own = [entry(F.col("pos"), step, violation) for step, violation in enumerate(steps, 1)]
+    unknown = F.coalesce(F.concat("unknown", F.array_join(extra, ",")), said(": unknown"))
+    own.append(entry(F.col("last"), len(own) + 1, F.when(F.size(extra) > 0, unknown)))
+    prefix = F.when(label == "", "").otherwise(F.concat(label, F.lit(".")))
+    lacking = F.filter("required", lambda r: ~F.array_contains("names", r["name"]))
+    missing = F.transform(lacking, lambda r: entry(r["pos"], 0, F.concat(prefix, r["name"], F.lit(": missing"))))
+    return F.concat(F.array(*own), missing)
 
 
-def _unpack(df: DataFrame, fields: Sequence[Field], path: str) -> DataFrame:
-    """Type of every member, then the members of nested objects, each as a column of its own.
+def broken_rules(texts: DataFrame, contract: Contract, *keys: str, column: str = "record") -> DataFrame:
+    """keys, violation, place: the distinct violations of the records under a key; ``place`` orders them.
 
-    Separate projections keep the parsed values: inlined into some thirty rules they would be parsed
-    again for each.
+    A text that is NULL or cannot be read is no JSON object. Rows of one key count as one record's.
     """
-    members = F.col(path.join("``"))
-    df = df.withColumns({f"{path}.{f.name}:kind": F.schema_of_variant(members[f.name]) for f in fields})
-    for f in fields:
-        if f.properties:
-            df = df.withColumn(f"{path}.{f.name}", _map_of(members[f.name]))
-            df = _unpack(df, f.properties, f"{path}.{f.name}")
-    return df
+    rules = rule_table(texts.sparkSession, contract).withColumnsRenamed(
+        {"parent": "_parent", "name": "_name", "kind": "_kind"}
+    )
+    containers = [r["path"] for r in contract_rules(contract) if r["kind"] in ("object", "array")]
+    # Whatever the keys are called, they stay apart from the working columns.
+    named = texts.select(F.struct(*(F.col(f"`{k}`") for k in keys)).alias("_keys"), F.col(f"`{column}`").alias("_text"))
+    nodes = record_nodes(named, containers, "_keys", column="_text")
+    met = F.col("parent").eqNullSafe(F.col("_parent")) & F.col("name").eqNullSafe(F.col("_name"))
+    found = nodes.join(rules, met).select("_keys", F.explode(_violations()).alias("_found"))
+    return (
+        found.filter("_found.violation IS NOT NULL")
+        .groupBy("_keys", F.col("_found.violation").alias("violation"))
+        .agg(F.min(F.struct("_found.pos", "_found.step")).alias("place"))
+        .select("_keys.*", "violation", "place")
+    )
 
 
 def validate_records(df: DataFrame, contract: Contract, column: str = "record") -> DataFrame:
     """Add ``parsed`` (typed struct) and ``violations`` (empty for a good record).
 
-    A record is parsed once, into a variant; types, members and typed fields are all taken from that.
-    A field of another type than its contract's is NULL in ``parsed``.
-
-    ``violations`` passes through a one-element explode. A filter on it then stays above that step;
-    pushed into the projections it would bring a copy of every rule, and each copy would parse again.
+    A field of another type than its contract's is NULL in ``parsed``. What a text breaks depends on the text alone, so
+    violations are found by the text's digest and joined to all rows that hold it.
     """
     shape = T.StructType.fromDDL(contract.schema)
-    typed = df.withColumn("_variant", F.try_parse_json(F.col(column))).withColumns(
-        {
-            "_json": _map_of(F.col("_variant")),
-            "parsed": F.struct(
-                *(
-                    F.try_variant_get(F.col("_variant"), f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
-                    for f in shape.fields
-                )
-            ),
-        }
+    digest = F.coalesce(F.md5(F.col(column).cast("binary")), F.lit(""))
+    texts = df.select(digest.alias("_digest"), F.col(column).alias("_text"))
+    listed = F.array_sort(F.collect_list(F.struct("place", "violation")))
+    broken = (
+        broken_rules(texts, contract, "_digest", column="_text")
+        .groupBy(F.col("_digest").alias("_of"))
+        .agg(listed["violation"].alias("_violations"))
     )
-    rules = _object_rules(contract.fields, F.col("parsed"), "_json", closed=True)
-    violations = F.when(F.col("_json").isNull(), F.array(F.lit("not a JSON object"))).otherwise(
-        F.array_except(F.array(*rules), F.array(F.lit(None).cast("string")))
+    typed = df.withColumns({"_variant": F.try_parse_json(F.col(column)), "_digest": digest}).withColumn(
+        "parsed",
+        F.struct(
+            *(
+                F.try_variant_get(F.col("_variant"), f"$.{f.name}", f.dataType.simpleString()).alias(f.name)
+                for f in shape.fields
+            )
+        ),
     )
-    checked = _unpack(typed, contract.fields, "_json").withColumn("_violations", violations)
-    return checked.select(
-        *df.columns, "parsed", F.explode_outer(F.array("_violations")).alias("violations")
+    none = F.array().cast("array<string>")
+    return typed.join(own_exchange(broken), F.col("_digest") == F.col("_of"), "left").select(
+        *(f"`{c}`" for c in df.columns), "parsed", F.coalesce("_violations", none).alias("violations")
     )
 
 

@@ -573,12 +573,11 @@ def unwired_targets(v: Views) -> DataFrame:
 
 @query
 def record_violations(v: Views) -> DataFrame:
-    checked = records.validate_records(v.record_texts, records.CONVERT_RESULT)
-    return records.violation_rows(checked, "record_id")
+    return _violations(v.record_texts, records.CONVERT_RESULT)
 
 
 def _violations(texts: DataFrame, contract: records.Contract) -> DataFrame:
-    return records.violation_rows(records.validate_records(texts, contract), "record_id")
+    return records.broken_rules(texts, contract, "record_id").select("record_id", "violation")
 
 
 @query
@@ -658,7 +657,7 @@ def source_smoke(v: Views) -> DataFrame:
 @query
 def gate_blockers(v: Views) -> DataFrame:
     return gate.gate_blockers(
-        v.inventory,
+        v.gate_inventory,
         v.bronze_tables,
         v.gate_reconcile,
         v.gate_backlog,
@@ -689,6 +688,6 @@ def run_summary(v: Views) -> DataFrame:
 @query
 def gate_hero(v: Views) -> DataFrame:
     summary = gate.run_summary(
-        v.inventory, v.bronze_tables, v.gate_reconcile, v.gate_backlog, v.gate_events, "run-1"
+        v.gate_inventory, v.bronze_tables, v.gate_reconcile, v.gate_backlog, v.gate_events, "run-1"
     )
     return reports.gate_hero(gate.manifest_row(gate_verdict(v), summary, LOADED_AT))

@@ -387,9 +387,11 @@ class Views:
     @cached_property
     def expectations(self) -> DataFrame:
         size = F.col("p_size").cast("bigint")
+        # Only gold tables are counted.
+        layer = F.when(F.col("p_type") == "ECONOMY", "silver").otherwise("gold")
         return self.table("part").select(
             F.concat("p_type", F.lit("_"), "p_partkey").alias("fixture_name"),
-            F.concat(F.lit("gold.item_"), "p_partkey").alias("target_table"),
+            F.concat(layer, F.lit(".item_"), "p_partkey").alias("target_table"),
             F.lit("row_count").alias("metric"),
             F.when(F.col("p_type") != "SMALL", size).alias("expected"),
             F.when(F.col("p_brand") == "Brand#3", "gte")
@@ -422,7 +424,16 @@ class Views:
             F.lit("run-1").alias("run_id"),
             ts(LOADED_AT).alias("ts"),
         )
-        return self.reconcile.unionByName(compared)
+        # Small customers' failures come without a result, or with one that no reader knows.
+        known = F.when(F.col("result") == "pass", "pass").when(F.col("expected") != "1", "fail")
+        unclear = F.coalesce(known, F.when(F.col("check_id").endswith("7"), "passed"))
+        return self.reconcile.withColumn("result", unclear).unionByName(compared)
+
+    @cached_property
+    def gate_inventory(self) -> DataFrame:
+        """The inventory with rows nobody decided about; they are not skipped."""
+        decided = F.when(F.floor("p_retailprice") % 7 != 0, F.col("skip"))
+        return self.inventory.withColumn("skip", decided)
 
     @cached_property
     def gate_backlog(self) -> DataFrame:
@@ -519,10 +530,9 @@ class Views:
 
     @cached_property
     def item_counts(self) -> DataFrame:
-        """Counts of the items' tables; those whose number ends in 3 have never been counted."""
+        """Counts of the items' tables. Tables of other layers are never counted."""
         return (
             self.table("lineitem")
-            .filter("l_partkey % 10 <> 3")
             .groupBy("l_partkey")
             .agg(F.count("*").alias("rows"))
             .select(F.concat(F.lit("gold.item_"), "l_partkey").alias("target_table"), "rows")

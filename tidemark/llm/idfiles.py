@@ -11,7 +11,8 @@ one doc_id by a hash of the text. A document's ``start`` is the number of ids of
 id counts per part and frame, not documents, are summed up for it.
 
 Whatever stands between two spaces or line feeds is encoded by the tokenizers library once and remembered
-per Python worker, up to ``KNOWN_CHUNKS``; the tokenizer drops white space and joins nothing across it.
+per Python worker, up to about ``KNOWN_BYTES``; the tokenizer drops white space and joins nothing across it. New
+chunks of many texts are encoded in one call.
 
 Defined results: a NULL or empty text has the end id alone. Repeated rows are documents of their own.
 An empty table writes an empty folder. Other columns are not read.
@@ -38,7 +39,10 @@ from tidemark.session import ensure_checkpoint_dir
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
 FRAME_IDS = 1 << 22
-KNOWN_CHUNKS = 600_000
+# Bytes of remembered chunks in a worker, what an entry takes besides its text and ids, and characters learnt at once.
+KNOWN_BYTES, ENTRY_BYTES, GROUP_CHARS = 120_000_000, 160, 4_000_000
+# Fixed value: how pieces that end a word are written.
+WORD_END = "</w>"
 FRAME = (
     "part long, frame long, n_ids long, doc_ids array<long>, lengths array<long>, block_digits binary, "
     "block_crcs binary, payload binary"
@@ -63,38 +67,64 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        vocabulary = self.tokenizer.get_vocab()
+        self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.word_end[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.held = 0
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """Ids of each text and the end id behind."""
         end = np.array([END_ID], "<u4").tobytes()
-        for text in texts:
-            chunks = text.replace("\n", " ").split(" ") if text else []
+        group, size = [], 0
+        for i, text in enumerate(texts):
+            group.append(text.replace("\n", " ").split(" ") if text else [])
+            size += len(text or "")
+            if size < GROUP_CHARS and i + 1 < len(texts):
+                continue
+            self.learn({c for chunks in group for c in chunks})
             known = self.known
-            try:
-                raw = b"".join([known[c] for c in chunks])
-            except KeyError:
-                self.learn(set(chunks))
-                known = self.known
-                raw = b"".join([known[c] for c in chunks])
-            yield np.frombuffer(raw + end, "<u4")
-
+            for chunks in group:
+                yield np.frombuffer(b"".join([known[c] for c in chunks]) + end, "<u4")
+            group, size = [], 0
 
     def learn(self, chunks: set[str]) -> None:
-        """Encode the chunks not remembered. Memory has two halves, so that chunks in use stay."""
-        if len(self.known) > KNOWN_CHUNKS // 2:
-            self.older, self.known = self.known, {}
+        """Have all chunks in memory. It has two halves, so that chunks in use stay."""
+        if self.held > KNOWN_BYTES // 2:
+            self.older, self.known, self.held = self.known, {}, 0
         known, older = self.known, self.older
-        new = []
-        for chunk in chunks - known.keys():
-            if (ids := older.get(chunk)) is None:
-                new.append(chunk)
+        plain, others = [], []
+        for chunk in chunks:
+            if chunk not in known:
+                if (ids := older.get(chunk)) is not None:
+                    self.keep(chunk, ids)
+                elif chunk.isascii() and chunk.isalpha():
+                    plain.append(chunk)
+                else:
+                    others.append(chunk)
+        if plain:
+            # A chunk of letters is one word, and the last piece of a word tells that it ends.
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.word_end[ids]) + 1
+            if len(ends) == len(plain):
+                self.cut(plain, ids, ends)
             else:
-                known[chunk] = ids
-        encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        for chunk, found in zip(new, encoded, strict=True):
-            known[chunk] = np.array(found.ids, "<u4").tobytes()
+                others += plain
+        if others:
+            encoded = self.tokenizer.encode(others, is_pretokenized=True, add_special_tokens=False)
+            ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(others)), "right")
+            self.cut(others, np.array(encoded.ids, "<u4"), ends)
+
+    def cut(self, chunks: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        raw, at = ids.tobytes(), 0
+        for chunk, end in zip(chunks, (4 * ends).tolist(), strict=True):
+            self.keep(chunk, raw[at:end])
+            at = end
+
+    def keep(self, chunk: str, ids: bytes) -> None:
+        self.known[chunk] = ids
+        self.held += ENTRY_BYTES + len(chunk) + len(ids)
 
 
 @lru_cache(maxsize=1)
@@ -106,16 +136,16 @@ def encoder(name: str) -> Encoder:
 def frame_row(part: int, frame: int, docs: list[int | None], ids: list[np.ndarray]) -> pa.RecordBatch:
     flat = np.concatenate(ids)
     blocks = [flat[i : i + idcoder.BLOCK] for i in range(0, len(flat), idcoder.BLOCK)]
-    payload, digits = b"", []
+    payload, digits = [], []
     # Frames of one long document are coded in pieces of bounded memory.
     for at in range(0, len(blocks), FRAME_IDS // idcoder.BLOCK):
         raw, counts = idcoder.encode(blocks[at : at + FRAME_IDS // idcoder.BLOCK])
-        payload += raw
+        payload.append(raw)
         digits.append(counts)
     crcs = np.array([zlib.crc32(b.astype("<u4").tobytes()) for b in blocks], "<u4")
     values = [
         part, frame, len(flat), docs, [len(x) for x in ids],
-        np.concatenate(digits).astype("<u4").tobytes(), crcs.tobytes(), payload,
+        np.concatenate(digits).astype("<u4").tobytes(), crcs.tobytes(), b"".join(payload),
     ]
     return pa.RecordBatch.from_arrays(
         [pa.array([v], f.type) for v, f in zip(values, FRAME_ARROW, strict=True)], schema=FRAME_ARROW

@@ -169,6 +169,9 @@ class Transducer:
         last: list[str | None] = [None] * (end + 1)
         last[0] = ""
         for i in range(end):
+            # A position has one finite state, so the first path to the end is the shortest.
+            if last[end] is not None:
+                break
             left = last[i]
             for j in range(i + 1, end + 1):
                 piece = text[i:j]

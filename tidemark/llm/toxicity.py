@@ -20,15 +20,16 @@ without labels). Repeated rows repeat, and other columns are untouched.
 
 from __future__ import annotations
 
+import pickle
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.frames import arrow_column, local_table
+from tidemark.llm.frames import arrow_column, forget_others, local_table, ship_package
 from tidemark.operators.keysets import own_exchange
 from tidemark.session import cut_lineage
 
@@ -261,8 +262,8 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int]]:
-    """Texts and labels of the bounded sample; reaches the driver."""
+def training_sample(docs: DataFrame, labels: DataFrame) -> dict[int, int]:
+    """Label of each document of the bounded sample; ids and lengths reach the driver, texts don't."""
     clean = (
         labels.select("doc_id", "toxic")
         .filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out(F.col("doc_id")))
@@ -295,11 +296,7 @@ def training_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
         if longest[doc_id] <= left:
             chosen[doc_id] = kind
             left -= longest[doc_id]
-    if not chosen:
-        return [], []
-    texts = of_documents(docs, sorted(chosen), F.col("text")).collect()
-    texts = sorted((r["doc_id"], r["text"]) for r in texts)
-    return [t for _, t in texts], [chosen[i] for i, _ in texts]
+    return chosen
 
 
 def of_documents(docs: DataFrame, ids: list[int], value: Column) -> DataFrame:
@@ -316,7 +313,20 @@ def of_documents(docs: DataFrame, ids: list[int], value: Column) -> DataFrame:
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
-    return fit(*training_sample(docs, labels))
+    """Fit on the bounded sample, in one task: the driver gets the model alone, and a lost executor costs a retry."""
+    chosen = training_sample(docs, labels)
+    if not chosen:
+        return fit([], [])
+
+    def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_others(__name__)
+        rows = sorted(row for b in batches for row in zip(b[0].to_pylist(), b[1].to_pylist(), strict=True))
+        model = fit([text for _, text in rows], [chosen[i] for i, _ in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    ship_package(docs.sparkSession)
+    texts = of_documents(docs, sorted(chosen), F.col("text")).repartition(1)
+    return pickle.loads(texts.mapInArrow(fitted, "model binary").first()["model"])
 
 
 def toxicity(text: str | Column, model: Model) -> Column:

@@ -107,3 +107,19 @@ def test_stages(spark, small, monkeypatch):
 def test_empty_documents(spark, small, name, stage):
     docs = spark.read.parquet(f"{small}/documents.parquet").limit(0)
     assert stage(spark, docs, small).collect() == []
+
+
+def test_odd_columns_and_rows(spark, small):
+    """Columns of any name pass through; NULL and empty texts and repeated rows have defined results."""
+    texts = [(1, None), (2, ""), (3, "a b c"), (3, "a b c"), (None, "x")]
+    rows = [(i, t, None, "s", 1, "dot", 2) for i, t in texts]
+    odd = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, `a.b` string, size long")
+    clean = corpus_pipeline.drop_toxic(spark, odd, small)
+    assert clean.columns == odd.columns and clean.count() == len(rows)
+    assert corpus_pipeline.drop_low_quality(spark, odd, small).collect() == []
+    single = corpus_pipeline.drop_near_duplicates(spark, odd, small)
+    assert single.columns == odd.columns and sorted((r["text"] or "") for r in single.collect()) == ["", "a b c", "x"]
+    mixed = corpus_pipeline.mix(spark, odd, small)
+    assert mixed.columns == odd.columns and {r["text"] for r in mixed.collect()} <= {"a b c", "x"}
+    encoded = corpus_pipeline.encode(spark, odd, small).collect()
+    assert len(encoded) == len(rows) and all(r["n_pieces"] == 0 for r in encoded if r["doc_id"] in (1, 2))

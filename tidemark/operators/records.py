@@ -18,7 +18,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tidemark import schemas
 from tidemark.operators.backlog import TARGET_PATTERN
@@ -107,17 +109,9 @@ def contract_rules(contract: Contract) -> list[dict]:
 
 def rule_table(spark: SparkSession, contract: Contract) -> DataFrame:
     """The contract as a table, one row per place: a local relation, whose bytes Spark knows."""
-    names = T.StructType.fromDDL(RULES).names
-    return spark.createDataFrame([tuple(r[n] for n in names) for r in contract_rules(contract)], RULES)
-
-
-def _members(node: Column) -> Column:
-    """Members of a JSON object by name; NULL for any other value."""
-    return F.try_variant_get(node, "$", "map<string,variant>")
-
-
-def _node(parent: Column, name: Column, value: Column) -> Column:
-    return F.struct(parent.alias("parent"), name.alias("name"), value.alias("value"))
+    schema = T.StructType.fromDDL(RULES)
+    rules = [{**r, "required": [{"name": n, "pos": p} for n, p in r["required"]]} for r in contract_rules(contract)]
+    return spark.createDataFrame(pa.Table.from_pylist(rules, to_arrow_schema(schema)), schema)
 
 
 def record_nodes(texts: DataFrame, places: Sequence[str], *keys: str, column: str = "record") -> DataFrame:
@@ -125,46 +119,69 @@ def record_nodes(texts: DataFrame, places: Sequence[str], *keys: str, column: st
 
     ``places`` are the paths of the containers to open. A member has the path of its object as parent and its name;
     an element has the path of its array and no name. Other values stay closed, however large.
+
+    Each level is a lateral explode of the level above. A value stands in the rows of all that lies inside it, and
+    is taken from the first of them.
     """
-    nobody = F.lit(None).cast("string")
-    root = F.array(_node(nobody, nobody, F.try_parse_json(F.col(column))))
-    nodes = texts.select(*keys, root.alias("_new")).withColumn("_all", F.col("_new"))
+    spark = texts.sparkSession
     depth = max(path.count(".") + path.count("[]") for path in places) + 1
-    for _ in range(depth):
-        nodes = nodes.withColumn("_new", F.flatten(F.transform("_new", lambda n: _children(n, places))))
-        nodes = nodes.withColumn("_all", F.concat("_all", "_new"))
-    rows = nodes.select(*keys, F.explode("_all").alias("_node")).select(*keys, "_node.*")
-    return rows.withColumns({
-        "kind": F.schema_of_variant("value"),
-        "names": F.map_keys(_members(F.col("value"))),
-        "items": F.size(F.try_variant_get("value", "$", "array<variant>")),
+    nobody = F.lit(None).cast("string")
+    rows = texts.select(
+        *keys, F.try_parse_json(F.col(column)).alias("v0"), nobody.alias("k0"), nobody.alias("in0"), F.lit(ROOT).alias("path0")
+    )
+    for level in range(1, depth + 1):
+        up = level - 1
+        path = F.col(f"path{up}")
+        opened = F.when(path.isin(*places), F.col(f"v{up}"))
+        inside = spark.tvf.variant_explode_outer(F.col(f"open{up}").outer()).toDF(f"p{level}", f"k{level}", f"v{level}")
+        rows = rows.withColumn(f"open{up}", opened).lateralJoin(inside).drop(f"open{up}").withColumns({
+            f"in{level}": F.when(F.col(f"p{level}").isNotNull(), path),
+            f"path{level}": F.coalesce(F.concat(path, F.lit("."), f"k{level}"), F.concat(path, F.lit("[]"))),
+        })
+
+    def node(level: int) -> Column:
+        value, within = F.col(f"v{level}"), range(level + 1, depth + 1)
+        first = F.lit(True) if level == 0 else F.col(f"p{level}").isNotNull()
+        for i in within:
+            first = first & (F.coalesce(f"p{i}", F.lit(0)) == 0)
+        kind = F.schema_of_variant(value)
+        if within:
+            below = F.col(f"p{level + 1}").isNotNull()
+            # A container that was opened and holds something need not be looked through once more.
+            kind = F.when(~below, kind).when(F.col(f"k{level + 1}").isNull(), "ARRAY").otherwise("OBJECT")
+        return F.when(
+            first, F.struct(F.col(f"in{level}").alias("parent"), F.col(f"k{level}").alias("name"), value.alias("value"), kind.alias("kind"))
+        )
+
+    nodes = rows.select(*keys, F.explode(F.array(*map(node, range(depth + 1)))).alias("_node"))
+    named = F.map_keys(F.try_variant_get("value", "$", "map<string,variant>"))
+    listed = F.size(F.try_variant_get("value", "$", "array<variant>"))
+    return nodes.filter("_node IS NOT NULL").select(*keys, "_node.*").withColumns({
+        "names": F.when(F.col("kind").startswith("OBJECT"), named),
+        "items": F.when(F.col("kind").startswith("ARRAY"), listed),
     })
 
 
-def _children(node: Column, places: Sequence[str]) -> Column:
-    """Values inside a container, or none."""
-    value = node["value"]
-    path = F.coalesce(
-        F.concat(node["parent"], F.lit("."), node["name"]), F.concat(node["parent"], F.lit("[]")), F.lit(ROOT)
-    )
-    named = F.transform(F.map_entries(_members(value)), lambda e: _node(path, e["key"], e["value"]))
-    listed = F.transform(
-        F.try_variant_get(value, "$", "array<variant>"), lambda v: _node(path, F.lit(None).cast("string"), v)
-    )
-    inside = F.when(path.isin(*places), F.coalesce(named, listed))
-    return F.coalesce(inside, F.slice(F.array(node), F.lit(1), F.lit(0)))
+def _scalars() -> dict[str, Column]:
+    """Text of a value where a rule asks for it, and number of an integer."""
+    kind, real = F.col("kind"), F.try_variant_get("value", "$", "double")
+    asked = F.coalesce(F.col("enum").isNotNull() | F.col("pattern").isNotNull() | F.col("min_length").isNotNull(), F.lit(False))
+    # What no decimal holds is beyond every range.
+    number = F.coalesce(F.try_variant_get("value", "$", NUMBER), (F.signum(real) * F.lit(1e37)).cast(NUMBER))
+    return {
+        "text": F.when(asked, F.try_variant_get("value", "$", "string")),
+        "number": F.when(kind == "BIGINT", number).when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.when(real % 1 == 0, number)),
+    }
+
 
+def _violations() -> tuple[Column, Column]:
+    """Whether a value breaks the rule of its place, and (pos, step, violation) for each way to break it.
 
-def _violations() -> Column:
-    """(pos, step, violation) of a value and the rule of its place; without violation where nothing is broken."""
+    An entry has no violation where nothing is broken.
+    """
     label, kind, wanted = F.col("label"), F.col("kind"), F.col("_kind")
-    text = F.try_variant_get("value", "$", "string")
-    real = F.try_variant_get("value", "$", "double")
-    whole = (kind == "BIGINT") | (kind.rlike("^(DECIMAL|DOUBLE|FLOAT)") & (real % 1 == 0))
-    # What no decimal holds is beyond every range.
-    number = F.when(
-        whole, F.coalesce(F.try_variant_get("value", "$", NUMBER), (F.signum(real) * F.lit(1e37)).cast(NUMBER))
-    )
+    text, number = F.col("text"), F.col("number")
+    whole = number.isNotNull()
     fits = (
         F.when(wanted == "array", kind.startswith("ARRAY"))
         .when(wanted == "object", kind.startswith("OBJECT"))
@@ -192,9 +209,21 @@ def _violations() -> Column:
     unknown = F.coalesce(F.concat("unknown", F.array_join(extra, ",")), said(": unknown"))
     own.append(entry(F.col("last"), len(own) + 1, F.when(F.size(extra) > 0, unknown)))
     prefix = F.when(label == "", "").otherwise(F.concat(label, F.lit(".")))
+    lacks = F.size(F.array_except(F.col("required")["name"], F.col("names"))) > 0
     lacking = F.filter("required", lambda r: ~F.array_contains("names", r["name"]))
     missing = F.transform(lacking, lambda r: entry(r["pos"], 0, F.concat(prefix, r["name"], F.lit(": missing"))))
-    return F.concat(F.array(*own), missing)
+    broken = F.coalesce(*steps).isNotNull() | F.coalesce(F.size(extra) > 0, F.lit(False)) | F.coalesce(lacks, F.lit(False))
+    return broken, F.concat(F.array(*own), missing)
+
+
+def spread(texts: DataFrame) -> DataFrame:
+    """The same rows in as many tasks as there are cores, if they come from fewer files.
+
+    Opening a record costs far more than moving its text, and a file of one array is read by one task. Rows of many
+    files stay where they are.
+    """
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.repartition(cores) if 0 < len(texts.inputFiles()) < cores else texts
 
 
 def broken_rules(texts: DataFrame, contract: Contract, *keys: str, column: str = "record") -> DataFrame:
@@ -208,9 +237,12 @@ def broken_rules(texts: DataFrame, contract: Contract, *keys: str, column: str =
     containers = [r["path"] for r in contract_rules(contract) if r["kind"] in ("object", "array")]
     # Whatever the keys are called, they stay apart from the working columns.
     named = texts.select(F.struct(*(F.col(f"`{k}`") for k in keys)).alias("_keys"), F.col(f"`{column}`").alias("_text"))
-    nodes = record_nodes(named, containers, "_keys", column="_text")
+    nodes = record_nodes(spread(named), containers, "_keys", column="_text")
     met = F.col("parent").eqNullSafe(F.col("_parent")) & F.col("name").eqNullSafe(F.col("_name"))
-    found = nodes.join(rules, met).select("_keys", F.explode(_violations()).alias("_found"))
+    ruled = nodes.join(rules, met).withColumns(_scalars())
+    broken, ways = _violations()
+    # A filter would be taken into the join and bring all rules along, outside generated code.
+    found = ruled.select("_keys", F.explode_outer(F.when(broken, ways)).alias("_found"))
     return (
         found.filter("_found.violation IS NOT NULL")
         .groupBy("_keys", F.col("_found.violation").alias("violation"))

@@ -24,6 +24,30 @@ def replace_by_key(fact: DataFrame, stage: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(stage.select(*(_q(c) for c in fact.columns)))
 
 
+# Staged keys that are looked up one by one; beyond that their range is.
+FEW_KEYS = 200
+
+
+def near_keys(fact: DataFrame, stage: DataFrame, key: str) -> DataFrame:
+    """A part of the fact that holds all rows of staged keys, cut so that the scan can skip row groups.
+
+    Few keys are compared one by one, which Bloom filters and statistics in the files answer; many are bounded by
+    their least and greatest, which the statistics answer. At most ``FEW_KEYS`` keys reach the driver.
+    """
+    found = [row[0] for row in stage.select(_q(key)).filter(_q(key).isNotNull()).distinct().limit(FEW_KEYS + 1).collect()]
+    if not found:
+        return fact.filter(F.lit(False))
+    kind = fact.schema[key].dataType
+    if len(found) <= FEW_KEYS:
+        # Single comparisons, as a long IN list is pushed down as its range.
+        same = [_q(key) == F.lit(value).cast(kind) for value in found]
+        while len(same) > 1:
+            same = [a | b for a, b in zip(same[::2], same[1::2], strict=False)] + same[len(same) // 2 * 2 :]
+        return fact.filter(same[0])
+    low, high = stage.agg(F.min(_q(key)), F.max(_q(key))).first()
+    return fact.filter(_q(key).between(F.lit(low).cast(kind), F.lit(high).cast(kind)))
+
+
 def touched_partitions(fact: DataFrame, stage: DataFrame, key: str, partition: str) -> DataFrame:
     """Partitions of the fact that hold a staged key or receive a staged row.
 

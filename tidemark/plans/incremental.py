@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.functions.temporal import Instant
-from tidemark.operators import loads, lookups, scd, tableops
+from tidemark.operators import loads, lookups, scd, segments, tableops
 from tidemark.operators.lookups import Versions
 from tidemark.session import cut_lineage
 from tidemark.sources import sinks
@@ -116,21 +116,45 @@ class Incremental:
         key = self.begin(d.load_name, cutoff, applied)
         dim = self.read(d.table)
         if not applied(key):
-            rows = scd.staged_rows(dim, stage, key).drop(d.key)
+            rows = scd.staged_rows(dim.drop(segments.SEGMENT), stage, key).drop(d.key)
             first = [d.business_key, "Valid From"]
             order = first + [c for c in rows.columns if c not in first]
             numbered = scd.assign_keys(rows, d.key, order, _top(dim, d.key) + 1)
-            kept = scd.close_off(dim, stage, d.business_key)
             typed = numbered.withColumn(d.key, F.col(f"`{d.key}`").cast(dim.schema[d.key].dataType))
-            self.publish(d.table, kept.unionByName(typed))
+            if segments.SEGMENT in dim.columns:
+                self.publish_segments(d, dim, segments.batch_rows(dim, stage, typed, d.business_key))
+            else:
+                self.publish(d.table, scd.close_off(dim, stage, d.business_key).unionByName(typed))
         self.finish(key)
 
+    def publish_segments(self, d: Dimension, dim: DataFrame, rows: DataFrame) -> None:
+        """Replace the open segment and the months in which the batch ends versions, in one edit of the catalog."""
+        # Catalog metadata: one value per touched partition.
+        touched = sorted({row[0] for row in segments.touched_segments(rows).collect()} | {segments.OPEN})
+        after = segments.next_segments(dim, rows, touched)
+        sinks.refresh_partitions(after, self.name(d.table), self.root, segments.SEGMENT, touched)
+
+    def segment(self, d: Dimension) -> None:
+        """Store a dimension by open and closed segments from now on; its last rewrite as a whole.
+
+        The segmented table is complete beside the old one before it takes over the name.
+        """
+        dim = self.read(d.table)
+        if segments.SEGMENT not in dim.columns:
+            beside = f"{self.name(d.table)}__segmented"
+            self.spark.sql(f"DROP TABLE IF EXISTS {beside}")
+            sinks.refresh_partitions(segments.with_segment(dim), beside, self.root, segments.SEGMENT, [])
+            sinks.take_over(self.spark, beside, self.name(d.table))
+
     def sale_keys(self, stage: DataFrame) -> DataFrame:
         """Resolve all keys; a dimension used twice is prepared once and stored."""
         out, ready = stage, {}
+        first = stage.agg(F.min(MODIFIED).alias("at")).first()["at"]
         for business_key, key, d in SALE_LOOKUPS:
             if d.table not in ready:
                 dim = self.read(d.table)
+                if segments.SEGMENT in dim.columns and first is not None:
+                    dim = segments.reaching(dim, F.lit(first))
                 depth = lookups.history_profile(dim, d.versions).first()["depth"]
                 prepared = lookups.prepare_versions(
                     stage, dim, d.versions, MODIFIED, lookups.slice_for(depth)
@@ -153,7 +177,9 @@ class Incremental:
         numbered = numbered.withColumn(
             SALE_KEY, F.col(f"`{SALE_KEY}`").cast(fact.schema[SALE_KEY].dataType)
         )
-        dates = tableops.touched_partitions(fact, numbered, INVOICE, SALE_PARTITION)
+        dates = tableops.touched_partitions(
+            tableops.near_keys(fact, numbered, INVOICE), numbered, INVOICE, SALE_PARTITION
+        )
         # Catalog metadata: one value per touched partition.
         touched = [
             row[0] for row in dates.select(F.col(f"`{SALE_PARTITION}`").cast("string")).collect()
@@ -164,7 +190,9 @@ class Incremental:
             *(F.lit(d).cast(fact.schema[SALE_PARTITION].dataType) for d in touched)
         )
         after = tableops.replace_by_key(fact.filter(in_reach), numbered, INVOICE)
-        sinks.refresh_partitions(after, self.name(SALE_TABLE), self.root, SALE_PARTITION, touched)
+        sinks.refresh_partitions(
+            after, self.name(SALE_TABLE), self.root, SALE_PARTITION, touched, find_by=INVOICE
+        )
         self.finish(key)
 
     def holding(self, stage: DataFrame, cutoff: Instant) -> None:

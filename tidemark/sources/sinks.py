@@ -45,14 +45,19 @@ def refresh(df: DataFrame, table: str, root: str) -> DataFrame:
     elif table_exists(spark, table):
         successor = f"{table}__{version.replace('-', '_')}"
         spark.catalog.createTable(successor, path=folder, source="parquet")
-        # External: dropping the old definition leaves its files.
-        spark.sql(f"DROP TABLE {table}")
-        spark.sql(f"ALTER TABLE {successor} RENAME TO {table}")
+        take_over(spark, successor, table)
     else:
         spark.catalog.createTable(table, path=folder, source="parquet")
     return spark.table(table)
 
 
+def take_over(spark: SparkSession, successor: str, table: str) -> None:
+    """Give a table's name to its complete successor. External: dropping the old definition leaves its files."""
+    spark.sql(f"DROP TABLE {table}")
+    spark.sql(f"ALTER TABLE {successor} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
+
+
 def _version() -> str:
     return f"{time.time_ns()}-{uuid.uuid4().hex[:8]}"
 
@@ -85,7 +90,7 @@ def known_partitions(spark: SparkSession, table: str) -> set[str | None]:
 
 
 def refresh_partitions(
-    df: DataFrame, table: str, root: str, partition: str, touched: list[str | None]
+    df: DataFrame, table: str, root: str, partition: str, touched: list[str | None], find_by: str | None = None
 ) -> DataFrame:
     """Replace the ``touched`` partitions of a table with the rows of ``df``; others keep their files.
 
@@ -93,6 +98,9 @@ def refresh_partitions(
     takes out the old partitions and one that puts in the new ones. A touched partition without rows is
     gone. The rebalance packs a partition into few files and splits one that holds most rows. Columns
     behind the known ones are added; any other change of columns is an error, as it concerns all partitions.
+
+    ``find_by`` names a key by which rows will be looked up: rows of a file are sorted by it and its row groups
+    carry a Bloom filter of it, so that a lookup of few keys skips most of them.
     """
     spark = df.sparkSession
     folder = f"{root}/{table.replace('.', '/')}/v={_version()}"
@@ -110,7 +118,12 @@ def refresh_partitions(
     if added is None:
         raise ValueError(f"{table}: columns changed; publish the whole table with refresh")
     packed = ordered.hint("rebalance", F.col(f"`{partition}`"))
-    packed.write.partitionBy(partition).mode("errorifexists").parquet(folder)
+    if find_by:
+        packed = packed.sortWithinPartitions(F.col(f"`{partition}`"), F.col(f"`{find_by}`"))
+    writer = packed.write.partitionBy(partition).mode("errorifexists")
+    if find_by:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{find_by}", "true")
+    writer.parquet(folder)
     _add_columns(spark, table, added)
     written = written_partitions(spark, folder, partition)
     spec = lambda v: f"PARTITION (`{partition}` = {'null' if v is None else _literal(v)})"

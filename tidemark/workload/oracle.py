@@ -345,6 +345,19 @@ STATEMENTS = {
            CASE WHEN valid_to = {EOT} AND changed IS NOT NULL THEN changed ELSE valid_to END AS valid_to, CAST(1 AS BIGINT) AS lineage_key
     FROM old_v o LEFT JOIN first_change f ON o.customer_id = f.customer_id
     UNION ALL SELECT NULL, customer_id, buying_group, valid_from, valid_to, 2 FROM new_v""",
+    "dimension_segments": f"""
+    , old_v AS ({_versions(f"(SELECT * FROM orders WHERE o_orderdate < {BATCH})")}),
+      new_v AS ({_versions(f"(SELECT * FROM orders WHERE o_orderdate >= {BATCH})")}),
+      first_change AS (SELECT customer_id, min(valid_from) AS changed FROM new_v GROUP BY 1),
+      written AS (
+        SELECT coalesce(changed, valid_to) AS valid_to FROM old_v o LEFT JOIN first_change f ON o.customer_id = f.customer_id
+        WHERE valid_to = {EOT} UNION ALL SELECT valid_to FROM new_v)
+    SELECT CASE WHEN valid_to = {EOT} THEN 'open' ELSE strftime(valid_to, '%Y-%m') END AS segment, count(*) AS rows
+    FROM written GROUP BY 1""",
+    "reaching_versions": f"""
+    , all_v AS ({_versions("orders")})
+    SELECT customer_id, valid_from, valid_to, CASE WHEN valid_to = {EOT} THEN 'open' ELSE strftime(valid_to, '%Y-%m') END AS segment
+    FROM all_v WHERE valid_to = {EOT} OR strftime(valid_to, '%Y-%m') >= strftime({BATCH}, '%Y-%m')""",
     "assigned_keys": """
     SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_seq FROM orders""",
     "fact_upsert": """

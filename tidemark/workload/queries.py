@@ -22,6 +22,7 @@ from tidemark.operators import (
     records,
     reports,
     scd,
+    segments,
     tableops,
 )
 from tidemark.sources import discovery
@@ -332,6 +333,27 @@ def scd2_apply(v: Views) -> DataFrame:
     )
 
 
+@query
+def dimension_segments(v: Views) -> DataFrame:
+    """What a batch writes into a dimension stored by segments, per segment."""
+    before, staged = _batches(v)
+    dim = segments.with_segment(v.versions_of(before).withColumn("Lineage Key", F.lit(1).cast("bigint")))
+    stage = v.versions_of(staged).drop("Customer Key")
+    added = scd.staged_rows(dim.drop(segments.SEGMENT), stage, 2)
+    rows = segments.batch_rows(dim, stage, added, "WWI Customer ID")
+    return segments.touched_segments(rows).toDF("segment", "rows")
+
+
+@query
+def reaching_versions(v: Views) -> DataFrame:
+    """Versions that a reader as of the batch's start may meet, by partitions alone."""
+    dim = segments.with_segment(v.versions_of(v.table("orders")))
+    return segments.reaching(dim, BATCH_START).select(
+        F.col("WWI Customer ID").alias("customer_id"), F.col("Valid From").alias("valid_from"),
+        F.col("Valid To").alias("valid_to"), F.col(segments.SEGMENT).alias("segment"),
+    )
+
+
 @query
 def assigned_keys(v: Views) -> DataFrame:
     rows = v.table("orders").select("o_orderkey", "o_orderdate")

@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidemark.operators import lookups
+from tidemark.operators import lookups, timeline
 from tidemark.operators.lookups import Versions
 
 V = Versions("id", "key", "vf", "vt")
@@ -51,49 +51,65 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("unit,long", [(None, 0), ("year", 0), ("month", 2), ("day", 0), ("month", 99)])
-def test_asof_boundaries(spark, dim, unit, long):
-    stage = spark.createDataFrame([c[:3] for c in CASES], STAGE)
-    out = lookups.lookup_key_asof(
-        stage, dim, V, "id", "at", "found", slice_unit=unit, long_history=long
-    )
-    assert rows(out, "n", "found") == sorted([(c[0], c[3]) for c in CASES], key=repr)
-    assert out.columns == ["n", "id", "at", "found"]
+WAYS = pytest.mark.parametrize("lookup", [lookups.lookup_key_asof, timeline.lookup_key_merged])
 
 
-@pytest.mark.parametrize("unit", ["year", "month", "day"])
-@pytest.mark.parametrize("many", [1, 20_000])
-def test_slices_never_change_a_key(spark, dim, unit, many, monkeypatch):
-    """Both sides of every threshold, with far outliers among the staged times."""
-    monkeypatch.setattr(lookups, "MANY_SLICES", many)
+@WAYS
+@pytest.mark.parametrize("parts", [1, 7])
+def test_asof_boundaries(spark, dim, lookup, parts):
     far = [(90, 1, D(9998, 1, 1), 11), (91, 1, D(1, 1, 2), 0), (92, 2, D(9999, 12, 31, 23), 21)]
-    stage = spark.createDataFrame([c[:3] for c in CASES + far], STAGE)
-    for long in (0, 1, 2, 99):
-        out = lookups.lookup_key_asof(
-            stage, dim, V, "id", "at", "found", slice_unit=unit, long_history=long
-        )
-        assert rows(out, "n", "found") == sorted([(c[0], c[3]) for c in CASES + far], key=repr)
+    stage = spark.createDataFrame([c[:3] for c in CASES + far], STAGE).repartition(parts)
+    out = lookup(stage, dim, V, "id", "at", "found")
+    assert rows(out, "n", "found") == sorted([(c[0], c[3]) for c in CASES + far], key=repr)
+    assert out.columns == ["n", "id", "at", "found"]
 
 
 def test_shared_versions(spark, dim):
     stage = spark.createDataFrame([c[:3] for c in CASES], STAGE)
-    ready = lookups.prepare_versions(stage, dim, V, "at", "month", 1)
+    ready = lookups.prepare_versions(dim, V)
     out = lookups.lookup_prepared(stage, ready, "id", "at", "a")
     out = lookups.lookup_prepared(out, ready, "id", "at", "b")
     assert rows(out.filter("a = b"), "n", "a") == sorted([(c[0], c[3]) for c in CASES], key=repr)
 
 
-def test_asof_without_missing_times(spark, dim):
-    stage = spark.createDataFrame([c[:3] for c in CASES if c[2]], STAGE)
-    out = lookups.lookup_key_asof(
-        stage, dim, V, "id", "at", "found", slice_unit="month", long_history=1
+@WAYS
+def test_asof_empty_sides(spark, dim, lookup):
+    stage = spark.createDataFrame([c[:3] for c in CASES], STAGE)
+    assert lookup(stage.limit(0), dim, V, "id", "at", "k").count() == 0
+    assert {r["k"] for r in lookup(stage, dim.limit(0), V, "id", "at", "k").collect()} == {0}
+
+
+@WAYS
+def test_asof_clashing_columns_and_repeats(spark, dim, lookup):
+    """Columns named like working ones, an output that is there already, and repeated rows."""
+    staged = [(n, i, at, "b", "p", -1) for n, i, at, _ in CASES + CASES]
+    stage = spark.createDataFrame(staged, "part int, vf bigint, moment timestamp_ntz, bk string, `a.b` string, found int")
+    out = lookup(stage, dim, V, "vf", "moment", "found")
+    assert out.columns == ["part", "vf", "moment", "bk", "a.b", "found"]
+    assert rows(out, "part", "found") == sorted([(c[0], c[3]) for c in CASES + CASES], key=repr)
+
+
+def test_one_key_lies_over_many_tasks(spark):
+    """A key with all versions and all rows: the ranges split it, and each row finds its version across them."""
+    dim = spark.range(30_000).select(
+        F.lit(1).cast("bigint").alias("id"), F.col("id").alias("key"),
+        (F.lit(D(2020, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"))).alias("vf"),
+        (F.lit(D(2020, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(hours=(F.col("id") + 1).cast("int"))).alias("vt"),
     )
-    assert rows(out, "n", "found") == sorted([(c[0], c[3]) for c in CASES if c[2]], key=repr)
-
-
-def test_asof_empty_stage(spark, dim):
-    stage = spark.createDataFrame([], STAGE)
-    assert lookups.lookup_key_asof(stage, dim, V, "id", "at", "k", slice_unit="month").count() == 0
+    stage = spark.range(40_000).select(
+        F.col("id").alias("n"), F.lit(1).cast("bigint").alias("id"),
+        (F.lit(D(2020, 1, 1)).cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("id").cast("int"), mins=F.lit(30))).alias("at"),
+    )
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = timeline.lookup_key_merged(stage, dim, V, "id", "at", "k", default=-1)
+        assert out.filter(F.col("k") != F.when(F.col("n") < 30_000, F.col("n")).otherwise(-1)).count() == 0
+        assert out.count() == 40_000
+        spread = out.select("n", F.spark_partition_id().alias("p")).groupBy("p").count()
+        assert spread.count() > 3 and spread.agg(F.max("count")).first()[0] < 30_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
 def test_asof_against_brute_force(spark):
@@ -114,10 +130,8 @@ def test_asof_against_brute_force(spark):
 
     want = sorted([(n, expected(i, at)) for n, i, at in staged], key=repr)
     dim, stage = spark.createDataFrame(versions, DIM), spark.createDataFrame(staged, STAGE)
-    for unit in (None, "month"):
-        got = lookups.lookup_key_asof(
-            stage, dim, V, "id", "at", "k", slice_unit=unit, long_history=3
-        )
+    for lookup in (lookups.lookup_key_asof, timeline.lookup_key_merged):
+        got = lookup(stage, dim, V, "id", "at", "k")
         assert rows(got, "n", "k") == want
 
 
@@ -127,10 +141,8 @@ def test_latest_lookup(spark, dim):
     assert rows(out, "n", "k") == [(1, 11), (2, 21), (3, 50), (4, 0), (5, 0)]
 
 
-def test_history_profile(spark, dim):
-    profile = lookups.history_profile(dim, V).first().asDict()
-    assert profile == {"depth": 3, "year": 0, "month": 0, "day": 0}
-    assert [lookups.slice_for(n) for n in (3, 513, 60_000)] == [None, "month", "day"]
+def test_longest_history(spark, dim):
+    assert lookups.longest_history(dim, V) == 3 and lookups.longest_history(dim.limit(0), V) == 0
 
 
 def test_latest_per_key_prunes_before_the_shuffle(spark):

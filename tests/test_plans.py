@@ -98,7 +98,7 @@ def test_close_off_splits_a_hot_business_key(spark, shuffled):
     assert split_hot_key(out)
 
 
-def test_asof_sliced_splits_a_hot_month(spark, shuffled):
+def test_asof_splits_a_hot_key(spark, shuffled):
     stage = hot(spark).select("k", "n", F.lit("2020-03-01").cast("timestamp_ntz").alias("at"))
     dim = spark.range(-1, 60000).select(
         "id",
@@ -108,7 +108,6 @@ def test_asof_sliced_splits_a_hot_month(spark, shuffled):
     )
     out = lookup_key_asof(
         stage, dim, Versions("id", "key", "vf", "vt"), "k", "at", "found",
-        slice_unit="month", long_history=0,
     )
     assert out.filter("found = k + 100").count() == 60000
     assert split_hot_key(out)

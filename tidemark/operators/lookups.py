@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -11,15 +10,8 @@ from pyspark.sql.types import DataType
 from tidemark.operators.keysets import own_exchange
 
 UNKNOWN_KEY = 0
-# From how many versions a key is sliced: more than the slices of some ten years.
-LONG_HISTORY = {"year": 64, "month": 512, "day": 4096}
-# The one slice of a key with a short history.
-WHOLE = -1
-# A version that touches more slices than this is repeated only for slices that occur in the stage.
-WIDE = 64
-# With more distinct slices than this in the stage the next coarser unit is used.
-MANY_SLICES = 20_000
-COARSER = {"day": "month", "month": "year", "year": None}
+# Longest history that a join compares with each row of its key; longer ones go on a timeline.
+LONG_HISTORY = 512
 
 
 @dataclass(frozen=True)
@@ -36,44 +28,11 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
-def _slice(ts: Column, unit: str) -> Column:
-    """Index of the calendar slice that holds ``ts``."""
-    year = F.year(ts).cast("bigint")
-    if unit == "year":
-        return year
-    if unit == "month":
-        return year * 12 + F.month(ts)
-    if unit == "day":
-        return F.unix_date(ts.cast("date")).cast("bigint")
-    raise ValueError(f"unknown slice unit {unit!r}")
-
-
-def long_keys(dim: DataFrame, v: Versions, above: int) -> DataFrame:
-    """Business keys with more than ``above`` versions; at most one per ``above`` rows."""
-    counted = dim.groupBy(_q(v.business_key).alias("bk")).agg(F.count("*").alias("n"))
-    return counted.filter((F.col("n") > above) & F.col("bk").isNotNull()).select(
-        "bk", F.lit(True).alias("is_long")
-    )
-
-
-def effective_versions(
-    dim: DataFrame,
-    v: Versions,
-    slice_unit: str | None = None,
-    slices: Sequence[int] = (),
-    long: DataFrame | None = None,
-) -> DataFrame:
+def effective_versions(dim: DataFrame, v: Versions) -> DataFrame:
     """Disjoint intervals ``(vf, vt]`` of each business key, earliest version first.
 
     Where versions overlap, the one that starts first owns the overlap, so every instant belongs to
     at most one interval: a version is cut back to what follows the latest end before it.
-
-    With ``slice_unit`` the versions of the ``long`` keys are repeated once per calendar slice they
-    touch; the other keys have one slice. A version that touches many slices is repeated for those
-    among ``slices``, the ones that occur in the stage. Consecutive versions of a key repeat at most as
-    often as there are slices, and a long key has more versions than that, so the result stays near
-    the size of the dimension. The cut is made within a slice, which is enough, since all versions
-    covering an instant are present in its slice.
     """
     rows = dim.select(
         _q(v.business_key).alias("bk"),
@@ -81,74 +40,25 @@ def effective_versions(
         _q(v.valid_from).alias("vf"),
         _q(v.valid_to).alias("vt"),
     ).filter("bk IS NOT NULL AND vf < vt")
-    group = ["bk"]
-    if slice_unit:
-        occurring = F.array(*(F.lit(s).cast("bigint") for s in slices)).cast("array<bigint>")
-        first, last = _slice(F.col("vf"), slice_unit), _slice(F.col("vt"), slice_unit)
-        touched = F.when(last - first <= WIDE, F.sequence(first, last)).otherwise(
-            F.filter(occurring, lambda s: (s >= first) & (s <= last))
-        )
-        whole = F.array(F.lit(WHOLE).cast("bigint"))
-        rows = rows.join(long, "bk", "left").withColumn(
-            "slice", F.explode(F.when(F.col("is_long"), touched).otherwise(whole))
-        )
-        group = ["bk", "slice"]
-    earlier = (
-        Window.partitionBy(*group).orderBy("vf", "key").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    earlier = Window.partitionBy("bk").orderBy("vf", "key").rowsBetween(Window.unboundedPreceding, -1)
     return (
         rows.withColumn("vf", F.greatest(F.col("vf"), F.max("vt").over(earlier)))
         .filter("vf < vt")
-        .select(*group, "key", "vf", "vt")
+        .select("bk", "key", "vf", "vt")
     )
 
 
-def stage_slices(stage: DataFrame, ts: str, unit: str) -> tuple[str | None, list[int]]:
-    """Calendar slices that occur in the stage, and the unit they are of.
-
-    One number per slice reaches the driver. A stage spread over very many slices gets coarser ones; the
-    keys found do not depend on the unit.
-    """
-    while unit:
-        found = (
-            stage.select(_slice(_q(ts), unit).alias("s"))
-            .filter("s IS NOT NULL")
-            .distinct()
-            .limit(MANY_SLICES + 1)
-            .collect()
-        )
-        if len(found) <= MANY_SLICES:
-            return unit, sorted(r["s"] for r in found)
-        unit = COARSER[unit]
-    return None, []
-
-
 @dataclass(frozen=True)
 class Prepared:
-    """A dimension's disjoint versions, ready for lookups of one stage by any of its columns."""
+    """A dimension's disjoint versions, ready for lookups by any column of a stage."""
 
     rows: DataFrame
     key_type: DataType
-    unit: str | None = None
-    long: DataFrame | None = None
 
 
-def prepare_versions(
-    stage: DataFrame,
-    dim: DataFrame,
-    v: Versions,
-    ts: str,
-    slice_unit: str | None = None,
-    long_history: int | None = None,
-) -> Prepared:
-    """Versions of ``dim`` for as-of lookups at ``ts``; several lookups may share them."""
-    key_type = dim.schema[v.key].dataType
-    above = LONG_HISTORY[slice_unit] if slice_unit and long_history is None else long_history
-    unit, slices = stage_slices(stage, ts, slice_unit) if slice_unit else (None, [])
-    if not unit:
-        return Prepared(effective_versions(dim, v), key_type)
-    long = own_exchange(long_keys(dim, v, above))
-    return Prepared(effective_versions(dim, v, unit, slices, long), key_type, unit, long)
+def prepare_versions(dim: DataFrame, v: Versions) -> Prepared:
+    """Versions of ``dim`` for as-of lookups; several lookups may share them."""
+    return Prepared(effective_versions(dim, v), dim.schema[v.key].dataType)
 
 
 def lookup_prepared(
@@ -168,14 +78,6 @@ def lookup_prepared(
         & (at > F.col("ver.vf"))
         & (at <= F.col("ver.vt"))
     )
-    if versions.unit:
-        staged = staged.join(
-            versions.long.alias("lng"), F.col(f"stg.`{business_key}`") == F.col("lng.bk"), "left"
-        )
-        own_slice = F.when(F.col("lng.is_long"), _slice(at, versions.unit)).otherwise(
-            F.lit(WHOLE).cast("bigint")
-        )
-        match = match & (own_slice == F.col("ver.slice"))
     return staged.join(own_exchange(versions.rows).alias("ver"), match, "left").select(
         *(F.col(f"stg.`{c}`") for c in columns if c != out),
         F.coalesce(F.col("ver.key"), F.lit(default).cast(versions.key_type)).alias(out),
@@ -190,8 +92,6 @@ def lookup_key_asof(
     ts: str,
     out: str,
     default: int = UNKNOWN_KEY,
-    slice_unit: str | None = None,
-    long_history: int | None = None,
 ) -> DataFrame:
     """Add ``out``: the key of the version with ``valid_from < ts <= valid_to``, else ``default``.
 
@@ -200,13 +100,10 @@ def lookup_key_asof(
     or merge join with the range as residual condition. A small dimension is broadcast by its
     statistics and the stage is not shuffled; otherwise AQE may split a hot business key.
 
-    ``slice_unit`` ("year", "month" or "day") is for long histories: for keys with more than
-    ``long_history`` versions both sides also meet on the calendar slice, so a staged row is compared
-    only with the versions of its slice. It changes the plan and never the keys.
+    A row is compared with all versions of its key. ``timeline.lookup_key_merged`` finds the same keys where
+    histories are long.
     """
-    return lookup_prepared(
-        stage, prepare_versions(stage, dim, v, ts, slice_unit, long_history), business_key, ts, out, default
-    )
+    return lookup_prepared(stage, prepare_versions(dim, v), business_key, ts, out, default)
 
 
 def lookup_key_latest(
@@ -237,20 +134,10 @@ def lookup_key_latest(
     )
 
 
-def history_profile(dim: DataFrame, v: Versions) -> DataFrame:
-    """One row: versions of the longest history, and how many keys each slice unit would slice."""
+def longest_history(dim: DataFrame, v: Versions) -> int:
+    """Versions of the business key that has most of them; 0 for an empty dimension."""
     counted = dim.groupBy(_q(v.business_key).alias("bk")).agg(F.count("*").alias("n"))
-    return counted.agg(
-        F.coalesce(F.max("n"), F.lit(0)).alias("depth"),
-        *(F.count_if(F.col("n") > above).alias(unit) for unit, above in LONG_HISTORY.items()),
-    )
-
-
-def slice_for(depth: int) -> str | None:
-    """Slice that keeps the versions of one key and slice few, given the longest history."""
-    if depth <= LONG_HISTORY["month"]:
-        return None
-    return "month" if depth <= 50_000 else "day"
+    return counted.agg(F.max("n").alias("n")).first()["n"] or 0
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:

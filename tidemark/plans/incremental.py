@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark import schemas
 from tidemark.functions.temporal import Instant
-from tidemark.operators import loads, lookups, scd, segments, tableops
+from tidemark.operators import loads, lookups, scd, segments, tableops, timeline
 from tidemark.operators.lookups import Versions
 from tidemark.session import cut_lineage
 from tidemark.sources import sinks
@@ -147,7 +147,7 @@ class Incremental:
             sinks.take_over(self.spark, beside, self.name(d.table))
 
     def sale_keys(self, stage: DataFrame) -> DataFrame:
-        """Resolve all keys; a dimension used twice is prepared once and stored."""
+        """Resolve all keys; a dimension used twice is prepared once and stored, one with a long history put on a timeline."""
         out, ready = stage, {}
         first = stage.agg(F.min(MODIFIED).alias("at")).first()["at"]
         for business_key, key, d in SALE_LOOKUPS:
@@ -155,12 +155,16 @@ class Incremental:
                 dim = self.read(d.table)
                 if segments.SEGMENT in dim.columns and first is not None:
                     dim = segments.reaching(dim, F.lit(first))
-                depth = lookups.history_profile(dim, d.versions).first()["depth"]
-                prepared = lookups.prepare_versions(
-                    stage, dim, d.versions, MODIFIED, lookups.slice_for(depth)
-                )
-                ready[d.table] = replace(prepared, rows=cut_lineage(prepared.rows))
-            out = lookups.lookup_prepared(out, ready[d.table], business_key, MODIFIED, key)
+                if lookups.longest_history(dim, d.versions) > lookups.LONG_HISTORY:
+                    ready[d.table] = dim
+                else:
+                    prepared = lookups.prepare_versions(dim, d.versions)
+                    ready[d.table] = replace(prepared, rows=cut_lineage(prepared.rows))
+            versions = ready[d.table]
+            if isinstance(versions, DataFrame):
+                out = timeline.lookup_key_merged(out, versions, d.versions, business_key, MODIFIED, key)
+            else:
+                out = lookups.lookup_prepared(out, versions, business_key, MODIFIED, key)
         return out
 
     def sale(self, stage: DataFrame, cutoff: Instant) -> None:

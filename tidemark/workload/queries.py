@@ -24,6 +24,7 @@ from tidemark.operators import (
     scd,
     segments,
     tableops,
+    timeline,
 )
 from tidemark.sources import discovery
 from tidemark.sources.external import extract_changes
@@ -280,7 +281,7 @@ def asof_keys(v: Views) -> DataFrame:
     out, ready = v.sale_stage, {}
     for business_key, key, dim, versions in LOOKUPS:
         if dim not in ready:
-            ready[dim] = lookups.prepare_versions(out, getattr(v, dim), versions, "Last Modified When")
+            ready[dim] = lookups.prepare_versions(getattr(v, dim), versions)
         out = lookups.lookup_prepared(out, ready[dim], business_key, "Last Modified When", key)
     return out.select("Sale Key", *(key for _, key, _, _ in LOOKUPS)).toDF(
         "sale_key",
@@ -294,16 +295,14 @@ def asof_keys(v: Views) -> DataFrame:
 
 @query
 def asof_keys_sliced(v: Views) -> DataFrame:
-    """The customer lookup by calendar slices, as used for long histories."""
-    return lookups.lookup_key_asof(
+    """The customer lookup on a timeline over range partitions, as used for long histories."""
+    return timeline.lookup_key_merged(
         v.sale_stage,
         v.customer_versions,
         CUSTOMER_VERSIONS,
         "WWI Customer ID",
         "Last Modified When",
         "Customer Key",
-        slice_unit="month",
-        long_history=8,
     ).select(F.col("Sale Key").alias("sale_key"), F.col("Customer Key").alias("customer_key"))
 
 

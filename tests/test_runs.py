@@ -90,6 +90,12 @@ def test_medallion(spark, source, small):
     assert read("ops.reconcile_results").count() == 6 + 4
     assert read("ops.load_control").count() == 12
 
+    # A repetition, after a crash or not, leaves every log as it is.
+    logs = ("load_control", "table_lineage", "agent_events")
+    once = [read(f"ops.{t}").count() for t in logs]
+    run_medallion(spark, src, root, RUN, "2024-01-02", **arguments)
+    assert [read(f"ops.{t}").count() for t in logs] == once and min(once) > 0
+
     # Injected drift turns the gate red.
     drifted = tableops.perturb(
         read("ops.fixture_expectations"), F.col("fixture_name") == "fact_sale_count", 10**9
@@ -358,3 +364,13 @@ def test_event_log_layout(spark, folder):
     )
     sinks.write_events(df, f"{folder}/log")
     assert spark.read.parquet(f"{folder}/log").count() == 1000
+
+
+def test_append_missing(spark, folder):
+    sinks.create_layers(spark, folder, ("am",), "p_")
+    first = spark.createDataFrame([("r", "a", None), ("r", "b", 1)], "run string, k string, v int")
+    within = F.col("run") == "r"
+    for df in (first, first, first.unionByName(spark.createDataFrame([("r", "c", 2)], first.schema))):
+        sinks.append_missing(df, "p_am.t", folder, ("run", "k", "v"), within)
+    sinks.append_missing(first.withColumn("run", F.lit("s")), "p_am.t", folder, ("run", "k", "v"), F.col("run") == "s")
+    assert rows(spark.table("p_am.t"), "run", "k") == [("r", "a"), ("r", "b"), ("r", "c"), ("s", "a"), ("s", "b")]

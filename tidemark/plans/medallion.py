@@ -126,7 +126,9 @@ class Medallion:
         self.together([partial(one, *t) for t in tables])
         landed = {name: self.read(f"bronze.{name}") for _, _, name in tables}
         rows = landing.load_control_rows(landed, batch, started, self.clock())
-        sinks.append(rows, self.name("ops.load_control"), self.root)
+        sinks.append_missing(
+            rows, self.name("ops.load_control"), self.root, ("batch_id", "table_name"), F.col("batch_id") == batch
+        )
         return tables
 
     def conform(self) -> None:
@@ -275,13 +277,11 @@ class Medallion:
         """One edge per table read and written, as recorded when it was published."""
         edges = [F.struct(F.lit(s), F.lit(t)) for s, t in dict.fromkeys(self.edges)]
         rows = self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*edges)))
-        sinks.append(
-            rows.toDF("source_table_full_name", "target_table_full_name").withColumn(
-                "event_time", instant(self.as_of)
-            ),
-            self.name("ops.table_lineage"),
-            self.root,
-        )
+        columns = ("source_table_full_name", "target_table_full_name")
+        sinks.append_missing(
+            rows.toDF(*columns).withColumn("event_time", instant(self.as_of)),
+            self.name("ops.table_lineage"), self.root, (*columns, "event_time"), F.col("event_time") == instant(self.as_of),
+        )
 
     def events(self, procs_total: int, skip_reason: str | None) -> None:
         run = self.spark.range(0, 1, 1, 1).select(
@@ -302,7 +302,10 @@ class Medallion:
             instant(self.as_of).alias("ts"),
         )
         rows = tableops.run_events(run, self.as_of).unionByName(rest)
-        sinks.append(rows, self.name("ops.agent_events"), self.root, cluster=("run_id", "ts"))
+        sinks.append_missing(
+            rows, self.name("ops.agent_events"), self.root, tuple(rows.columns), F.col("run_id") == self.run_id,
+            cluster=("run_id", "ts"),
+        )
 
     def verdict(
         self,

@@ -12,9 +12,11 @@ import time
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField
 
+from tidemark.operators.keysets import own_exchange
+
 
 def create_layers(spark: SparkSession, root: str, layers: tuple[str, ...], prefix: str = "") -> None:
     for layer in layers:
@@ -169,6 +171,22 @@ def append(df: DataFrame, table: str, root: str, cluster: tuple[str, ...] = ())
     df.select(*(f"`{c}`" for c in columns)).write.mode("append").insertInto(table)
 
 
+def append_missing(
+    df: DataFrame, table: str, root: str, keys: tuple[str, ...], within: Column, cluster: tuple[str, ...] = ()
+) -> None:
+    """Append the rows whose ``keys`` the log does not hold yet, so that a step may be repeated.
+
+    ``within`` bounds where such rows can be, by columns the log's files are told apart by. NULL keys are equal. An append
+    is one job with one commit, so a crash leaves all of it or nothing, and a repetition adds what is missing.
+    """
+    spark = df.sparkSession
+    if table_exists(spark, table):
+        known = spark.table(table).filter(within).select(*(F.col(f"`{k}`").alias(f"_{i}") for i, k in enumerate(keys)))
+        met = [F.col(f"`{k}`").eqNullSafe(F.col(f"_{i}")) for i, k in enumerate(keys)]
+        df = df.join(own_exchange(known.distinct()), met, "left_anti")
+    append(df, table, root, cluster)
+
+
 def write_events(df: DataFrame, path: str, mode: str = "append") -> None:
     """Write the event log clustered by run and time, so that file statistics can skip files.
 

@@ -13,7 +13,7 @@ import xxhash
 import __spark_entry__ as entry_point
 from tidemark.llm.queries import ORACLE, QUERIES
 
-TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double"}
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
 WORDS = re.compile("[^\x20\x09-\x0d]+")
 
 

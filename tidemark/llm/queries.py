@@ -21,6 +21,7 @@ from tidemark.llm import (
     urls,
 )
 from tidemark.llm.frames import WORD, arrow_column
+from tidemark.llm.oracle import SHARDING_SQL, manifest_sql
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -261,4 +262,6 @@ ORACLE = {
     "op1_top_k": TOP_K_SQL,
     "op6_url_filter": url_sql(),
     "op9_mixing": MIXING_SQL,
+    "op12_sharding": SHARDING_SQL,
+    "op13_manifest": manifest_sql(),
 }

@@ -404,3 +404,14 @@ def test_large_products_are_exact():
     a = np.array([[2**40 + 1, 3]]), np.array([[2**20 + 1, 5]])
     assert topk.products(*a, (2**40 + 1) * (2**20 + 1))[0, 0] == (2**40 + 1) * (2**20 + 1) + 15
     assert topk.products(a[0] * 2**20, a[1] * 2**20, 2**101)[0, 0] == 2**63 - 1
+
+
+def test_more_languages_than_are_learnt(spark, monkeypatch):
+    """The commonest languages are learnt, fewer pieces than languages are no error, and every row gets an answer."""
+    monkeypatch.setattr(language, "LANGUAGES", 3)
+    monkeypatch.setattr(language, "SAMPLE_SPANS", 2)
+    monkeypatch.setattr(language, "STEPS", 3)
+    rows = [(i, f"word{i} text of it", f"l{i % 4 if i < 40 else i}", None, 1, 1, 1, "r") for i in range(60)]
+    found = language.identify_languages(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(found) == 60 and {r["lang_pred"] for r in found} <= {"l0", "l1", "l2", "l3"}
+    assert len({r["lang_pred"] for r in found} - {"und"}) <= 3

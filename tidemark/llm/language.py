@@ -10,7 +10,7 @@ Training reads at most ``SAMPLE_DOCS`` documents of each language, picked by has
 pieces of them. Scoring reads every byte of every text. Language, source and id are no inputs.
 
 Defined results: ``lang_pred`` is ``und`` with score 0.0 for a NULL text or one without a letter, and for all
-texts if there is nothing to learn from. With one learnt language every other text is of it with score
+texts if there is nothing to learn from. Learnt are the ``LANGUAGES`` commonest values of ``lang``. With one learnt language every other text is of it with score
 1.0. Ties go to the language first in code-point order. Repeated rows repeat; other columns are not read.
 """
 
@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidemark.llm.frames import arrow_column, local_table
-from tidemark.operators.keysets import own_exchange
 
 SAMPLE_DOCS = 400
 SAMPLE_SPANS = 24_000
+# Languages learnt, the commonest ones; a text of another gets the nearest of these.
+LANGUAGES = 512
 SPAN = 64
 HIDDEN = 8
 BATCH = 256
@@ -208,7 +209,7 @@ def fit(texts: Sequence[str], languages: Sequence[str], seed: int = 8) -> Networ
     codes, labels = [], []
     for name in sorted(by_language):
         mine = by_language[name]
-        for i in rng.choice(mine, SAMPLE_SPANS // len(names)):
+        for i in rng.choice(mine, max(1, SAMPLE_SPANS // len(names))):
             at = int(rng.integers(max(1, len(raw[i]) - SPAN + 1)))
             codes.append(np.resize(raw[i][at : at + SPAN], SPAN))
             labels.append(number[name])
@@ -230,9 +231,11 @@ def training_sample(docs: DataFrame) -> tuple[list[str], list[str]]:
     usable = docs.select("doc_id", "lang").filter(
         F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    # A hash threshold per language leaves about twice the documents wanted, so that the ranking below
+    # The commonest languages are learnt, a bounded number, so their sizes are broadcast and no row is dealt by
+    # language. A hash threshold per language leaves about twice the documents wanted, so that the ranking below
     # meets few rows however common a language is; small languages keep all of theirs.
-    sizes = own_exchange(usable.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_all")))
+    counted = usable.groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_all"))
+    sizes = F.broadcast(counted.orderBy(F.desc("_all"), "_lang").limit(LANGUAGES))
     drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("lang")), F.col("_all")) < 2 * SAMPLE_DOCS
     order = W.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id"), F.lit("lang order")), "doc_id")
     chosen = (

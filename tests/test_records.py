@@ -148,6 +148,10 @@ def test_whole_numbers_and_order(spark):
     found = records.validate_records(df, records.CONTRACTS["context"]).collect()
     by = {r["n"]: r["violations"] for r in found}
     assert len(found) == 5 and by[1] == [] and by[3] == by[4] == ["not a JSON object"]
+    ends = records.Contract("o", "a struct<b:struct<c:int>>", (records.Field("a", "object", properties=(
+        records.Field("b", "object", properties=(records.Field("c", "integer"),)),)),))
+    nested = spark.createDataFrame([('{"a": {"b": {"c": 1, "x": 1}, "y": 1}, "z": 1}',)], "record string")
+    assert records.validate_records(nested, ends).first()["violations"] == ["a.b.unknown: x", "a.unknown: y", "unknown: z"]
     assert by[2] == ["run_id: pattern", "foreign_catalog: missing", "max_retries: above 5", "unknown: a,z"]
 
 
@@ -162,10 +166,12 @@ def test_another_contract_is_other_rows(spark):
     ]
     df = spark.createDataFrame([(k, json.dumps(d), "p", "n") for k, d in docs], "kind string, record string, parent string, pos string")
     assert rows(records.broken_rules(df, contract, "kind"), "kind", "violation") == [
-        ("b", "lines[].part.size: below 1"), ("b", "lines[].part.unknown: q"), ("c", "lines: too few items"),
+        ("b", "lines[].part.size: below 1"), ("b", "lines[].part: unknown"), ("c", "lines: too few items"),
         ("c", "lines[].part: missing"), ("c", "lines[].part: type"), ("c", "lines[].tags[]: type"), ("c", "lines[]: type"),
     ]
     checked = records.validate_records(df, contract)
+    listed = {r["violations"][0] if r["violations"] else None: r["violations"] for r in checked.collect()}
+    assert listed["lines[].part.size: below 1"] == ["lines[].part.size: below 1", "lines[].part: unknown"]
     assert checked.columns == ["kind", "record", "parent", "pos", "parsed", "violations"] and checked.count() == 4
     assert records.validate_records(df.limit(0), contract).collect() == []
 

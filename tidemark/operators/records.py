@@ -90,8 +90,8 @@ def contract_rules(contract: Contract) -> list[dict]:
             "minimum": decimal(f.minimum), "maximum": decimal(f.maximum), "lowest": decimal(low),
             "highest": decimal(high), "min_items": f.min_items, "required": [],
             "known": [i.name for i in inside] if closed else None,
-            # Elements of an array are not told apart, so their unknown members are not named.
-            "unknown": None if name is None and parent else f"{prefix}unknown: ",
+            # Elements of an array are not told apart, so unknown members inside them are not named.
+            "unknown": None if "[]" in label else f"{prefix}unknown: ",
         }
         rules.append(own)
         if f.items or f.item_kind:
@@ -202,12 +202,14 @@ def _violations() -> tuple[Column, Column]:
         F.when((number < F.col("lowest")) | (number > F.col("highest")), said(": outside its type")),
         F.when(F.col("items") < F.col("min_items"), said(": too few items")),
     ]
-    entry = lambda pos, step, violation: F.struct(
-        pos.cast("int").alias("pos"), F.lit(step).alias("step"), violation.alias("violation")
+    entry = lambda pos, step, violation, inner=F.lit(0): F.struct(
+        F.struct(pos.cast("int").alias("pos"), F.lit(step).alias("step"), inner.alias("inner")).alias("place"),
+        violation.alias("violation"),
     )
     own = [entry(F.col("pos"), step, violation) for step, violation in enumerate(steps, 1)]
     unknown = F.coalesce(F.concat("unknown", F.array_join(extra, ",")), said(": unknown"))
-    own.append(entry(F.col("last"), len(own) + 1, F.when(F.size(extra) > 0, unknown)))
+    # Behind all that lies inside the object; of objects that end together the inner one first.
+    own.append(entry(F.col("last"), len(own) + 1, F.when(F.size(extra) > 0, unknown), -F.col("pos")))
     prefix = F.when(label == "", "").otherwise(F.concat(label, F.lit(".")))
     lacks = F.size(F.array_except(F.col("required")["name"], F.col("names"))) > 0
     lacking = F.filter("required", lambda r: ~F.array_contains("names", r["name"]))
@@ -246,11 +248,23 @@ def broken_rules(texts: DataFrame, contract: Contract, *keys: str, column: str =
     return (
         found.filter("_found.violation IS NOT NULL")
         .groupBy("_keys", F.col("_found.violation").alias("violation"))
-        .agg(F.min(F.struct("_found.pos", "_found.step")).alias("place"))
+        .agg(F.min("_found.place").alias("place"))
         .select("_keys.*", "violation", "place")
     )
 
 
+def possible_places(contract: Contract) -> list[tuple[int, int, int]]:
+    """Every ``place`` that a violation of the contract can have, in order; as many as it has demands."""
+    places = []
+    for r in contract_rules(contract):
+        asked = [True, r["enum"], r["pattern"], r["min_length"], r["minimum"], r["maximum"], r["lowest"], r["min_items"]]
+        places += [(r["pos"], step, 0) for step, wanted in enumerate(asked, 1) if wanted is not None]
+        places += [(pos, 0, 0) for _, pos in r["required"]]
+        if r["known"] is not None:
+            places.append((r["last"], len(asked) + 1, -r["pos"]))
+    return sorted(places)
+
+
 def validate_records(df: DataFrame, contract: Contract, column: str = "record") -> DataFrame:
     """Add ``parsed`` (typed struct) and ``violations`` (empty for a good record).
 
@@ -260,11 +274,13 @@ def validate_records(df: DataFrame, contract: Contract, column: str = "record")
     shape = T.StructType.fromDDL(contract.schema)
     digest = F.coalesce(F.md5(F.col(column).cast("binary")), F.lit(""))
     texts = df.select(digest.alias("_digest"), F.col(column).alias("_text"))
-    listed = F.array_sort(F.collect_list(F.struct("place", "violation")))
+    # One value per place a violation can have, so nothing is collected and the order is given.
+    at = lambda place: F.col("place") == F.struct(*map(F.lit, place))
+    listed = [F.max(F.when(at(place), F.col("violation"))) for place in possible_places(contract)]
     broken = (
         broken_rules(texts, contract, "_digest", column="_text")
         .groupBy(F.col("_digest").alias("_of"))
-        .agg(listed["violation"].alias("_violations"))
+        .agg(F.array_compact(F.array(*listed)).alias("_violations"))
     )
     typed = df.withColumns({"_variant": F.try_parse_json(F.col(column)), "_digest": digest}).withColumn(
         "parsed",

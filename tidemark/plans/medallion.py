@@ -16,7 +16,7 @@ from tidemark.functions.temporal import Instant, instant
 from tidemark.operators import conform, gate, landing, marts, metrics, quality, reports, tableops
 from tidemark.operators.counts import count_by_label, union_all
 from tidemark.sources import discovery, fixtures, sinks
-from tidemark.sources.external import Source, count_in_source, read_source
+from tidemark.sources.external import Source, count_in_source, register_source_views
 
 LAYERS = ("source_fed", "bronze", "silver", "gold", "ops")
 
@@ -116,11 +116,11 @@ class Medallion:
         batch, started = batch_id(self.as_of), self.clock()
 
         def one(schema: str, table: str, name: str) -> None:
-            split = self.split_by.get((schema, table))
-            df = read_source(self.spark, self.source, schema, table, split)
-            df.createOrReplaceTempView(f"{self.prefix}source_fed_{name}")
+            views = register_source_views(
+                self.spark, self.source, [(schema, table, name)], self.split_by, f"{self.prefix}source_fed_"
+            )
             self.publish(
-                f"bronze.{name}", landing.land(df, system, batch, self.as_of), f"source_fed.{name}"
+                f"bronze.{name}", landing.land(views[name], system, batch, self.as_of), f"source_fed.{name}"
             )
 
         self.together([partial(one, *t) for t in tables])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -111,13 +112,20 @@ def count_in_source(
 
 
 def register_source_views(
-    spark: SparkSession, src: Source, tables: list[tuple[str, str, str]]
+    spark: SparkSession,
+    src: Source,
+    tables: list[tuple[str, str, str]],
+    split_by: Mapping[tuple[str, str], str] | None = None,
+    prefix: str = "",
 ) -> dict[str, DataFrame]:
-    """One pass-through view per ``(schema, table, landing_name)``."""
+    """One pass-through view per ``(schema, table, landing_name)``, named by prefix and landing name.
+
+    ``split_by`` names the column that splits a table's scan, by (schema, table).
+    """
     views = {}
     for schema, table, landing in tables:
-        df = read_source(spark, src, schema, table)
-        df.createOrReplaceTempView(landing)
+        df = read_source(spark, src, schema, table, (split_by or {}).get((schema, table)))
+        df.createOrReplaceTempView(f"{prefix}{landing}")
         views[landing] = df
     return views
 

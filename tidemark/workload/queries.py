@@ -278,12 +278,13 @@ def fact_sample(v: Views) -> DataFrame:
 
 @query
 def asof_keys(v: Views) -> DataFrame:
-    out, ready = v.sale_stage, {}
+    # The key's text is made of four numbers, two of them ids that are resolved here, so it is put together at the end.
+    out, ready = v.sale_stage_parts, {}
     for business_key, key, dim, versions in LOOKUPS:
         if dim not in ready:
             ready[dim] = lookups.prepare_versions(getattr(v, dim), versions)
         out = lookups.lookup_prepared(out, ready[dim], business_key, "Last Modified When", key)
-    return out.select("Sale Key", *(key for _, key, _, _ in LOOKUPS)).toDF(
+    return out.select(v.sale_key(), *(key for _, key, _, _ in LOOKUPS)).toDF(
         "sale_key",
         "city_key",
         "customer_key",

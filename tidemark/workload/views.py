@@ -112,12 +112,13 @@ class Views:
             F.max_by("o_orderpriority", "o_orderkey").alias("Buying Group")
         )
         following = Window.partitionBy("o_custkey").orderBy("o_orderdate")
-        return days.select(
+        # Renamed behind the window, so that the partitioning by customer is kept and no id is shuffled twice.
+        return days.withColumn("until", F.lead("o_orderdate").over(following)).select(
             customer_key("o_custkey", "o_orderdate").alias("Customer Key"),
             F.col("o_custkey").alias("WWI Customer ID"),
             "Buying Group",
             F.col("o_orderdate").alias("Valid From"),
-            F.coalesce(F.lead("o_orderdate").over(following), ts(END_OF_TIME)).alias("Valid To"),
+            F.coalesce("until", ts(END_OF_TIME)).alias("Valid To"),
         )
 
     @cached_property
@@ -173,7 +174,7 @@ class Views:
             self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey")
         )
         return lines.select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("Sale Key"),
+            self.sale_key("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"),
             customer_key("o_custkey", "o_orderdate").alias("Customer Key"),
             F.col("l_partkey").alias("Stock Item Key"),
             F.col("l_suppkey").alias("Salesperson Key"),
@@ -217,17 +218,34 @@ class Views:
             F.when(rich, ts(END_OF_TIME)).otherwise(ts("2000-01-01")).alias("Valid To"),
         )
 
+    @staticmethod
+    def sale_key(invoice: str = "WWI Invoice ID", line: str = "Line", item: str = "WWI Stock Item ID", seller: str = "WWI Salesperson ID") -> Column:
+        """The key of a sale, as ``sale`` has it, from its parts."""
+        return F.concat_ws("-", *(F.col(f"`{c}`") for c in (invoice, line, item, seller))).alias("Sale Key")
+
     @cached_property
-    def sale_stage(self) -> DataFrame:
-        """Staged sales with the five business ids to resolve."""
-        city = self.table("customer").select(
-            F.col("c_custkey").alias("WWI Customer ID"), F.col("c_nationkey").alias("WWI City ID")
+    def sale_stage_parts(self) -> DataFrame:
+        """Staged sales with the five business ids to resolve, their key in parts."""
+        customer = self.table("customer").select("c_custkey", "c_nationkey")
+        lines = self.table("lineitem").join(self.table("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
+        return lines.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+            F.col("l_orderkey").alias("WWI Invoice ID"),
+            F.col("l_linenumber").alias("Line"),
+            F.col("c_nationkey").alias("WWI City ID"),
+            F.col("o_custkey").alias("WWI Customer ID"),
+            F.col("l_partkey").alias("WWI Bill To Customer ID"),
+            F.col("l_partkey").alias("WWI Stock Item ID"),
+            F.col("l_suppkey").alias("WWI Salesperson ID"),
+            F.col("l_shipdate").alias("Last Modified When"),
         )
-        return self.sale.join(city, "WWI Customer ID").select(
-            F.col("Sale Key"),
+
+    @cached_property
+    def sale_stage(self) -> DataFrame:
+        return self.sale_stage_parts.select(
+            self.sale_key(),
             "WWI City ID",
             "WWI Customer ID",
-            F.col("WWI Stock Item ID").alias("WWI Bill To Customer ID"),
+            "WWI Bill To Customer ID",
             "WWI Stock Item ID",
             "WWI Salesperson ID",
             "Last Modified When",

@@ -5,6 +5,7 @@ import re
 import pytest
 
 from tidemark.operators import lookups
+from tidemark.session import ADVISORY
 from tidemark.workload.queries import CUSTOMER_VERSIONS, QUERIES
 from tidemark.workload.views import Views
 
@@ -15,13 +16,25 @@ def physical(df):
 
 @pytest.fixture
 def conf(spark):
-    names = ("spark.sql.autoBroadcastJoinThreshold",)
+    names = (ADVISORY, "spark.sql.autoBroadcastJoinThreshold")
     before = {k: spark.conf.get(k, None) for k in names}
     yield spark.conf
     for k, v in before.items():
         spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_queries_merge_partitions_to_narrow_ones(spark, small, conf):
+    conf.unset(ADVISORY)
+    QUERIES["metric_by_customer"](spark, small)
+    assert conf.get(ADVISORY) == "16m"
+
+
+def test_a_size_that_the_session_names_stays(spark, small, conf):
+    conf.set(ADVISORY, "20m")
+    QUERIES["metric_by_customer"](spark, small)
+    assert conf.get(ADVISORY) == "20m"
+
+
 def test_versions_are_dealt_out_by_customer_once(spark, small):
     rows = lookups.effective_versions(Views(spark, small).customer_versions, CUSTOMER_VERSIONS)
     # By (customer, day) for the grouping, by customer for both windows.

@@ -27,6 +27,7 @@ from tidemark.operators import (
     timeline,
 )
 from tidemark.sources import discovery
+from tidemark.session import narrow_tasks
 from tidemark.sources.external import extract_changes
 from tidemark.workload.views import AS_OF, BATCH_START, LOADED_AT, Views, to_double, ts
 
@@ -56,7 +57,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def query(build: Callable[[Views], DataFrame]) -> Callable[[Views], DataFrame]:
-    QUERIES[build.__name__] = lambda spark, folder: build(Views(spark, folder))
+    QUERIES[build.__name__] = lambda spark, folder: build(Views(narrow_tasks(spark), folder))
     return build
 
 

@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from tidemark.operators import lookups
+from tidemark.operators import lookups, records
 from tidemark.session import ADVISORY
 from tidemark.workload.queries import CUSTOMER_VERSIONS, QUERIES
 from tidemark.workload.views import Views
@@ -16,7 +16,7 @@ def physical(df):
 
 @pytest.fixture
 def conf(spark):
-    names = (ADVISORY, "spark.sql.autoBroadcastJoinThreshold")
+    names = (ADVISORY, "spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")
     before = {k: spark.conf.get(k, None) for k in names}
     yield spark.conf
     for k, v in before.items():
@@ -51,3 +51,22 @@ def test_stage_and_its_parts_make_the_same_key(spark, small):
     v = Views(spark, small)
     keys = [sorted(r[0] for r in df.select("Sale Key").collect()) for df in (v.sale, v.sale_stage)]
     assert keys[0] == keys[1]
+
+
+@pytest.mark.parametrize("name", sorted(records.CONTRACTS))
+def test_rules_are_tested_in_code_that_the_jvm_compiles(spark, conf, name):
+    conf.set("spark.sql.adaptive.enabled", "false")
+    texts = spark.createDataFrame([(1, "{}")], "id int, record string")
+    found = records.broken_rules(texts, records.CONTRACTS[name], "id")
+    assert re.search(r"\*\(\d+\) BroadcastHashJoin", physical(found)) and "SortAggregate" not in physical(found)
+    code = spark._jvm.PythonSQLUtils.explainString(found._jdf.queryExecution(), "codegen")
+    # HotSpot interprets longer methods.
+    assert max(int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)) < 8000
+
+
+def test_packed_places_keep_their_order(spark):
+    places = [(0, 1, 0), (0, 9, 0), (3, 0, 0), (3, 9, -3), (3, 9, -2), (70000, 9, -70000)]
+    df = spark.createDataFrame([(p,) for p in places], "place struct<pos:int,step:int,inner:int>")
+    packed = df.select("place", records._packed(df["place"]).alias("at"))
+    assert [tuple(r[0]) for r in packed.orderBy("at").collect()] == places
+    assert [tuple(r[0]) for r in packed.select(records._unpacked(packed["at"]).alias("p")).collect()] == places

@@ -162,25 +162,51 @@ def record_nodes(texts: DataFrame, places: Sequence[str], *keys: str, column: st
     })
 
 
-def _scalars() -> dict[str, Column]:
-    """Text of a value where a rule asks for it, and number of an integer."""
+def _number() -> Column:
+    """Number of an integer."""
     kind, real = F.col("kind"), F.try_variant_get("value", "$", "double")
-    asked = F.coalesce(F.col("enum").isNotNull() | F.col("pattern").isNotNull() | F.col("min_length").isNotNull(), F.lit(False))
     # What no decimal holds is beyond every range.
     number = F.coalesce(F.try_variant_get("value", "$", NUMBER), (F.signum(real) * F.lit(1e37)).cast(NUMBER))
-    return {
-        "text": F.when(asked, F.try_variant_get("value", "$", "string")),
-        "number": F.when(kind == "BIGINT", number).when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), F.when(real % 1 == 0, number)),
-    }
+    fraction = kind.startswith("DECIMAL") | kind.startswith("DOUBLE") | kind.startswith("FLOAT")
+    return F.when(kind == "BIGINT", number).when(fraction, F.when(real % 1 == 0, number))
+
+
+def _asked_text() -> Column:
+    """Text of a value where a rule asks for it."""
+    asked = F.coalesce(F.col("enum").isNotNull() | F.col("pattern").isNotNull() | F.col("min_length").isNotNull(), F.lit(False))
+    return F.when(asked, F.try_variant_get("value", "$", "string"))
+
 
+def _broken() -> Column:
+    """Whether a value breaks the rule of its place, in few words.
 
-def _violations() -> tuple[Column, Column]:
-    """Whether a value breaks the rule of its place, and (pos, step, violation) for each way to break it.
+    Spark takes this test into the join's generated code. The JVM compiles no method above 8,000 bytes, and lambdas
+    are interpreted, so it holds neither messages nor lambdas; ``_violations`` says what is broken.
+    """
+    kind, wanted, text, number = F.col("kind"), F.col("_kind"), _asked_text(), F.col("number")
+    fits = F.when(wanted == "integer", number.isNotNull()).otherwise(kind.startswith(F.upper(wanted)))
+    wrong = ~F.coalesce(fits, F.lit(False)) & ~(F.col("nullable") & F.coalesce(kind == "VOID", F.lit(False)))
+    lacking = F.size(F.array_except(F.col("required")["name"], F.col("names")))
+    return (
+        wrong
+        | ~F.array_contains("enum", text)
+        | ~F.regexp(text, F.col("pattern"))
+        | (F.length(text) < F.col("min_length"))
+        | (number < F.col("_least"))
+        | (number > F.col("_most"))
+        | (F.col("items") < F.col("min_items"))
+        | (F.size(F.array_except("names", "known")) > 0)
+        | (lacking > 0)
+    )
+
+
+def _violations() -> Column:
+    """(pos, step, violation) for each way in which a value breaks the rule of its place.
 
     An entry has no violation where nothing is broken.
     """
     label, kind, wanted = F.col("label"), F.col("kind"), F.col("_kind")
-    text, number = F.col("text"), F.col("number")
+    text, number = _asked_text(), F.col("number")
     whole = number.isNotNull()
     fits = (
         F.when(wanted == "array", kind.startswith("ARRAY"))
@@ -190,7 +216,7 @@ def _violations() -> tuple[Column, Column]:
         .otherwise(kind == "STRING")
     )
     wrong = ~F.coalesce(fits, F.lit(False)) & ~(F.col("nullable") & F.coalesce(kind == "VOID", F.lit(False)))
-    extra = F.array_sort(F.array_except("names", "known"))
+    extra = F.array_except("names", "known")
     said = lambda suffix: F.concat(label, F.lit(suffix))
     steps = [
         F.when(wrong, F.when(label == "", "not a JSON object").otherwise(said(": type"))),
@@ -207,15 +233,13 @@ def _violations() -> tuple[Column, Column]:
         violation.alias("violation"),
     )
     own = [entry(F.col("pos"), step, violation) for step, violation in enumerate(steps, 1)]
-    unknown = F.coalesce(F.concat("unknown", F.array_join(extra, ",")), said(": unknown"))
+    unknown = F.coalesce(F.concat("unknown", F.array_join(F.sort_array(extra), ",")), said(": unknown"))
     # Behind all that lies inside the object; of objects that end together the inner one first.
     own.append(entry(F.col("last"), len(own) + 1, F.when(F.size(extra) > 0, unknown), -F.col("pos")))
     prefix = F.when(label == "", "").otherwise(F.concat(label, F.lit(".")))
-    lacks = F.size(F.array_except(F.col("required")["name"], F.col("names"))) > 0
     lacking = F.filter("required", lambda r: ~F.array_contains("names", r["name"]))
     missing = F.transform(lacking, lambda r: entry(r["pos"], 0, F.concat(prefix, r["name"], F.lit(": missing"))))
-    broken = F.coalesce(*steps).isNotNull() | F.coalesce(F.size(extra) > 0, F.lit(False)) | F.coalesce(lacks, F.lit(False))
-    return broken, F.concat(F.array(*own), missing)
+    return F.concat(F.array(*own), missing)
 
 
 def spread(texts: DataFrame) -> DataFrame:
@@ -235,21 +259,35 @@ def broken_rules(texts: DataFrame, contract: Contract, *keys: str, column: str =
     """
     rules = rule_table(texts.sparkSession, contract).withColumnsRenamed(
         {"parent": "_parent", "name": "_name", "kind": "_kind"}
-    )
+    ).withColumns({"_least": F.greatest("minimum", "lowest"), "_most": F.least("maximum", "highest")})
     containers = [r["path"] for r in contract_rules(contract) if r["kind"] in ("object", "array")]
     # Whatever the keys are called, they stay apart from the working columns.
     named = texts.select(F.struct(*(F.col(f"`{k}`") for k in keys)).alias("_keys"), F.col(f"`{column}`").alias("_text"))
-    nodes = record_nodes(spread(named), containers, "_keys", column="_text")
+    nodes = record_nodes(spread(named), containers, "_keys", column="_text").withColumn("number", _number())
     met = F.col("parent").eqNullSafe(F.col("_parent")) & F.col("name").eqNullSafe(F.col("_name"))
-    ruled = nodes.join(rules, met).withColumns(_scalars())
-    broken, ways = _violations()
-    # A filter would be taken into the join and bring all rules along, outside generated code.
-    found = ruled.select("_keys", F.explode_outer(F.when(broken, ways)).alias("_found"))
+    # Few values break their rule, and only they reach the list of ways.
+    found = nodes.join(rules, met).filter(_broken()).select("_keys", F.explode(_violations()).alias("_found"))
+    found = found.filter("_found.violation IS NOT NULL")
     return (
-        found.filter("_found.violation IS NOT NULL")
-        .groupBy("_keys", F.col("_found.violation").alias("violation"))
-        .agg(F.min("_found.place").alias("place"))
-        .select("_keys.*", "violation", "place")
+        found.select("_keys", F.col("_found.violation").alias("violation"), _packed(F.col("_found.place")).alias("_at"))
+        .groupBy("_keys", "violation")
+        .agg(F.min("_at").alias("_at"))
+        .select("_keys.*", "violation", _unpacked(F.col("_at")).alias("place"))
+    )
+
+
+def _packed(place: Column) -> Column:
+    """A place as one number of the same order, whose least is kept in a hash table; of structs it would need a sort."""
+    at = {name: place[name].cast("bigint") for name in ("pos", "step", "inner")}
+    return F.shiftleft(at["pos"], 36) + F.shiftleft(at["step"], 28) + (F.lit(2**28 - 1) + at["inner"])
+
+
+def _unpacked(at: Column) -> Column:
+    rest = at.bitwiseAND(F.lit(2**28 - 1))
+    return F.struct(
+        F.shiftright(at, 36).cast("int").alias("pos"),
+        F.shiftright(at, 28).bitwiseAND(F.lit(255)).cast("int").alias("step"),
+        (rest - F.lit(2**28 - 1)).cast("int").alias("inner"),
     )
 
 

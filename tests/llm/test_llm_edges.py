@@ -205,6 +205,15 @@ def test_pieces_agree_with_the_library(text):
     assert machine.decode(machine.encode(text)) == machine.expected(text)
 
 
+def test_the_path_search_weighs_few_pairs(monkeypatch):
+    """Only pairs near the path are weighed, not every pair of pieces that the text holds."""
+    machine, asked = pieces.transducer(pieces.MODEL), []
+    monkeypatch.setattr(machine, "pairs", {})
+    monkeypatch.setattr(machine, "weigh", lambda left, right: asked.append(1) or machine.agree(left, right))
+    path = machine.shortest_path("▁internationalisation▁of▁neighbouring▁considerations")
+    assert len(asked) <= 2 * len(path) // 4
+
+
 def test_urls(spark):
     schema = "page_id long, url string, html string, host string, rule int"
     rows = [

@@ -10,7 +10,7 @@ Compiled from the model, three machines are composed with an input:
 
 The encoding is the shortest path in the tropical semiring. A sequence is the BPE of its text exactly if
 each neighbouring pair is the BPE of the pair's text, so one path has a finite weight, each prefix has one
-finite state, and the search keeps that state per position. The pieces alone, weighted by their scores,
+finite state, and the search, depth first, enters no position twice. The pieces alone, weighted by their scores,
 would not give BPE's result, which is why the agreement machine is composed in.
 
 No piece of the vocabulary holds a ``▁`` behind another character, so the lattice falls apart before each
@@ -163,31 +163,38 @@ class Transducer:
     def shortest_path(self, text: str) -> bytes:
         """Ids, as little-endian int32, on the path of finite weight.
 
-        ``last[j]`` is the one finite state at position j: the piece that ends there.
+        Searched depth first, the longest piece ahead. A position has one finite state, so a position that led to no
+        end is never entered again.
         """
         end, arcs, pairs, weigh = len(text), self.arcs, self.pairs, self.weigh
-        last: list[str | None] = [None] * (end + 1)
-        last[0] = ""
-        for i in range(end):
-            # A position has one finite state, so the first path to the end is the shortest.
-            if last[end] is not None:
-                break
-            left = last[i]
-            for j in range(i + 1, end + 1):
+        taken: list[tuple[int, str, list[int]]] = []
+        dead: set[int] = set()
+        i, left, ends = 0, "", None
+        while i < end:
+            if ends is None:
+                ends = []
+                for j in range(i + 1, end + 1):
+                    written = arcs.get(text[i:j])
+                    if written or j == i + 1:
+                        ends.append(j)
+                    if written is None:
+                        break
+            while ends:
+                j = ends.pop()
+                if j in dead:
+                    continue
                 piece = text[i:j]
-                written = arcs.get(piece)
-                if last[j] is None and (written or j == i + 1):
-                    good = pairs.get((left, piece))
-                    if weigh(left, piece) if good is None else good:
-                        last[j] = piece
-                if written is None:
+                good = pairs.get((left, piece))
+                if weigh(left, piece) if good is None else good:
+                    taken.append((i, left, ends))
+                    i, left, ends = j, piece, None
                     break
-        path = []
-        while end:
-            piece = last[end]
-            path.append(arcs.get(piece) or self.fallback(piece))
-            end -= len(piece)
-        return b"".join(reversed(path))
+            else:
+                dead.add(i)
+                i, left, ends = taken.pop()
+        path = [left]
+        path += [piece for _, piece, _ in reversed(taken)]
+        return b"".join([arcs.get(piece) or self.fallback(piece) for piece in reversed(path) if piece])
 
     def fallback(self, char: str) -> bytes:
         """What the fallback arc of a character writes."""

@@ -176,6 +176,23 @@ def test_another_contract_is_other_rows(spark):
     assert records.validate_records(df.limit(0), contract).collect() == []
 
 
+def test_good_objects_are_not_opened(spark):
+    """An object of plain members that is good by its shape gives no rows; one that is not is opened."""
+    good = {"run_id": "r", "checks": [CHECK] * 3, "summary": {"passed": 1, "failed": 0, "total": 1}}
+    odd = {**good, "summary": {"passed": 1.0, "failed": 0, "total": 1}}
+    texts = spark.createDataFrame([(1, json.dumps(good)), (2, json.dumps(odd))], "id int, record string")
+    nodes = records.record_nodes(texts, records.contract_rules(records.RECONCILE_REPORT), "id")
+    assert {r["id"]: r["count"] for r in nodes.groupBy("id").count().collect()} == {1: 3, 2: 7}
+    assert records.broken_rules(texts, records.RECONCILE_REPORT, "id").collect() == []
+
+
+def test_a_name_like_a_path_is_unknown(spark):
+    """A member whose name looks like the path of another place has no rules of that place."""
+    record = {"run_id": "r", "checks": [CHECK], "summary": {"passed": 1, "failed": 0, "total": 1}, "checks[]": {"table": 5}}
+    texts = spark.createDataFrame([(1, json.dumps(record))], "id int, record string")
+    assert rows(records.broken_rules(texts, records.RECONCILE_REPORT, "id"), "violation") == [("unknown: checks[]",)]
+
+
 def test_record_folder_to_merge(spark, folder):
     """Files on disk, validated and merged: two converted, one missing, one filed under a wrong name."""
     for number, item in ((1, "item-1"), (2, "item-2"), (3, "item-9")):

@@ -1,9 +1,9 @@
 """Validation of JSON records: a contract is a table of rules, a record is opened into rows that meet it.
 
-``record_nodes`` turns a record into one row per value: where it lies, its JSON type, the value, and for an object
-the names of its members. ``rule_table`` writes a contract as a small table with one rule per place. Both meet in
-a join on the place; what a rule forbids is said by its row, so another contract is other rows and no other
-expression. An object's rule lists the members it asks for and those it allows: absent and unknown ones are set
+``record_nodes`` turns a record into one row per value: the number of its rule, its JSON type, the value, and for an
+object the names of its members. ``rule_table`` writes a contract as a small table with one rule per place. Both meet
+in a join on that number; what a rule forbids is said by its row. A contract's places and the shapes of good objects
+of plain members are written into the opening of records, so that such objects cost one test. An object's rule lists the members it asks for and those it allows: absent and unknown ones are set
 differences with the names at hand, and nothing has to be made up for what is not there.
 
 A record is parsed once. Nothing is shuffled before the violations, and of those only distinct ones.
@@ -14,6 +14,8 @@ number itself, however large; one that the target's type cannot hold is a violat
 
 from __future__ import annotations
 
+import itertools
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 from decimal import Decimal
@@ -54,8 +56,13 @@ class Contract:
 
 # What the integer types of a target hold.
 HOLDS = {"int": (-(2**31), 2**31 - 1), "bigint": (-(2**63), 2**63 - 1)}
+BIGINT = HOLDS["bigint"]
 NUMBER = "decimal(38,0)"
 ROOT = "$"
+# Types of plain members, and the shapes of an object that are listed at most.
+PLAIN, MOST_SHAPES = {"string": "STRING", "boolean": "BOOLEAN", "integer": "BIGINT"}, 16
+# Ways to break a rule besides lacking members; the last of them is an unknown member.
+WAYS = 9
 # ``pos`` and ``last``: numbers of the rule and of the last one inside it. ``known`` is NULL for an open object.
 RULES = (
     f"parent string, name string, path string, pos int, last int, label string, kind string, nullable boolean, "
@@ -114,34 +121,104 @@ def rule_table(spark: SparkSession, contract: Contract) -> DataFrame:
     return spark.createDataFrame(pa.Table.from_pylist(rules, to_arrow_schema(schema)), schema)
 
 
-def record_nodes(texts: DataFrame, places: Sequence[str], *keys: str, column: str = "record") -> DataFrame:
-    """keys, parent, name, value, kind, names (of an object's members), items (of an array) of each value.
+def _steps(rules: Sequence[dict], level: int) -> Column:
+    """Number of the rule that a value of this level has, by the number of its container's rule and its own name."""
+    up, name, found = F.col(f"place{level - 1}"), F.col(f"k{level}"), F.lit(None).cast("int")
+    for r in reversed(rules):
+        inside = [c for c in rules if c["parent"] == r["path"]]
+        if not inside or _level(r) != level - 1:
+            continue
+        # An element of an array has no name. A map stays short in generated code, however many members it has.
+        named = [F.lit(x) for c in inside if c["name"] is not None for x in (c["name"], c["pos"])]
+        step = F.try_element_at(F.create_map(*named), name) if named else F.lit(None).cast("int")
+        for c in inside:
+            if c["name"] is None:
+                step = F.when(name.isNull(), F.lit(c["pos"])).otherwise(step)
+        found = F.when(up == r["pos"], step).otherwise(found)
+    return F.when(F.col(f"p{level}").isNotNull(), found)
 
-    ``places`` are the paths of the containers to open. A member has the path of its object as parent and its name;
-    an element has the path of its array and no name. Other values stay closed, however large.
+
+def _level(rule: dict) -> int:
+    """How deep a place lies."""
+    return rule["path"].count(".") + rule["path"].count("[]")
+
+
+def _clean(rules: Sequence[dict], level: int) -> Column:
+    """Whether the values of this level are objects of plain members that break no rule, told by their shape.
+
+    The shapes of a rule are the types of its members, with optional ones absent and nullable ones null. A value of
+    another shape may be good as well (``1.0`` for an integer); it is opened, and the rules decide.
+    """
+    place, value, clean = F.col(f"place{level}"), F.col(f"v{level}"), F.lit(False)
+    for r in rules:
+        inside = [c for c in rules if c["parent"] == r["path"]]
+        plain = all(c["kind"] in PLAIN and (c["name"] or "").isidentifier() and c["name"].isascii() for c in inside)
+        if r["kind"] != "object" or r["known"] is None or not inside or not plain or _level(r) != level:
+            continue
+        required = {name for name, _ in r["required"]}
+        inside = sorted(inside, key=lambda c: c["name"])
+        types = [
+            [PLAIN[c["kind"]], *(["VOID"] if c["nullable"] else []), *([None] if c["name"] not in required else [])]
+            for c in inside
+        ]
+        bounds = [c[b] for c in inside for b in ("minimum", "maximum", "lowest", "highest") if c[b] is not None]
+        if math.prod(map(len, types)) > MOST_SHAPES or any(not BIGINT[0] <= b <= BIGINT[1] for b in bounds):
+            continue
+        shapes = [
+            "OBJECT<" + ", ".join(f"{c['name']}: {t}" for c, t in zip(inside, chosen, strict=True) if t) + ">"
+            for chosen in itertools.product(*types)
+        ]
+        # Spark may read members ahead of the test of the shape, and looking for one that is absent is slow: of other
+        # values there is nothing to read.
+        shaped = F.when((place == r["pos"]) & F.schema_of_variant(value).isin(shapes), value)
+        good = shaped.isNotNull()
+        for c in inside:
+            text, number = (F.try_variant_get(shaped, f"$.{c['name']}", kind) for kind in ("string", "bigint"))
+            # What a bigint holds needs no test.
+            low = max((x for x in (c["minimum"], c["lowest"]) if x is not None and x > BIGINT[0]), default=None)
+            high = min((x for x in (c["maximum"], c["highest"]) if x is not None and x < BIGINT[1]), default=None)
+            tests = [
+                text.isin(c["enum"]) if c["enum"] else None,
+                F.regexp(text, F.lit(c["pattern"])) if c["pattern"] else None,
+                F.length(text) >= c["min_length"] if c["min_length"] is not None else None,
+                number >= F.lit(int(low)) if low is not None else None,
+                number <= F.lit(int(high)) if high is not None else None,
+            ]
+            for test in tests:
+                if test is not None:
+                    good = good & F.coalesce(test, F.lit(True))
+        clean = clean | good
+    return clean
+
+
+def record_nodes(texts: DataFrame, rules: Sequence[dict], *keys: str, column: str = "record") -> DataFrame:
+    """keys, place, value, kind, names (of an object's members), items (of an array) of each value that has a rule.
+
+    ``place`` is the number of the value's rule. Containers that have a rule are opened, other values stay closed,
+    however large. Objects that are good by their shape are left out with all that lies inside them.
 
     Each level is a lateral explode of the level above. A value stands in the rows of all that lies inside it, and
     is taken from the first of them.
     """
     spark = texts.sparkSession
-    depth = max(path.count(".") + path.count("[]") for path in places) + 1
-    nobody = F.lit(None).cast("string")
-    rows = texts.select(
-        *keys, F.try_parse_json(F.col(column)).alias("v0"), nobody.alias("k0"), nobody.alias("in0"), F.lit(ROOT).alias("path0")
-    )
+    containers = [r for r in rules if r["kind"] in ("object", "array")]
+    depth = max(map(_level, containers)) + 1
+
+    def left(rows: DataFrame, level: int) -> DataFrame:
+        """Without the places of what is good."""
+        return rows.withColumn(f"place{level}", F.when(~_clean(rules, level), F.col(f"place{level}")))
+
+    rows = left(texts.select(*keys, F.try_parse_json(F.col(column)).alias("v0"), F.lit(0).alias("place0")), 0)
     for level in range(1, depth + 1):
         up = level - 1
-        path = F.col(f"path{up}")
-        opened = F.when(path.isin(*places), F.col(f"v{up}"))
+        opened = F.when(F.col(f"place{up}").isin([r["pos"] for r in containers]), F.col(f"v{up}"))
         inside = spark.tvf.variant_explode_outer(F.col(f"open{up}").outer()).toDF(f"p{level}", f"k{level}", f"v{level}")
-        rows = rows.withColumn(f"open{up}", opened).lateralJoin(inside).drop(f"open{up}").withColumns({
-            f"in{level}": F.when(F.col(f"p{level}").isNotNull(), path),
-            f"path{level}": F.coalesce(F.concat(path, F.lit("."), f"k{level}"), F.concat(path, F.lit("[]"))),
-        })
+        rows = rows.withColumn(f"open{up}", opened).lateralJoin(inside).drop(f"open{up}")
+        rows = left(rows.withColumn(f"place{level}", _steps(rules, level)), level)
 
     def node(level: int) -> Column:
         value, within = F.col(f"v{level}"), range(level + 1, depth + 1)
-        first = F.lit(True) if level == 0 else F.col(f"p{level}").isNotNull()
+        first = F.col(f"place{level}").isNotNull()
         for i in within:
             first = first & (F.coalesce(f"p{i}", F.lit(0)) == 0)
         kind = F.schema_of_variant(value)
@@ -149,13 +226,12 @@ def record_nodes(texts: DataFrame, places: Sequence[str], *keys: str, column: st
             below = F.col(f"p{level + 1}").isNotNull()
             # A container that was opened and holds something need not be looked through once more.
             kind = F.when(~below, kind).when(F.col(f"k{level + 1}").isNull(), "ARRAY").otherwise("OBJECT")
-        return F.when(
-            first, F.struct(F.col(f"in{level}").alias("parent"), F.col(f"k{level}").alias("name"), value.alias("value"), kind.alias("kind"))
-        )
+        return F.when(first, F.struct(F.col(f"place{level}").alias("place"), value.alias("value"), kind.alias("kind")))
 
     nodes = rows.select(*keys, F.explode(F.array(*map(node, range(depth + 1)))).alias("_node"))
-    named = F.map_keys(F.try_variant_get("value", "$", "map<string,variant>"))
-    listed = F.size(F.try_variant_get("value", "$", "array<variant>"))
+    # Only names and places are asked for, so what lies inside is not copied.
+    named = F.map_keys(F.try_variant_get("value", "$", "map<string,struct<>>"))
+    listed = F.size(F.try_variant_get("value", "$", "array<struct<>>"))
     return nodes.filter("_node IS NOT NULL").select(*keys, "_node.*").withColumns({
         "names": F.when(F.col("kind").startswith("OBJECT"), named),
         "items": F.when(F.col("kind").startswith("ARRAY"), listed),
@@ -201,9 +277,9 @@ def _broken() -> Column:
 
 
 def _violations() -> Column:
-    """(pos, step, violation) for each way in which a value breaks the rule of its place.
+    """What a value breaks, by the way in which it does: ``_at`` has the places of the ways.
 
-    An entry has no violation where nothing is broken.
+    An entry is NULL where nothing is broken.
     """
     label, kind, wanted = F.col("label"), F.col("kind"), F.col("_kind")
     text, number = _asked_text(), F.col("number")
@@ -228,18 +304,26 @@ def _violations() -> Column:
         F.when((number < F.col("lowest")) | (number > F.col("highest")), said(": outside its type")),
         F.when(F.col("items") < F.col("min_items"), said(": too few items")),
     ]
-    entry = lambda pos, step, violation, inner=F.lit(0): F.struct(
-        F.struct(pos.cast("int").alias("pos"), F.lit(step).alias("step"), inner.alias("inner")).alias("place"),
-        violation.alias("violation"),
-    )
-    own = [entry(F.col("pos"), step, violation) for step, violation in enumerate(steps, 1)]
-    unknown = F.coalesce(F.concat("unknown", F.array_join(F.sort_array(extra), ",")), said(": unknown"))
     # Behind all that lies inside the object; of objects that end together the inner one first.
-    own.append(entry(F.col("last"), len(own) + 1, F.when(F.size(extra) > 0, unknown), -F.col("pos")))
+    unknown = F.coalesce(F.concat("unknown", F.array_join(F.sort_array(extra), ",")), said(": unknown"))
+    steps.append(F.when(F.size(extra) > 0, unknown))
     prefix = F.when(label == "", "").otherwise(F.concat(label, F.lit(".")))
-    lacking = F.filter("required", lambda r: ~F.array_contains("names", r["name"]))
-    missing = F.transform(lacking, lambda r: entry(r["pos"], 0, F.concat(prefix, r["name"], F.lit(": missing"))))
-    return F.concat(F.array(*own), missing)
+    missing = F.transform("required", lambda r: F.when(
+        ~F.array_contains("names", r["name"]), F.concat(prefix, r["name"], F.lit(": missing"))
+    ))
+    return F.concat(F.array(*steps), F.coalesce(missing, F.array().cast("array<string>")))
+
+
+def _at(way: Column) -> Column:
+    """Place of an entry of ``_violations``, packed."""
+    pos, zero = F.col("pos"), F.lit(0)
+    lacking = F.element_at("required", F.greatest(way - (WAYS - 1), F.lit(1)))["pos"]
+    place = lambda pos, step, inner: F.struct(pos.alias("pos"), step.alias("step"), inner.alias("inner"))
+    return _packed(
+        F.when(way < WAYS - 1, place(pos, way + 1, zero))
+        .when(way == WAYS - 1, place(F.col("last"), F.lit(WAYS), -pos))
+        .otherwise(place(lacking, zero, zero))
+    )
 
 
 def spread(texts: DataFrame) -> DataFrame:
@@ -257,19 +341,17 @@ def broken_rules(texts: DataFrame, contract: Contract, *keys: str, column: str =
 
     A text that is NULL or cannot be read is no JSON object. Rows of one key count as one record's.
     """
-    rules = rule_table(texts.sparkSession, contract).withColumnsRenamed(
-        {"parent": "_parent", "name": "_name", "kind": "_kind"}
-    ).withColumns({"_least": F.greatest("minimum", "lowest"), "_most": F.least("maximum", "highest")})
-    containers = [r["path"] for r in contract_rules(contract) if r["kind"] in ("object", "array")]
+    rules = rule_table(texts.sparkSession, contract).withColumnRenamed("kind", "_kind").withColumns({"_least": F.greatest("minimum", "lowest"), "_most": F.least("maximum", "highest")})
     # Whatever the keys are called, they stay apart from the working columns.
     named = texts.select(F.struct(*(F.col(f"`{k}`") for k in keys)).alias("_keys"), F.col(f"`{column}`").alias("_text"))
-    nodes = record_nodes(spread(named), containers, "_keys", column="_text").withColumn("number", _number())
-    met = F.col("parent").eqNullSafe(F.col("_parent")) & F.col("name").eqNullSafe(F.col("_name"))
+    nodes = record_nodes(spread(named), contract_rules(contract), "_keys", column="_text").withColumn("number", _number())
     # Few values break their rule, and only they reach the list of ways.
-    found = nodes.join(rules, met).filter(_broken()).select("_keys", F.explode(_violations()).alias("_found"))
-    found = found.filter("_found.violation IS NOT NULL")
+    found = nodes.join(rules, F.col("place") == F.col("pos")).filter(_broken()).select(
+        "_keys", "pos", "last", "required", F.posexplode(_violations()).alias("_way", "violation")
+    )
     return (
-        found.select("_keys", F.col("_found.violation").alias("violation"), _packed(F.col("_found.place")).alias("_at"))
+        found.filter("violation IS NOT NULL")
+        .select("_keys", "violation", _at(F.col("_way")).alias("_at"))
         .groupBy("_keys", "violation")
         .agg(F.min("_at").alias("_at"))
         .select("_keys.*", "violation", _unpacked(F.col("_at")).alias("place"))

@@ -205,6 +205,26 @@ def test_pieces_agree_with_the_library(text):
     assert machine.decode(machine.encode(text)) == machine.expected(text)
 
 
+def test_words_with_marks_are_encoded_once():
+    """A word of letters goes through the library once, whatever single mark stands behind it."""
+    machine, passed = idfiles.Encoder(idfiles.TOKENIZER), []
+    library = machine.tokenizer
+
+    class Recorder:
+        def encode(self, x, **options):
+            passed.extend(x if options.get("is_pretokenized") else [])
+            return library.encode(x, **options)
+
+        def __getattr__(self, name):
+            return getattr(library, name)
+
+    machine.tokenizer = Recorder()
+    texts = ["Thing, thing. Thing. Othering; don't. é. x!y ., 1.", "thing. other: other", None, ""]
+    found = [ids.tolist() for ids in machine.encode(texts)]
+    assert found == [library.encode(t or "", add_special_tokens=False).ids + [idfiles.END_ID] for t in texts]
+    assert sorted(c for c in passed if c[:-1].isalpha() and c.isascii()) == []
+
+
 def test_the_path_search_weighs_few_pairs(monkeypatch):
     """Only pairs near the path are weighed, not every pair of pieces that the text holds."""
     machine, asked = pieces.transducer(pieces.MODEL), []

@@ -43,6 +43,8 @@ FRAME_IDS = 1 << 22
 KNOWN_BYTES, ENTRY_BYTES, GROUP_CHARS = 120_000_000, 160, 4_000_000
 # Fixed value: how pieces that end a word are written.
 WORD_END = "</w>"
+# Fixed value: marks behind a word of letters that no rule of the tokenizer joins to it.
+TRAILERS = tuple(".,;:!?")
 FRAME = (
     "part long, frame long, n_ids long, doc_ids array<long>, lengths array<long>, block_digits binary, "
     "block_crcs binary, payload binary"
@@ -94,15 +96,21 @@ class Encoder:
         if self.held > KNOWN_BYTES // 2:
             self.older, self.known, self.held = self.known, {}, 0
         known, older = self.known, self.older
-        plain, others = [], []
+        plain, trailed, others = [], [], []
         for chunk in chunks:
             if chunk not in known:
                 if (ids := older.get(chunk)) is not None:
                     self.keep(chunk, ids)
                 elif chunk.isascii() and chunk.isalpha():
                     plain.append(chunk)
+                elif chunk[-1:] in TRAILERS and chunk.isascii() and chunk[:-1].isalpha():
+                    trailed.append(chunk)
                 else:
                     others.append(chunk)
+        if trailed:
+            # A word of letters and one mark: the mark is a word of its own, so a word is encoded once for all its marks.
+            words = {c[:-1] for c in trailed}
+            plain += [w for w in words.difference(chunks) if w not in known]
         if plain:
             # A chunk of letters is one word, and the last piece of a word tells that it ends.
             ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
@@ -111,6 +119,13 @@ class Encoder:
                 self.cut(plain, ids, ends)
             else:
                 others += plain
+        if trailed:
+            marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in TRAILERS}
+            for chunk in trailed:
+                if (ids := self.known.get(chunk[:-1])) is not None:
+                    self.keep(chunk, ids + marks[chunk[-1]])
+                else:
+                    others.append(chunk)
         if others:
             encoded = self.tokenizer.encode(others, is_pretokenized=True, add_special_tokens=False)
             ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(others)), "right")

@@ -225,6 +225,48 @@ def test_words_with_marks_are_encoded_once():
     assert sorted(c for c in passed if c[:-1].isalpha() and c.isascii()) == []
 
 
+def test_letters_beyond_ascii_capitals_and_runs_of_marks_cost_no_second_encoding():
+    """Words of Latin-1 letters go through the library once, whatever their case and the marks behind them."""
+    machine, passed, plain = idfiles.Encoder(idfiles.TOKENIZER), [], []
+
+    class Recorder:
+        def __init__(self, library, seen):
+            self.library, self.seen = library, seen
+
+        def encode(self, x, **options):
+            self.seen.extend(x)
+            return self.library.encode(x, **options)
+
+        def encode_batch_fast(self, x, **options):
+            self.seen.extend(w for text in x for w in text.split())
+            return self.library.encode_batch_fast(x, **options)
+
+    library = machine.tokenizer
+    machine.tokenizer = Recorder(library, passed)
+    machine.plain = Recorder(getattr(machine, "plain", None), plain)
+    texts = ["Été été. ÉTÉ!! été&&& Straße straße,### STRASSE", "ÉTÉ***\nstraße Ñandú. ñandú", "<|endoftext|> ÉTÉ", " "]
+    found = [ids.tolist() for ids in machine.encode(texts)]
+    assert found == [library.encode(t, add_special_tokens=False).ids + [idfiles.END_ID] for t in texts]
+    assert not [c for c in passed if c[:1].isalpha()]
+    assert sorted(plain) == sorted(["été", "straße", "strasse", "ñandú"])
+
+
+@settings(max_examples=300, deadline=None)
+@given(
+    st.lists(
+        st.text(alphabet=st.sampled_from("abTHEreÉéßµªſİΣσKÅ字  \n\t'.,!&*<|>_-\\\"12ñ\u0300\u0308\u0331\u0338🤣\x00"), max_size=30)
+        | st.sampled_from(["<|endoftext|>", "a<|startoftext|>.", "<|ENDOFTEXT|> B", "H\u0331 J\u030c T\u0308", None]),
+        max_size=4,
+    )
+)
+def test_ids_agree_with_the_library(texts):
+    machine = idfiles.encoder(idfiles.TOKENIZER)
+    found = [ids.tolist() for ids in machine.encode(texts)]
+    assert found == [
+        machine.tokenizer.encode(t or "", add_special_tokens=False).ids + [idfiles.END_ID] for t in texts
+    ]
+
+
 def test_the_path_search_weighs_few_pairs(monkeypatch):
     """Only pairs near the path are weighed, not every pair of pieces that the text holds."""
     machine, asked = pieces.transducer(pieces.MODEL), []
@@ -371,6 +413,21 @@ def test_blocks_stand_alone():
     assert own[0] == digits[1] and alone == raw[begin : begin + 2 * int(digits[1])]
 
 
+def test_any_damaged_bit_is_told_by_wrong_ids():
+    """Damage in heads as well as behind them gives other ids or none, never an error."""
+    rng = np.random.default_rng(3)
+    lanes = [rng.zipf(1.4, size) % 5000 for size in (120, 90, 7)]
+    raw, digits = idcoder.encode(lanes)
+    changed = 0
+    for at in range(8 * len(raw)):
+        broken = bytearray(raw)
+        broken[at // 8] ^= 1 << at % 8
+        back = idcoder.decode(bytes(broken), digits, np.array([len(x) for x in lanes]))
+        changed += not all(a.shape == b.shape and (a == b).all() for a, b in zip(lanes, back, strict=True))
+    # The last bits of a coder's digits and a byte of padding may tell nothing.
+    assert changed >= 0.95 * 8 * len(raw)
+
+
 def test_mixing(odd, none, spark):
     rows = mixing.mix_sources(odd).collect()
     assert len(rows) == odd.count()

@@ -12,7 +12,7 @@ id counts per part and frame, not documents, are summed up for it.
 
 Whatever stands between two spaces or line feeds is encoded by the tokenizers library once and remembered
 per Python worker, up to about ``KNOWN_BYTES``; the tokenizer drops white space and joins nothing across it. New
-chunks of many texts are encoded in one call.
+chunks of many texts are encoded in one call, words of Latin-1 letters once for every case and all marks behind them.
 
 Defined results: a NULL or empty text has the end id alone. Repeated rows are documents of their own.
 An empty table writes an empty folder. Other columns are not read.
@@ -25,9 +25,11 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
@@ -38,13 +40,18 @@ from tidemark.session import ensure_checkpoint_dir
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 1
-FRAME_IDS = 1 << 22
-# Bytes of remembered chunks in a worker, what an entry takes besides its text and ids, and characters learnt at once.
-KNOWN_BYTES, ENTRY_BYTES, GROUP_CHARS = 120_000_000, 160, 4_000_000
+FRAME_IDS = 1 << 23
+# Bytes of remembered chunks in a worker, what an entry takes besides its text and ids, and bytes of text encoded at once.
+KNOWN_BYTES, ENTRY_BYTES, GROUP_BYTES = 120_000_000, 160, 8_000_000
 # Fixed value: how pieces that end a word are written.
 WORD_END = "</w>"
-# Fixed value: marks behind a word of letters that no rule of the tokenizer joins to it.
-TRAILERS = tuple(".,;:!?")
+# Marks behind a word that no rule of the tokenizer joins to it, and words of letters that it lower-cases
+# one by one and changes in no other way.
+MARKS = "!#$%&()*+,-./:;=?@[]^_`{}~\"\\"
+LATIN = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
+# Fixed value: where case counts before the tokenizer lower-cases, as its special tokens begin with the former, and some
+# letters are composed with a mark in one case only.
+CASED = "<\\||\\p{M}"
 FRAME = (
     "part long, frame long, n_ids long, doc_ids array<long>, lengths array<long>, block_digits binary, "
     "block_crcs binary, payload binary"
@@ -60,6 +67,11 @@ DOCUMENT_ARROW = pa.schema(
 )
 
 
+def listed(values: pa.Array) -> list:
+    """Python objects of an array without NULLs, faster than ``to_pylist``."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Ids of texts, chunk by chunk."""
 
@@ -67,8 +79,13 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        # For words that normalizing and splitting would leave as they are.
+        self.plain = Tokenizer.from_file(public_tokenizers.path(name))
+        self.plain.normalizer = None
+        self.plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab()
         self.word_end = np.zeros(max(vocabulary.values()) + 1, bool)
         self.word_end[[i for piece, i in vocabulary.items() if piece.endswith(WORD_END)]] = True
@@ -76,66 +93,85 @@ class Encoder:
         self.older: dict[str, bytes] = {}
         self.held = 0
 
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+    def encode(self, texts: list[str | None] | pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text and the end id behind."""
-        end = np.array([END_ID], "<u4").tobytes()
-        group, size = [], 0
-        for i, text in enumerate(texts):
-            group.append(text.replace("\n", " ").split(" ") if text else [])
-            size += len(text or "")
-            if size < GROUP_CHARS and i + 1 < len(texts):
-                continue
-            self.learn({c for chunks in group for c in chunks})
-            known = self.known
-            for chunks in group:
-                yield np.frombuffer(b"".join([known[c] for c in chunks]) + end, "<u4")
-            group, size = [], 0
-
-    def learn(self, chunks: set[str]) -> None:
-        """Have all chunks in memory. It has two halves, so that chunks in use stay."""
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        reached = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        begin = 0
+        while begin < len(texts):
+            done = reached[begin - 1] if begin else 0
+            end = max(begin + 1, int(np.searchsorted(reached, done + GROUP_BYTES, "right")))
+            yield from self.encode_group(texts.slice(begin, end - begin))
+            begin = end
+
+    def encode_group(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        texts = pc.replace_substring(pc.fill_null(texts, ""), "\n", " ")
+        if not pc.any(pc.match_substring_regex(texts, CASED)).as_py():
+            texts = pc.ascii_lower(texts)
+        split = pc.split_pattern(texts, " ")
+        coded = split.flatten().dictionary_encode()
+        chunks = listed(coded.dictionary)
+        self.learn(chunks)
+        ids_of = list(map(self.known.__getitem__, chunks))
+        ids = np.frombuffer(b"".join(ids_of), "<u4")
+        sizes = np.fromiter(map(len, ids_of), np.int64, len(ids_of)) >> 2
+        # Ids of every chunk in its place.
+        at = coded.indices.to_numpy()
+        counts = sizes.take(at)
+        ends = np.cumsum(counts)
+        places = np.repeat((np.cumsum(sizes) - sizes).take(at) - ends + counts, counts)
+        places += np.arange(len(places))
+        ids = ids.take(places)
+        bounds = np.concatenate(([0], ends)).take(np.cumsum(np.concatenate(([0], pc.list_value_length(split).to_numpy()))))
+        last = np.array([END_ID], "<u4")
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            yield np.concatenate((ids[a:b], last))
+
+    def learn(self, chunks: list[str]) -> None:
+        """Have these different chunks in memory. It has two halves, so that chunks in use stay."""
         if self.held > KNOWN_BYTES // 2:
             self.older, self.known, self.held = self.known, {}, 0
         known, older = self.known, self.older
-        plain, trailed, others = [], [], []
-        for chunk in chunks:
-            if chunk not in known:
-                if (ids := older.get(chunk)) is not None:
-                    self.keep(chunk, ids)
-                elif chunk.isascii() and chunk.isalpha():
-                    plain.append(chunk)
-                elif chunk[-1:] in TRAILERS and chunk.isascii() and chunk[:-1].isalpha():
-                    trailed.append(chunk)
-                else:
-                    others.append(chunk)
-        if trailed:
-            # A word of letters and one mark: the mark is a word of its own, so a word is encoded once for all its marks.
-            words = {c[:-1] for c in trailed}
-            plain += [w for w in words.difference(chunks) if w not in known]
-        if plain:
-            # A chunk of letters is one word, and the last piece of a word tells that it ends.
-            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.word_end[ids]) + 1
-            if len(ends) == len(plain):
-                self.cut(plain, ids, ends)
+        new = list(filterfalse(known.__contains__, chunks))
+        if older:
+            for chunk in filter(older.__contains__, new):
+                self.keep(chunk, older[chunk])
+            new = list(filterfalse(known.__contains__, new))
+        # A word and the marks behind it are encoded apart, so each word is encoded once for all its marks.
+        stems = pc.utf8_rtrim(pa.array(new, pa.string()), MARKS)
+        latin = listed(pc.match_substring_regex(stems, LATIN))
+        words, others, joined = set(), set(), []
+        for chunk, word, letters in zip(new, listed(pc.utf8_lower(stems)), latin, strict=True):
+            if not letters:
+                others.add(chunk)
+            elif chunk == word:
+                words.add(chunk)
             else:
-                others += plain
-        if trailed:
-            marks = {m: np.array(self.tokenizer.encode(m, add_special_tokens=False).ids, "<u4").tobytes() for m in TRAILERS}
-            for chunk in trailed:
-                if (ids := self.known.get(chunk[:-1])) is not None:
-                    self.keep(chunk, ids + marks[chunk[-1]])
+                joined.append((chunk, word, chunk[len(word) :]))
+        for parts, found in ((words, {x[1] for x in joined}), (others, {x[2] for x in joined})):
+            for part in filterfalse(known.__contains__, found):
+                if (ids := older.get(part)) is not None:
+                    self.keep(part, ids)
                 else:
-                    others.append(chunk)
+                    parts.add(part)
+        if words:
+            plain = list(words)
+            ids = np.array(self.plain.encode_batch_fast([" ".join(plain)], add_special_tokens=False)[0].ids, "<u4")
+            # The last piece of a word tells that it ends.
+            self.cut(plain, ids, np.flatnonzero(self.word_end[ids]) + 1)
         if others:
-            encoded = self.tokenizer.encode(others, is_pretokenized=True, add_special_tokens=False)
-            ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(others)), "right")
-            self.cut(others, np.array(encoded.ids, "<u4"), ends)
+            plain = list(others)
+            encoded = self.tokenizer.encode(plain, is_pretokenized=True, add_special_tokens=False)
+            ends = np.searchsorted(np.array(encoded.word_ids, np.int64), np.arange(len(plain)), "right")
+            self.cut(plain, np.array(encoded.ids, "<u4"), ends)
+        for chunk, word, marks in joined:
+            self.keep(chunk, known[word] + known[marks] if marks else known[word])
 
     def cut(self, chunks: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
-        raw, at = ids.tobytes(), 0
-        for chunk, end in zip(chunks, (4 * ends).tolist(), strict=True):
-            self.keep(chunk, raw[at:end])
-            at = end
+        raw, ends = ids.tobytes(), (4 * ends).tolist()
+        begins = [0, *ends[:-1]]
+        self.known.update(zip(chunks, [raw[a:b] for a, b in zip(begins, ends, strict=True)], strict=True))
+        self.held += ENTRY_BYTES * len(chunks) + sum(map(len, chunks)) + len(raw)
 
     def keep(self, chunk: str, ids: bytes) -> None:
         self.known[chunk] = ids
@@ -200,7 +236,7 @@ def write_ids(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str
         machine = encoder(tokenizer)
         for batch in batches:
             names = batch.column(0).to_pylist()
-            for name, found in zip(names, machine.encode(batch.column(1).to_pylist()), strict=True):
+            for name, found in zip(names, machine.encode(batch.column(1)), strict=True):
                 held.append(name)
                 ids.append(found)
                 size += len(found)
